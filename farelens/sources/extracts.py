@@ -10,12 +10,21 @@ from farelens.functions import text
 from farelens.schemas import EXTRACT_COLUMNS, LINE_FILE_SCHEMA, RAW_COLUMNS, STATION_FILE_SCHEMA, text_schema
 
 CORRUPT = "corrupt_record"
+BLANK = "\u0000"  # stands for an unquoted empty field while a line is parsed
+
+# Spark's CSV reader knows Latin-1 but not windows-1252. Both are one byte per character and differ
+# only in these control characters, of which windows-1252 leaves five undefined.
+_CONTROLS = "".join(
+    chr(code) for code in range(0x80, 0xA0) if bytes([code]).decode("windows-1252", "ignore")
+)
+_WINDOWS = _CONTROLS.encode("latin-1").decode("windows-1252")
 
 
 def read_raw_text(spark: SparkSession, path: str, columns: list[str] = EXTRACT_COLUMNS) -> DataFrame:
     """Extract files as text columns; a malformed line is kept whole in ``corrupt_record``.
 
-    The header must match ``columns``: mapping by position would silently swap fields.
+    The header must match ``columns``: mapping by position would silently swap fields. An unquoted
+    empty field is blank and a quoted one is empty text; the marker keeps the reader from merging them.
     """
     schema = text_schema(columns).add(CORRUPT, T.StringType())
     return (
@@ -24,6 +33,7 @@ def read_raw_text(spark: SparkSession, path: str, columns: list[str] = EXTRACT_C
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("nullValue", BLANK)
         .csv(path)
     )
 
@@ -52,10 +62,11 @@ def import_flat_extract(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(text_schema(EXTRACT_COLUMNS))
         .option("header", True)
         .option("enforceSchema", False)
-        .option("encoding", "windows-1252")
+        .option("encoding", "iso-8859-1")
         .option("quote", "")
         .csv(path)
     )
+    rows = rows.select(*[F.translate(name, _CONTROLS, _WINDOWS).alias(name) for name in EXTRACT_COLUMNS])
     return rows.withColumns(
         {
             "transaction_id": F.col("transaction_id").try_cast("bigint"),

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from farelens.schemas import EXTRACT_COLUMNS, text_schema
-from farelens.sources.extracts import as_landing
+from farelens.sources.extracts import BLANK, as_landing
 
 
 def land_new_files(
@@ -26,6 +26,7 @@ def land_new_files(
         spark.readStream.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("nullValue", BLANK)
         .option("maxFilesPerTrigger", files_per_chunk)
         .csv(folder)
     )

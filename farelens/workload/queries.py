@@ -142,11 +142,12 @@ def dim_date_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines known from the first days, then the later rows' lines inserted after them."""
+    """Stations known from the first day, then every station the whole table brings in."""
     raw = st.raw_landing(spark, sf_dir)
-    early = raw.where((F.col("Line") != "Line 2") & (F.col("Line") != "Line 4"))
-    existing = load.seed_lines(early)
-    return present(insert_absent(existing, load.seed_lines(raw, existing), "line_name"))
+    lines = load.seed_lines(raw)
+    first_day = raw.where(F.col("InsertionDateTime") < "2024-01-02")
+    known = load.seed_stations(first_day, lines).withColumn("is_interchange", F.lit(True))
+    return present(insert_absent(known, load.seed_stations(raw, lines), "station_id"))
 
 
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:

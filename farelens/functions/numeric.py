@@ -1,7 +1,9 @@
 """Exact ratios on decimals.
 
 Averages are ``sum / count``: Spark's ``avg`` of a decimal keeps six fraction digits, so rounding
-its result can round twice. Counts are widened to decimals because ``/`` on integers is a double.
+its result can round twice. For the same reason both sides are narrowed first: each further ``sum``
+widens a decimal by ten digits, and Spark pays for them with fraction digits of the quotient.
+A total beyond 18 whole digits fails the cast instead of losing digits.
 """
 
 from __future__ import annotations
@@ -9,20 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TOTAL = "decimal(20,2)"
+
 
 def as_decimal(count: Column) -> Column:
+    """Counts as decimals, because ``/`` on integers is a double."""
     return count.cast("decimal(20,0)")
 
 
-def ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:
-    """``numerator / denominator`` on decimals; blank on a zero or blank denominator."""
-    value = F.try_divide(numerator, denominator)
-    return value if digits is None else F.round(value, digits)
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """``numerator / denominator`` to 18 digits; blank on a zero or blank denominator."""
+    return F.try_divide(numerator.cast(TOTAL), denominator.cast(TOTAL))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    return ratio(part * F.lit(100), whole, digits)
+    return F.round(F.try_divide(part.cast(TOTAL) * F.lit(100), whole.cast(TOTAL)), digits)
 
 
 def mean(total: Column, count: Column, digits: int | None = None) -> Column:
-    return ratio(total, as_decimal(count), digits)
+    value = F.try_divide(total.cast(TOTAL), as_decimal(count))
+    return value if digits is None else F.round(value, digits)

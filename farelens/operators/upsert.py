@@ -11,9 +11,17 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFra
     return existing.unionByName(incoming.join(existing.select(key), key, "left_anti"))
 
 
-def append_absent(existing: DataFrame, batch: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows of ``batch`` not loaded before, so a replay adds nothing twice."""
-    return batch.join(existing.select(key), key, "left_anti")
+def append_absent(
+    existing: DataFrame, batch: DataFrame, key: str = "transaction_id", partition: str | None = None
+) -> DataFrame:
+    """Rows of ``batch`` not loaded before, so a replay adds nothing twice.
+
+    Name the ``partition`` column both sides share to read only the partitions the batch touches.
+    """
+    if partition is None:
+        return batch.join(existing.select(key), key, "left_anti")
+    touched = existing.select(partition, key).join(batch.select(partition).distinct(), partition, "left_semi")
+    return batch.join(touched, [partition, key], "left_anti")
 
 
 def number_rows(df: DataFrame, name: str, order: str, start: int = 0) -> DataFrame:

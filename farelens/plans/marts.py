@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.dates import calendar_attributes
-from farelens.functions.numeric import mean, percent, ratio
+from farelens.functions.numeric import as_decimal, mean, percent
 from farelens.operators.lookups import label
 from farelens.operators.ranking import count_positions
 from farelens.operators.trends import change_percent, count_share, share_of_total, trailing_row_mean
@@ -200,16 +200,16 @@ def daily_vs_target(star: Star, target: int = TARGET_DAILY_REVENUE) -> DataFrame
     """Average daily revenue against a target, and the days that reached it."""
     daily = star.fact.groupBy("txn_date").agg(F.sum("fare_amount").alias("daily_revenue"))
     goal = F.lit(target).cast("decimal(20,2)")
+    expected = goal * as_decimal(F.col("days_measured"))
     totals = daily.agg(
         F.sum("daily_revenue").alias("total"),
         F.count("*").alias("days_measured"),
         F.count_if(F.col("daily_revenue") >= goal).alias("days_at_or_above_target"),
     )
-    average = mean(F.col("total"), F.col("days_measured"))
     return totals.select(
-        F.round(average, 2).alias("actual_daily_avg"),
+        mean(F.col("total"), F.col("days_measured"), 2).alias("actual_daily_avg"),
         F.lit(target).cast("bigint").alias("target_daily_avg"),
-        F.round(ratio((average - goal) * 100, goal), 2).alias("variance_pct"),
+        percent(F.col("total") - expected, expected).alias("variance_pct"),
         "days_at_or_above_target",
         "days_measured",
     )

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.functions.numeric import as_decimal, mean, ratio
+from farelens.functions.numeric import as_decimal, mean, percent
 from farelens.operators.lookups import label
 from farelens.operators.trends import count_share, share_of_total
 from farelens.plans.marts import line_totals
@@ -63,16 +63,20 @@ def integrity_report(star: Star) -> DataFrame:
 
 
 def profile(star: Star) -> DataFrame:
-    """Footfall, revenue and shares by line, passenger type and day, and the network total."""
+    """Footfall, revenue and shares by line, passenger type and day, and the network total.
+
+    The look-ups keep unmatched keys under a blank member, so all four share one scan of the fact.
+    """
     keys = ["line_id", "passenger_type_id", "txn_date"]
     cube = star.fact.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("fare_amount").alias("fare"))
     sums = [F.sum("n").alias("footfall"), F.sum("fare").alias("revenue")]
-    lines = label(cube.groupBy("line_id").agg(*sums), star.lines, "line_id", "line_id", member="line_name")
+    lines = label(cube.groupBy("line_id").agg(*sums), star.lines, "line_id", "line_id", "left", member="line_name")
     types = label(
         cube.groupBy("passenger_type_id").agg(*sums),
         star.passenger_types,
         "passenger_type_id",
         "passenger_type_id",
+        "left",
         member="passenger_type",
     )
     days = cube.groupBy(F.col("txn_date").cast("string").alias("member")).agg(*sums)
@@ -111,22 +115,25 @@ def share_against_target(star: Star, targets: DataFrame) -> DataFrame:
     )
 
 
-def _shares(fact: DataFrame, key: Column) -> DataFrame:
-    counts = fact.groupBy(key.alias("member")).agg(F.count("*").alias("n"))
-    return counts.select("member", count_share("n").alias("pct"))
+def _shares(counts: DataFrame, key: str, name: str) -> DataFrame:
+    members = counts.groupBy(F.col(key).cast("string").alias("member")).agg(F.sum("n").alias("n"))
+    return members.select("member", count_share("n").alias(name))
 
 
 def sample_validation(full: DataFrame, sample: DataFrame, line: str = "line_id") -> DataFrame:
-    """Share of each hour and line in the sample against the full data, in percentage points."""
-    profiles = {"hour": F.hour("txn_timestamp").cast("string"), "line": F.col(line).cast("string")}
+    """Share of each hour and line in the sample against the full data, in percentage points.
+
+    Full data and sample are each reduced to hour and line once; both profiles come from that.
+    """
+    strata = [F.hour("txn_timestamp").alias("hour"), F.col(line).alias("line")]
+    whole, part = (df.groupBy(*strata).agg(F.count("*").alias("n")) for df in (full, sample))
     parts = []
-    for name, key in profiles.items():
-        whole = _shares(full, key).withColumnRenamed("pct", "full_pct")
-        part = _shares(sample, key).withColumnRenamed("pct", "sample_pct")
-        both = whole.join(part, "member", "left").withColumn(
-            "sample_pct", F.coalesce("sample_pct", F.lit(0).cast("decimal(5,2)"))
+    for name in ("hour", "line"):
+        both = _shares(whole, name, "full_pct").join(_shares(part, name, "sample_pct"), "member", "left")
+        missing = F.lit(0).cast(both.schema["sample_pct"].dataType)
+        parts.append(
+            both.select(F.lit(name).alias("profile"), "member", "full_pct", F.coalesce("sample_pct", missing).alias("sample_pct"))
         )
-        parts.append(both.select(F.lit(name).alias("profile"), "member", "full_pct", "sample_pct"))
     return _union(parts).withColumn("abs_diff_pct", F.abs(F.col("full_pct") - F.col("sample_pct")))
 
 
@@ -144,7 +151,7 @@ def reconcile_totals(star: Star) -> DataFrame:
     gap = F.abs(F.col("rebuilt_revenue") - F.col("revenue"))
     return (
         totals.withColumns({"avg_ticket_value": average, "rebuilt_revenue": rebuilt})
-        .withColumn("gap_pct", F.round(ratio(gap * 100, F.col("revenue")), 4))
+        .withColumn("gap_pct", percent(gap, F.col("revenue"), 4))
         .withColumn("is_reconciled", gap <= as_decimal(F.col("footfall")) * F.lit("0.005").cast("decimal(4,3)"))
     )
 

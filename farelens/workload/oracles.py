@@ -95,7 +95,8 @@ def half_up(a: str, b: str, digits: int) -> str:
 
 
 def signed_half_up(a: str, b: str, digits: int) -> str:
-    return f"sign({a}) * ({half_up(f'abs({a})', b, digits)})"
+    # Adding zero turns the minus zero of a small negative into plain zero.
+    return f"(sign({a}) * ({half_up(f'abs({a})', b, digits)}) + 0e0)"
 
 
 def share(a: str, b: str, digits: int = 2) -> str:

@@ -96,26 +96,31 @@ def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_star(spark: SparkSession, sf_dir: str) -> Star:
+def event_star(spark: SparkSession, sf_dir: str, staged: bool = False) -> Star:
+    """``staged`` writes the dimensions first, for plans that look up every single fact row."""
     fact = event_fact(spark, sf_dir)
+    keep = stage if staged else lambda df, name: df
     lines = fact.select("line_id").distinct()
     stations = fact.groupBy("origin_station_id").agg(F.min("line_id").alias("line_id"))
     types = fact.groupBy("passenger_type_id").agg(F.min("passenger_type").alias("passenger_type"))
+    lines = lines.select(
+        "line_id",
+        F.concat(F.lit("Line "), F.col("line_id").cast("string")).alias("line_name"),
+        F.concat(F.lit("C"), F.col("line_id").cast("string")).alias("line_colour_cc"),
+        F.lit(True).alias("is_active"),
+    )
+    stations = stations.select(
+        F.col("origin_station_id").alias("station_id"),
+        F.concat(F.lit("Station "), F.col("origin_station_id").cast("string")).alias("station_name"),
+        "line_id",
+        F.lit(False).alias("is_interchange"),
+    )
+    types = types.withColumn("is_digital", F.col("passenger_type").isin(*EVENT_DIGITAL))
     return Star(
         fact=fact,
-        lines=lines.select(
-            "line_id",
-            F.concat(F.lit("Line "), F.col("line_id").cast("string")).alias("line_name"),
-            F.concat(F.lit("C"), F.col("line_id").cast("string")).alias("line_colour_cc"),
-            F.lit(True).alias("is_active"),
-        ),
-        stations=stations.select(
-            F.col("origin_station_id").alias("station_id"),
-            F.concat(F.lit("Station "), F.col("origin_station_id").cast("string")).alias("station_name"),
-            "line_id",
-            F.lit(False).alias("is_interchange"),
-        ),
-        passenger_types=types.withColumn("is_digital", F.col("passenger_type").isin(*EVENT_DIGITAL)),
+        lines=keep(lines, "dim_line"),
+        stations=keep(stations, "dim_station"),
+        passenger_types=keep(types, "dim_passenger_type"),
         dates=date_dimension(observed_days(fact, "txn_date")),
     )
 

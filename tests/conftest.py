@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "farelens-tests",
         master="local[8]",
-        shuffle_partitions=8,
+        shuffle_partitions=4,
         extra={
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -114,9 +114,9 @@ def _selected(column: Column, selection: Selection) -> Column:
         low, high = selection
         return column.between(F.lit(low), F.lit(high))
     values = [v for v in selection if v is not None]
-    chosen = column.isin(values) if values else F.lit(False)
-    # A blank never matches a list of values; spell it out so the result is true or false.
-    return F.coalesce(chosen, F.lit(False)) | (column.isNull() if None in selection else F.lit(False))
+    if None not in selection:
+        return column.isin(values)
+    return column.isNull() | column.isin(values) if values else column.isNull()
 
 
 def _field(name: str) -> Column:

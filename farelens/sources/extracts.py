@@ -23,6 +23,8 @@ _WINDOWS = _CONTROLS.encode("latin-1").decode("windows-1252")
 def read_raw_text(spark: SparkSession, path: str, columns: list[str] = EXTRACT_COLUMNS) -> DataFrame:
     """Extract files as text columns; a malformed line is kept whole in ``corrupt_record``.
 
+    Column pruning stays off, because a pruned reader does not notice missing fields.
+
     The header must match ``columns``: mapping by position would silently swap fields. An unquoted
     empty field is blank and a quoted one is empty text; the marker keeps the reader from merging them.
     """
@@ -34,6 +36,8 @@ def read_raw_text(spark: SparkSession, path: str, columns: list[str] = EXTRACT_C
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("nullValue", BLANK)
+        .option("escape", '"')
+        .option("columnPruning", False)
         .csv(path)
     )
 

@@ -88,7 +88,12 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     """Delimited text with a header, one file per task."""
     money = [field.name for field in df.schema.fields if field.dataType == MONEY]
     plain = df.withColumns({name: F.col(name).cast("string") for name in money}) if money else df
-    plain.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    (
+        plain.write.option("header", True)
+        .option("escape", '"')
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .csv(path)
+    )
 
 
 def refresh_statistics(spark: SparkSession, table: str) -> None:

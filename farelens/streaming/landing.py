@@ -27,6 +27,7 @@ def land_new_files(
         .option("header", True)
         .option("enforceSchema", False)
         .option("nullValue", BLANK)
+        .option("escape", '"')
         .option("maxFilesPerTrigger", files_per_chunk)
         .csv(folder)
     )

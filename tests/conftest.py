@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "4000",
             "spark.ui.showConsoleProgress": "false",
         },
     )

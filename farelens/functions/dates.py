@@ -22,9 +22,9 @@ def calendar_attributes(day: Column) -> dict[str, Column]:
     }
 
 
-def observed_days(df: DataFrame, column: str) -> DataFrame:
-    """Every day from the smallest to the largest date in ``column``; gap days included."""
-    bounds = df.agg(F.min(column).alias("first_day"), F.max(column).alias("last_day"))
+def observed_days(df: DataFrame, first: str, last: str | None = None) -> DataFrame:
+    """Every day from the smallest ``first`` to the largest ``last`` date; gap days included."""
+    bounds = df.agg(F.min(first).alias("first_day"), F.max(last or first).alias("last_day"))
     return bounds.where(F.col("first_day").isNotNull()).select(
         F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))).alias("date_key")
     )

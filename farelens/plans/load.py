@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from farelens.functions import text
 from farelens.functions.dates import date_dimension, observed_days
 from farelens.operators.upsert import number_rows
-from farelens.schemas import DIGITAL_TYPES, FACT_SCHEMA, Star
+from farelens.schemas import (
+    DIGITAL_TYPES,
+    FACT_SCHEMA,
+    LINE_SCHEMA,
+    PASSENGER_TYPE_SCHEMA,
+    STATION_SCHEMA,
+    Star,
+)
+from farelens.session import stage
 from farelens.sources import tables
 
 FACT_COLUMNS = [field.name for field in FACT_SCHEMA.fields]
@@ -72,10 +80,42 @@ def seed_stations(raw: DataFrame, lines: DataFrame, existing: DataFrame | None =
     return stations
 
 
-def seed_dates(raw: DataFrame) -> DataFrame:
-    """Every day of the observed range; times that cannot be read are left to the reject rule."""
-    return date_dimension(
-        observed_days(raw.select(text.timestamp("InsertionDateTime").cast("date").alias("day")), "day")
+def key_combinations(raw: DataFrame) -> DataFrame:
+    """Distinct dimension keys of the raw rows with their date range.
+
+    All seeds can be drawn from this instead of the raw rows, which are then scanned only once.
+    Times that cannot be read are left to the reject rule.
+    """
+    day = text.timestamp("InsertionDateTime").cast("date")
+    return raw.groupBy("Sta", "Line", "LineCC", "PrType").agg(
+        F.min(day).alias("first_day"), F.max(day).alias("last_day")
+    )
+
+
+def seed_dates(keys: DataFrame) -> DataFrame:
+    """Every day of the observed range, from ``key_combinations``."""
+    return date_dimension(observed_days(keys, "first_day", "last_day"))
+
+
+def write_dimensions(raw: DataFrame, folder: str, digital: Sequence[str]) -> None:
+    """Seed the four dimensions from a single scan of the raw rows and write them."""
+    spark = raw.sparkSession
+    keys = stage(key_combinations(raw), "key-combinations")
+    tables.write_dimension(seed_lines(keys), f"{folder}/dim_line")
+    lines = spark.read.schema(LINE_SCHEMA).parquet(f"{folder}/dim_line")
+    tables.write_dimension(seed_passenger_types(keys, digital), f"{folder}/dim_passenger_type")
+    tables.write_dimension(seed_stations(keys, lines), f"{folder}/dim_station")
+    tables.write_dimension(seed_dates(keys), f"{folder}/dim_date")
+
+
+def convert_against(raw: DataFrame, folder: str) -> DataFrame:
+    """``convert`` against written dimensions, whose true size the look-ups then know."""
+    read = raw.sparkSession.read
+    return convert(
+        raw,
+        read.schema(LINE_SCHEMA).parquet(f"{folder}/dim_line"),
+        read.schema(PASSENGER_TYPE_SCHEMA).parquet(f"{folder}/dim_passenger_type"),
+        read.schema(STATION_SCHEMA).parquet(f"{folder}/dim_station"),
     )
 
 
@@ -165,19 +205,11 @@ def reconcile(converted: DataFrame) -> DataFrame:
 def load_star(raw: DataFrame, folder: str, digital: Sequence[str] = DIGITAL_TYPES, strict: bool = False) -> Star:
     """Load raw rows into star tables under ``folder``.
 
-    Dimensions are written first and read back, so the fact look-ups know their true size. The raw
-    rows are then read once and written once, accepted and rejected side by side.
+    The raw rows are scanned once for the dimensions and once for the fact, and written once,
+    accepted and rejected side by side.
     """
-    spark = raw.sparkSession
-    tables.write_dimension(seed_lines(raw), f"{folder}/dim_line")
-    lines = spark.read.parquet(f"{folder}/dim_line")
-    tables.write_dimension(seed_passenger_types(raw, digital), f"{folder}/dim_passenger_type")
-    types = spark.read.parquet(f"{folder}/dim_passenger_type")
-    tables.write_dimension(seed_stations(raw, lines), f"{folder}/dim_station")
-    stations = spark.read.parquet(f"{folder}/dim_station")
-    tables.write_dimension(seed_dates(raw), f"{folder}/dim_date")
-
-    converted = convert(raw, lines, types, stations)
+    write_dimensions(raw, folder, digital)
+    converted = convert_against(raw, folder)
     if strict:
         rows = accepted(converted, strict=True).withColumns(
             {"fare_text": F.lit(None).cast("string"), "reject_reason": F.lit(None).cast("string")}
@@ -186,4 +218,4 @@ def load_star(raw: DataFrame, folder: str, digital: Sequence[str] = DIGITAL_TYPE
         rows = converted
     status = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
     tables.write_fact(rows.withColumn("status", status), f"{folder}/fact", ("status",))
-    return tables.read_star(spark, folder)
+    return tables.read_star(raw.sparkSession, folder)

@@ -120,10 +120,16 @@ def _selected(column: Column, selection: Selection) -> Column:
 
 
 def _field(name: str) -> Column:
-    table, column = FIELDS[name]
-    if table == DATE and column != "txn_date":
-        return calendar_attributes(F.col("txn_date"))[column]
-    return F.col(column)
+    return F.col(FIELDS[name][1])
+
+
+def _with_date_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Derive the year, month and other date columns that ``fields`` name from ``txn_date``."""
+    names = {FIELDS[name][1] for name in fields if FIELDS[name][0] == DATE} - {"txn_date"}
+    if not names:
+        return df
+    derived = calendar_attributes(F.col("txn_date"))
+    return df.withColumns({name: derived[name] for name in sorted(names)})
 
 
 def _condition(filters: Mapping[str, Selection], fact: DataFrame | None = None) -> Column | None:
@@ -165,7 +171,7 @@ def _native_keys(fields: Sequence[str], role: str) -> list[str]:
     keys = set()
     for name in fields:
         table, column = FIELDS[name]
-        keys.add({DATE: "txn_date", FACT: column}.get(table, ROLE_KEYS[role]))
+        keys.add(column if table in (DATE, FACT) else ROLE_KEYS[role])
     return sorted(keys)
 
 
@@ -205,7 +211,8 @@ def _additive(model, specs: Mapping[str, Measure], group_by, filters, role: str)
     keys |= {"origin_station_id"} if "stations" in bases else set()
     keys |= {"txn_date"} if "days" in bases else set()
 
-    scan = _where(model.fact, _condition({n: s for n, s in common.items() if _on_fact(n)}, model.fact))
+    fact = _with_date_fields(model.fact, fields)
+    scan = _where(fact, _condition({n: s for n, s in common.items() if _on_fact(n)}, fact))
     cube = _with_dimensions(_added_up(scan, sorted(keys)), model, beyond_scan, role)
     cube = _where(cube, _condition({n: s for n, s in common.items() if not _on_fact(n)}))
 
@@ -262,7 +269,7 @@ def _trailing(model, name: str, spec: Measure, group_by, filters) -> DataFrame:
     on_dates = {n: s for n, s in filters.items() if FIELDS[n][0] == DATE}
     rest = {n: s for n, s in spec.context.filters(filters).items() if n not in on_dates}
 
-    calendar = model.calendar.select(F.col("date_key").alias("txn_date"))
+    calendar = _with_date_fields(model.calendar.select(F.col("date_key").alias("txn_date")), [*dates, *on_dates])
     chosen = _where(calendar, _condition(on_dates))
     anchors = chosen.groupBy(*[_field(n).alias(n) for n in dates]).agg(F.max("txn_date").alias("anchor"))
 

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelens.functions.dates import date_dimension, observed_days
-from farelens.plans.load import convert, seed_lines, seed_passenger_types, seed_stations
+from farelens.plans.load import convert_against, write_dimensions
 from farelens.plans.measures import ReportModel
 from farelens.schemas import EXTRACT_COLUMNS, Star
-from farelens.session import stage
+from farelens.session import fresh_path, stage
 
 FARE_DIGITAL = ("A", "N")
 EVENT_DIGITAL = ("purchase", "signup")
@@ -168,9 +168,8 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def converted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows through the load, against dimensions written first and read back."""
+    """The raw rows through the load, against dimensions written first."""
     raw = raw_landing(spark, sf_dir)
-    lines = stage(seed_lines(raw), "dim_line")
-    types = stage(seed_passenger_types(raw, EVENT_DIGITAL), "dim_passenger_type")
-    stations = stage(seed_stations(raw, lines), "dim_station")
-    return convert(raw, lines, types, stations)
+    folder = fresh_path(spark, "dimensions")
+    write_dimensions(raw, folder, EVENT_DIGITAL)
+    return convert_against(raw, folder)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farelens.functions import text
 from farelens.functions.dates import date_dimension, observed_days
+from farelens.operators.lookups import spread_blanks
 from farelens.operators.upsert import number_rows
 from farelens.schemas import (
     DIGITAL_TYPES,
@@ -136,8 +137,8 @@ def _reject_reason() -> Column:
 def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, stations: DataFrame) -> DataFrame:
     """Every raw row, typed, with ``reject_reason`` (blank = accepted) and the fare as text.
 
-    One pass over the raw rows with three left look-ups, so no row is lost. A destination column
-    that is mostly blank, or one hot code, is split by AQE when the stations outgrow a broadcast.
+    One pass over the raw rows with three left look-ups, so no row is lost. Should the stations
+    outgrow a broadcast, blank destinations are spread over the tasks and AQE splits a hot code.
     """
     typed = raw.select(
         F.col("trx_id").alias("transaction_id"),
@@ -159,7 +160,7 @@ def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, s
     return (
         typed.join(lines, "Line", "left")
         .join(types, "PrType", "left")
-        .join(known, F.col("dest_station_id") == F.col("known_dest"), "left")
+        .join(known, spread_blanks(F.col("dest_station_id"), F.col("transaction_id")) == F.col("known_dest"), "left")
         .select(*FACT_COLUMNS, "fare_text", _reject_reason().alias("reject_reason"))
     )
 

@@ -253,7 +253,15 @@ def revenue_date_rollup(star: Star) -> DataFrame:
 def flat_extract(star: Star) -> DataFrame:
     """Fact rows with both station names and the line, in the extract's column layout."""
     named = label(star.fact, star.stations, "origin_station_id", "station_id", "left", station_name="station_name")
-    named = label(named, star.stations, "dest_station_id", "station_id", "left", dest_station_name="station_name")
+    named = label(
+        named,
+        star.stations,
+        "dest_station_id",
+        "station_id",
+        "left",
+        row_id="transaction_id",
+        dest_station_name="station_name",
+    )
     named = label(
         named, star.lines, "line_id", "line_id", "left", Line="line_name", LineCC="line_colour_cc"
     )

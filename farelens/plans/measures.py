@@ -167,10 +167,13 @@ def _added_up(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     return fact.groupBy(*keys).agg(*sums)
 
 
-def _native_keys(fields: Sequence[str], role: str) -> list[str]:
+def native_keys(fields: Sequence[str], role: str, whole_dates: bool = False) -> list[str]:
+    """Fact columns that ``fields`` depend on; ``whole_dates`` keeps the date itself, not its parts."""
     keys = set()
     for name in fields:
         table, column = FIELDS[name]
+        if table == DATE and whole_dates:
+            column = "txn_date"
         keys.add(column if table in (DATE, FACT) else ROLE_KEYS[role])
     return sorted(keys)
 
@@ -207,7 +210,7 @@ def _additive(model, specs: Mapping[str, Measure], group_by, filters, role: str)
     # A filter that every context shares is applied on the scan, so its column is no grouping key.
     beyond_scan = [n for n in fields if n in group_by or not (n in common and _on_fact(n))]
     bases = {base for base, _ in wanted}
-    keys = set(_native_keys(beyond_scan, role))
+    keys = set(native_keys(beyond_scan, role))
     keys |= {"origin_station_id"} if "stations" in bases else set()
     keys |= {"txn_date"} if "days" in bases else set()
 
@@ -281,7 +284,7 @@ def _trailing(model, name: str, spec: Measure, group_by, filters) -> DataFrame:
     scan = _where(fact, _condition({n: s for n, s in rest.items() if _on_fact(n)}))
     beyond_scan = [n for n in dict.fromkeys([*others, *rest]) if n in others or not _on_fact(n)]
     role = spec.context.role
-    cube = _added_up(scan, sorted({"txn_date", *_native_keys(beyond_scan, role)}))
+    cube = _added_up(scan, sorted({"txn_date", *native_keys(beyond_scan, role)}))
     cube = _with_dimensions(cube, model, beyond_scan, role)
     cube = _where(cube, _condition({n: s for n, s in rest.items() if not _on_fact(n)}))
     daily = cube.groupBy(*[_field(n).alias(n) for n in others], "txn_date").agg(F.sum("revenue").alias("revenue"))

@@ -11,7 +11,7 @@ from farelens.functions.numeric import as_decimal
 from farelens.operators.lookups import label, same_or_both_blank
 from farelens.operators.ranking import top_with_ties
 from farelens.operators.trends import share_of_total
-from farelens.plans.measures import Measure, ReportModel, Selection, evaluate
+from farelens.plans.measures import Measure, ReportModel, Selection, evaluate, native_keys
 from farelens.schemas import Star
 from farelens.session import stage
 
@@ -81,9 +81,12 @@ def flow_matrix_wide(star: Star, destinations: Sequence[str]) -> DataFrame:
     return named.groupBy("origin").pivot("destination", list(destinations)).agg(F.sum("revenue"))
 
 
-def rollup_fact(model: ReportModel) -> ReportModel:
-    """The model over a staged rollup of its fact: one heavy scan, then small reads."""
-    keys = ["txn_date", "origin_station_id", "dest_station_id", "ticket_type", "txn_type", "fare_type"]
+def rollup_fact(model: ReportModel, fields: Sequence[str], roles: Sequence[str] = ("origin",)) -> ReportModel:
+    """The model over a staged rollup of its fact, just fine enough for ``fields``.
+
+    One heavy scan; every dataset then reads the small table.
+    """
+    keys = sorted({key for role in roles for key in native_keys(fields, role, whole_dates=True)})
     rollup = model.fact.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("fare_amount").alias("revenue"))
     return ReportModel(stage(rollup, "report-rollup"), model.stations, model.lines, model.calendar)
 
@@ -93,7 +96,6 @@ def dashboard(model: ReportModel, filters: Filters = None, known: Mapping[str, M
 
     An empty selection is the cleared dashboard.
     """
-    served = rollup_fact(model)
     both = ["total_footfall", "total_revenue"]
     grouped = {
         "kpi": None,
@@ -102,6 +104,7 @@ def dashboard(model: ReportModel, filters: Filters = None, known: Mapping[str, M
         "station": "station_name",
         "ticket_type": "ticket_type",
     }
+    served = rollup_fact(model, [*filter(None, grouped.values()), *(filters or {})])
     parts = []
     for dataset, field in grouped.items():
         rows = evaluate(served, both, [field] if field else [], filters, known)

@@ -135,6 +135,15 @@ DATE_COLUMNS = """year(day) AS year, quarter(day) AS quarter, month(day) AS mont
 
 ORACLES: dict[str, str] = {
     "land_raw": f'WITH {RAW} SELECT * FROM raw',
+    "chunked_landing": f"WITH {RAW} SELECT * FROM raw",
+    "import_dimensions": f"""WITH {STATION}
+SELECT id AS station_id, name AS station_name, line_id, home_line AS line_name, false AS is_interchange,
+  substr(home_line, 1, 2) AS line_colour_cc, CASE WHEN line_id = 0 THEN 40e0 ELSE 15e0 END AS revenue_share_target_pct
+FROM station WHERE line_id IS NOT NULL""",
+    "serving_views": f"""WITH {STATION_ROWS}
+SELECT 'vw_daily_revenue_trend' AS view_name, count(DISTINCT d) AS row_count, {money('sum(c)')} AS revenue FROM fare
+UNION ALL SELECT 'vw_line_revenue_share', count(DISTINCT line_name), {money('sum(c)')} FROM rows_
+UNION ALL SELECT 'vw_station_performance', count(*), {money('sum(c)')} FROM rows_""",
     "import_flat_extract": f"""WITH {EVENT}, home AS (SELECT DISTINCT o FROM event)
 SELECT id AS transaction_id, e.o AS "Sta", 'Station ' || e.o AS "Station", dst AS "Dest",
   CASE WHEN h.o IS NOT NULL THEN 'Station ' || dst END AS dest_station_name, 'Line ' || line_id AS "Line",
@@ -332,6 +341,14 @@ QUALIFY rank() OVER (ORDER BY sum(c) DESC) <= 10""",
     "station_flow_both_axes": f"""WITH {FLOWS}
 SELECT origin, destination, {money('c')} AS revenue FROM shown s
 WHERE EXISTS (SELECT 1 FROM best_o WHERE m IS NOT DISTINCT FROM s.origin)""",
+    "station_flow_wide": f"""WITH {FARE}, {STATION}
+SELECT a.area AS origin, {", ".join(
+        money(f"sum(c) FILTER (b.area = 'NATION_{k}')") + f' AS "NATION_{k}"' for k in range(25))}
+FROM fare f JOIN station a ON a.id = f.o JOIN station b ON b.id = f.dst GROUP BY 1""",
+    "passenger_mix_report": f"""WITH {MODEL}, g AS (
+  SELECT line_name, pt AS ticket_type, count(*) AS n FROM model GROUP BY 1, 2)
+SELECT line_name, ticket_type, n AS total_footfall,
+  {share('n', 'sum(n) OVER (PARTITION BY line_name)')} AS pct_within_line FROM g""",
     "station_flow_totals": f"""WITH {FLOWS}
 SELECT origin, destination, grouping(origin, destination) AS level, {money('sum(c)')} AS revenue
 FROM shown GROUP BY CUBE (origin, destination)""",

@@ -13,8 +13,10 @@ from farelens.operators.sampling import stratified_sample
 from farelens.operators.upsert import append_absent, insert_absent
 from farelens.plans import load, marts, quality, report
 from farelens.plans.measures import catalogue, evaluate
+from farelens.schemas import RAW_SCHEMA
 from farelens.session import fresh_path
 from farelens.sources import extracts, tables
+from farelens.streaming.landing import land_new_files
 from farelens.workload import standins as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +29,7 @@ DATE_SLICE = ("1997-01-01", "1998-12-31")
 LINE_SLICE = ["ASIA", "EUROPE"]
 TYPE_SLICE = ["A", "R"]
 STATION_SLICE = ["Supplier#000000003", "Supplier#000000007"]
+AREAS = [f"NATION_{number}" for number in range(25)]
 FARE_MEASURES = catalogue(st.FARE_DIGITAL)
 
 
@@ -81,6 +84,49 @@ def land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.drop("ingested_at", extracts.CORRUPT)
 
 
+def chunked_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows arriving as several files, landed chunk by chunk."""
+    inbox, raw, state = (fresh_path(spark, f"chunked-{part}") for part in ("inbox", "raw", "state"))
+    tables.write_extract_csv(st.raw_extract(spark, sf_dir).repartition(6), inbox)
+    land_new_files(spark, inbox, raw, state, files_per_chunk=2).awaitTermination()
+    return spark.read.schema(RAW_SCHEMA).parquet(raw).drop("ingested_at")
+
+
+def import_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line and station files written and read back, with each station's line target."""
+    star = st.fare_star(spark, sf_dir)
+    targets = _targets(star.lines)
+    line_path, station_path = fresh_path(spark, "line-csv"), fresh_path(spark, "station-csv")
+    tables.write_extract_csv(
+        star.lines.join(targets, "line_name").select(
+            "line_id", "line_name", "line_colour_cc", "revenue_share_target_pct"
+        ),
+        line_path,
+    )
+    tables.write_extract_csv(
+        star.stations.join(star.lines.select("line_id", "line_name"), "line_id").select(
+            "station_id", "station_name", "line_id", "line_name", "is_interchange"
+        ),
+        station_path,
+    )
+    lines = extracts.read_lines(spark, line_path).drop("line_name")
+    return present(extracts.read_stations(spark, station_path).join(lines, "line_id"))
+
+
+def serving_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three views, read by name: rows and revenue of each."""
+    marts.register_views(st.fare_star(spark, sf_dir))
+    parts = [
+        f"SELECT '{name}' AS view_name, count(*) AS row_count, sum({column}) AS revenue FROM {name}"
+        for name, column in {
+            "vw_daily_revenue_trend": "daily_revenue",
+            "vw_line_revenue_share": "total_revenue",
+            "vw_station_performance": "revenue",
+        }.items()
+    ]
+    return present(spark.sql(" UNION ALL ".join(parts)))
+
+
 def import_flat_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "flat-csv")
     flat = marts.flat_extract(st.event_star(spark, sf_dir, staged=True))
@@ -179,10 +225,16 @@ def sample_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def share_vs_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = st.fare_star(spark, sf_dir)
-    targets = star.lines.select(
-        "line_name", F.when(F.col("line_id") == 0, 40.0).otherwise(15.0).alias("revenue_share_target_pct")
-    )
-    return present(quality.share_against_target(star, targets))
+    return present(quality.share_against_target(star, _targets(star.lines)))
+
+
+def _targets(lines: DataFrame) -> DataFrame:
+    target = F.when(F.col("line_id") == 0, 40.0).otherwise(15.0)
+    return lines.select("line_name", target.alias("revenue_share_target_pct"))
+
+
+def flow_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(report.flow_matrix_wide(_area_star(spark, sf_dir), AREAS))
 
 
 def _staged_event_star(spark: SparkSession, sf_dir: str):
@@ -196,7 +248,10 @@ def _area_star(spark: SparkSession, sf_dir: str):
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "land_raw": land_raw,
+    "chunked_landing": chunked_landing,
     "import_flat_extract": import_flat_extract,
+    "import_dimensions": import_dimensions,
+    "serving_views": serving_views,
     "flat_extract": _mart(marts.flat_extract, _staged_event_star),
     "load_fact": load_fact,
     "persisted_star": persisted_star,
@@ -256,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "top_stations": _report(report.top_stations),
     "station_flow_matrix": _mart(report.station_flows),
     "station_flow_both_axes": _mart(report.station_flows, both_axes=True),
+    "station_flow_wide": flow_matrix_wide,
+    "passenger_mix_report": _report(report.passenger_mix),
     "station_flow_totals": _mart(report.station_flow_totals),
     "slice_line": _measures(report.KPI_MEASURES, ["ticket_type"], {"line_name": LINE_SLICE}),
     "slice_ticket_type": _measures(report.KPI_MEASURES, ["line_name"], {"ticket_type": TYPE_SLICE}),

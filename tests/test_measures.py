@@ -181,7 +181,7 @@ def test_row_and_calendar_windows_agree_without_gaps(spark):
 
 def test_rollup_gives_the_same_answers(spark, report_model):
     names = ["total_footfall", "total_revenue", "revenue_share", "revenue_by_destination"]
-    served = report.rollup_fact(report_model)
+    served = report.rollup_fact(report_model, ["line_name", "ticket_type"], ["origin", "destination"])
     for group_by in (["line_name"], ["ticket_type"]):
         assert result(served, names, group_by, {"line_name": ["Red"]}) == result(
             report_model, names, group_by, {"line_name": ["Red"]}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farelens.functions import text
 from farelens.functions.dates import date_dimension, observed_days
+from farelens.functions.numeric import fare_total
 from farelens.operators.lookups import spread_blanks
 from farelens.operators.upsert import number_rows
 from farelens.schemas import (
@@ -199,7 +200,7 @@ def reconcile(converted: DataFrame) -> DataFrame:
         F.count("*").alias("raw_rows"),
         F.count_if(good).alias("accepted_rows"),
         F.count_if(~good).alias("rejected_rows"),
-        F.sum(F.when(good, F.col("fare_amount"))).alias("accepted_revenue"),
+        fare_total(F.when(good, F.col("fare_amount"))).alias("accepted_revenue"),
     ).withColumn("is_reconciled", F.col("raw_rows") == F.col("accepted_rows") + F.col("rejected_rows"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.dates import calendar_attributes
-from farelens.functions.numeric import as_decimal, mean, percent
+from farelens.functions.numeric import as_decimal, fare_total, mean, percent
 from farelens.operators.lookups import label
 from farelens.operators.ranking import count_positions
 from farelens.operators.trends import change_percent, count_share, share_of_total, trailing_row_mean
@@ -22,15 +22,15 @@ TARGET_DAILY_REVENUE = 60_000_000  # fixed value: the default benchmark
 
 
 def _totals(fact: DataFrame, *keys: str | Column) -> DataFrame:
-    return fact.groupBy(*keys).agg(F.count("*").alias("footfall"), F.sum("fare_amount").alias("revenue"))
+    return fact.groupBy(*keys).agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
 
 
 def headline_kpis(star: Star) -> DataFrame:
     """One row: volume, revenue, average ticket, stations and period."""
     return star.fact.agg(
         F.count("*").alias("total_transactions"),
-        F.sum("fare_amount").alias("total_revenue"),
-        mean(F.sum("fare_amount"), F.count("fare_amount"), 2).alias("avg_ticket_value"),
+        fare_total().alias("total_revenue"),
+        mean(fare_total(), F.count("fare_amount"), 2).alias("avg_ticket_value"),
         F.count_distinct("origin_station_id").alias("stations_covered"),
         F.min("txn_date").alias("period_start"),
         F.max("txn_date").alias("period_end"),
@@ -44,7 +44,7 @@ def daily_totals(star: Star) -> DataFrame:
 def daily_revenue_rolling(star: Star, rows: int = 30) -> DataFrame:
     """Daily revenue against its trailing row average; the comparison is strict and unrounded."""
     trend = trailing_row_mean("daily_revenue", "txn_date", rows)
-    daily = star.fact.groupBy("txn_date").agg(F.sum("fare_amount").alias("daily_revenue"))
+    daily = star.fact.groupBy("txn_date").agg(fare_total().alias("daily_revenue"))
     return (
         daily.withColumn("revenue_30d_rolling_avg", trend)
         .withColumn(
@@ -198,7 +198,7 @@ def station_extremes(star: Star) -> DataFrame:
 
 def daily_vs_target(star: Star, target: int = TARGET_DAILY_REVENUE) -> DataFrame:
     """Average daily revenue against a target, and the days that reached it."""
-    daily = star.fact.groupBy("txn_date").agg(F.sum("fare_amount").alias("daily_revenue"))
+    daily = star.fact.groupBy("txn_date").agg(fare_total().alias("daily_revenue"))
     goal = F.lit(target).cast("decimal(20,2)")
     expected = goal * as_decimal(F.col("days_measured"))
     totals = daily.agg(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.dates import calendar_attributes
-from farelens.functions.numeric import as_decimal, mean, ratio
+from farelens.functions.numeric import as_decimal, fare_total, mean, ratio
 from farelens.operators.trends import trailing_day_totals
 from farelens.schemas import DIGITAL_TYPES
 from farelens.sources import tables
@@ -163,7 +163,7 @@ def _added_up(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     if "rows" in fact.columns:
         sums = [F.sum("rows").alias("rows"), F.sum("revenue").alias("revenue")]
     else:
-        sums = [F.count("*").alias("rows"), F.sum("fare_amount").alias("revenue")]
+        sums = [F.count("*").alias("rows"), fare_total().alias("revenue")]
     return fact.groupBy(*keys).agg(*sums)
 
 

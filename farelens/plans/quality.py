@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.functions.numeric import as_decimal, mean, percent
+from farelens.functions.numeric import as_decimal, fare_total, mean, percent
 from farelens.operators.lookups import label
 from farelens.operators.trends import count_share, share_of_total
 from farelens.plans.marts import line_totals
@@ -68,7 +68,7 @@ def profile(star: Star) -> DataFrame:
     The look-ups keep unmatched keys under a blank member, so all four share one scan of the fact.
     """
     keys = ["line_id", "passenger_type_id", "txn_date"]
-    cube = star.fact.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("fare_amount").alias("fare"))
+    cube = star.fact.groupBy(*keys).agg(F.count("*").alias("n"), fare_total().alias("fare"))
     sums = [F.sum("n").alias("footfall"), F.sum("fare").alias("revenue")]
     lines = label(cube.groupBy("line_id").agg(*sums), star.lines, "line_id", "line_id", "left", member="line_name")
     types = label(
@@ -99,7 +99,7 @@ def profile(star: Star) -> DataFrame:
 
 def days_covered(star: Star) -> DataFrame:
     """One row: days with sales and average revenue per such day."""
-    daily = star.fact.groupBy("txn_date").agg(F.sum("fare_amount").alias("revenue"))
+    daily = star.fact.groupBy("txn_date").agg(fare_total().alias("revenue"))
     return daily.agg(
         F.count("*").alias("days_covered"),
         mean(F.sum("revenue"), F.count("*"), 2).alias("daily_avg_revenue"),
@@ -145,7 +145,7 @@ def worst_difference(validation: DataFrame) -> DataFrame:
 
 def reconcile_totals(star: Star) -> DataFrame:
     """Rounded average ticket times footfall against revenue, within half a cent per row."""
-    totals = star.fact.agg(F.count("*").alias("footfall"), F.sum("fare_amount").alias("revenue"))
+    totals = star.fact.agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
     average = mean(F.col("revenue"), F.col("footfall"), 2)
     rebuilt = average.cast("decimal(18,2)") * as_decimal(F.col("footfall"))
     gap = F.abs(F.col("rebuilt_revenue") - F.col("revenue"))

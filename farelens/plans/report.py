@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.functions.numeric import as_decimal
+from farelens.functions.numeric import as_decimal, fare_total
 from farelens.operators.lookups import label, same_or_both_blank
 from farelens.operators.ranking import top_with_ties
 from farelens.operators.trends import share_of_total
@@ -52,7 +52,7 @@ def station_flows(star: Star, top: int = 10, both_axes: bool = False) -> DataFra
 
     A journey without destination belongs to the blank member, which can rank like any other.
     """
-    by_id = star.fact.groupBy("origin_station_id", "dest_station_id").agg(F.sum("fare_amount").alias("revenue"))
+    by_id = star.fact.groupBy("origin_station_id", "dest_station_id").agg(fare_total().alias("revenue"))
     named = label(by_id, star.stations, "origin_station_id", "station_id", "left", origin="station_name")
     named = label(named, star.stations, "dest_station_id", "station_id", "left", destination="station_name")
     flows = named.groupBy("origin", "destination").agg(F.sum("revenue").alias("revenue"))
@@ -75,7 +75,7 @@ def station_flow_totals(star: Star, top: int = 10) -> DataFrame:
 
 def flow_matrix_wide(star: Star, destinations: Sequence[str]) -> DataFrame:
     """The matrix with one column per named destination."""
-    by_id = star.fact.groupBy("origin_station_id", "dest_station_id").agg(F.sum("fare_amount").alias("revenue"))
+    by_id = star.fact.groupBy("origin_station_id", "dest_station_id").agg(fare_total().alias("revenue"))
     named = label(by_id, star.stations, "origin_station_id", "station_id", origin="station_name")
     named = label(named, star.stations, "dest_station_id", "station_id", destination="station_name")
     return named.groupBy("origin").pivot("destination", list(destinations)).agg(F.sum("revenue"))
@@ -87,7 +87,7 @@ def rollup_fact(model: ReportModel, fields: Sequence[str], roles: Sequence[str]
     One heavy scan; every dataset then reads the small table.
     """
     keys = sorted({key for role in roles for key in native_keys(fields, role, whole_dates=True)})
-    rollup = model.fact.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("fare_amount").alias("revenue"))
+    rollup = model.fact.groupBy(*keys).agg(F.count("*").alias("rows"), fare_total().alias("revenue"))
     return ReportModel(stage(rollup, "report-rollup"), model.stations, model.lines, model.calendar)
 
 

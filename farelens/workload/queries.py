@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelens.functions.dates import date_dimension, days_between, observed_days, report_calendar
+from farelens.functions.numeric import fare_total
 from farelens.operators.sampling import stratified_sample
 from farelens.operators.upsert import append_absent, insert_absent
 from farelens.plans import load, marts, quality, report
@@ -143,7 +144,7 @@ def persisted_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "star")
     star = load.load_star(st.raw_landing(spark, sf_dir), folder, st.EVENT_DIGITAL)
     by_month = star.fact.groupBy(tables.MONTH, "line_id").agg(
-        F.count("*").alias("footfall"), F.sum("fare_amount").alias("revenue")
+        F.count("*").alias("footfall"), fare_total().alias("revenue")
     )
     named = by_month.join(star.lines.select("line_id", "line_name"), "line_id").drop("line_id")
     return present(named)
@@ -155,7 +156,7 @@ def append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = fact.where(F.col("txn_date") < F.lit("2024-01-16").cast("date"))
     fresh = append_absent(loaded, fact, partition=tables.MONTH)
     return present(
-        fresh.groupBy("txn_date").agg(F.count("*").alias("added_rows"), F.sum("fare_amount").alias("added_revenue"))
+        fresh.groupBy("txn_date").agg(F.count("*").alias("added_rows"), fare_total().alias("added_revenue"))
     )
 
 
@@ -213,7 +214,7 @@ def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = stratified_sample(fact, "transaction_id", 0.2, F.col("line_id"), {3: 0.5})
     return present(
         sample.groupBy("line_id", F.hour("txn_timestamp").alias("hour_of_day")).agg(
-            F.count("*").alias("sampled"), F.sum("fare_amount").alias("revenue")
+            F.count("*").alias("sampled"), fare_total().alias("revenue")
         )
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from farelens.functions.dates import date_dimension, observed_days
 from farelens.plans.load import convert_against, write_dimensions
@@ -19,8 +20,15 @@ FARE_DIGITAL = ("A", "N")
 EVENT_DIGITAL = ("purchase", "signup")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once, not by a job per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def price_as_fare(price: str) -> Column:
@@ -79,7 +87,6 @@ def fare_star(spark: SparkSession, sf_dir: str, station_label: str = "s_name") -
         lines=fare_lines(spark, sf_dir),
         stations=fare_stations(spark, sf_dir, station_label),
         passenger_types=types.withColumn("is_digital", F.col("passenger_type").isin(*FARE_DIGITAL)),
-        dates=date_dimension(observed_days(fact, "txn_date")),
     )
 
 

@@ -64,11 +64,14 @@ class Words:
         up, down = _power(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self._sums, self._down = sums, down
+        self.hash = self.beginnings(len(data) + 1)
         self.bounds = np.searchsorted(self.start, offsets)
 
-    def of(self, i: int) -> np.ndarray:
-        return self.hash[self.bounds[i] : self.bounds[i + 1]]
+    def beginnings(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word, of the whole word if it is shorter."""
+        end = np.minimum(self.end, self.start + size)
+        return mix((self._sums[end] - self._sums[self.start]) * self._down[self.start])
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

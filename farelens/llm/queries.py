@@ -6,10 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import exact_dedup, mixing
+from farelens.llm import (
+    decontaminate,
+    exact_dedup,
+    html_crf,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    quality_fm,
+    quotes,
+    toxicity_cnn,
+)
 from farelens.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -18,9 +49,32 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_exact_dedup": op6_exact_dedup,
-    "op7_mixing": op7_mixing,
+    f.__name__: f
+    for f in (
+        op1_line_dedup,
+        op2_quality,
+        op3_ngram_join,
+        op4_decontamination,
+        op5_toxicity,
+        op6_exact_dedup,
+        op7_mixing,
+        op8_quotation_linking,
+        op9_pii,
+        op10_html,
+    )
 }
 
 ORACLES: dict[str, str] = {

@@ -117,6 +117,10 @@ CHECKS = {
 }
 
 
+def _passing(kind: str, spans: Column) -> Column:
+    return F.filter(spans, lambda m: CHECKS[kind](m["found"]))
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
     """doc_id, spans_<kind> of the base kinds, and candidates of the added kinds."""
     # Two control characters give way to a third; no pattern can hold any of them.
@@ -125,7 +129,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
     guard = {"email": F.col("body").contains("@"), "phone": F.col("body").contains("+"), "ip": F.col("digits"), "card": F.col("digits")}
     nothing = F.array().cast(SPANS)
     for kind, pattern in PATTERNS.items():
-        spans = F.filter(_matches(F.col("body"), pattern), lambda m, kind=kind: CHECKS[kind](m["found"]))
+        spans = _passing(kind, _matches(F.col("body"), pattern))
         columns.append(F.when(guard[kind], spans).otherwise(nothing).alias(f"spans_{kind}"))
     candidates = F.when(F.col("some"), _matches(F.col("body"), CANDIDATES)).otherwise(nothing)
     return (
@@ -273,8 +277,11 @@ def pii_report(docs: DataFrame) -> DataFrame:
     def listed(spans: Column, kind: Column) -> Column:
         return F.transform(spans, lambda s: F.concat_ws(":", kind, s["start"].cast("string"), s["stop"].cast("string")))
 
+    def of_kind(kind: str) -> Column:
+        return F.filter("added", lambda s: s["kind"] == kind)
+
     base = F.concat(*[listed(F.col(f"spans_{k}"), F.lit(k)) for k in BASE])
-    more = F.concat(*[listed(F.filter("added", lambda s, k=k: s["kind"] == k), F.lit(k)) for k in ADDED])
+    more = F.concat(*[listed(of_kind(k), F.lit(k)) for k in ADDED])
     return find_personal(docs).select(
         "doc_id",
         *[F.size(f"spans_{k}").cast("long").alias(f"n_{k}") for k in BASE],

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import chunks
+from farelens.llm.common import chunks, ship
 from farelens.session import stage
 
 BLOCK_CHARS = 4 << 20
@@ -151,6 +151,7 @@ def find_contaminated(
 ) -> DataFrame:
     """Per document: doc_id, contaminated, n_items, item_ids (ascending), min_distance (null if clean)."""
     spark = docs.sparkSession
+    ship(spark)
     item = benchmark.schema["item_id"].dataType.simpleString()
     doc = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import chunks
+from farelens.llm.common import chunks, ship
 
 # Tags that don't interrupt a block, tags that never have content, tags whose content isn't text.
 INLINE = set(
@@ -325,6 +325,7 @@ def main_text(field: Field, page: str) -> str:
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars. ``pages`` has page_id, url, html."""
+    ship(pages.sparkSession)
     field = pages.sparkSession.sparkContext.broadcast(trained())
     kind = pages.schema["page_id"].dataType.simpleString()
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import Words, chunks
+from farelens.llm.common import Words, chunks, ship
 from farelens.llm.labelled import held_out, training_rows
 from farelens.session import stage
 
@@ -148,6 +148,7 @@ def score_quality(
     threshold: float = 0.7,
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, parts, rest, max_train, epochs))
 
     def score(batches):

@@ -2,40 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets and the multiplier (coprime to the bucket count) that spreads ids over them.
-BUCKETS = 10_000
-SPREAD = 7919
+SPAN = 1 << 52  # values of the hash; as fine as a rate held in a double
 
 
-def bucket(id_column: str) -> Column:
-    """0..9999 from the id alone; reduced before multiplying so that no id overflows."""
-    return F.pmod(F.pmod(F.col(id_column), F.lit(BUCKETS)) * F.lit(SPREAD), F.lit(BUCKETS))
+def place(id_column: str) -> Column:
+    """A number from 0 to 2^52 - 1 from the whole id: ids with structure spread like any others."""
+    digest = F.md5(F.col(id_column).cast("string").cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
 
 
 def stratified_sample(
     df: DataFrame,
     id_column: str,
     rate: float = 0.2,
-    strata: Column | None = None,
+    strata: Column | Sequence[Column] | None = None,
     rates: Mapping[object, float] | None = None,
 ) -> DataFrame:
-    """Keep a row when its bucket falls below its stratum's rate.
+    """Keep a row when the hash of its id falls below its stratum's rate.
 
     A filter without shuffle, and the same rows on every run. ``rates`` overrides ``rate`` for
-    single strata of the ``strata`` expression.
+    single strata: values of the ``strata`` expression, or tuples of values of several.
     """
-    limit = F.lit(round(rate * BUCKETS))
+    limit = F.lit(round(rate * SPAN))
     if strata is not None and rates:
-        first, *rest = [(strata == F.lit(value), round(r * BUCKETS)) for value, r in rates.items()]
-        chosen = reduce(lambda acc, item: acc.when(item[0], F.lit(item[1])), rest, F.when(first[0], F.lit(first[1])))
+        columns = [strata] if isinstance(strata, Column) else list(strata)
+        chosen = F
+        for value, own in rates.items():
+            values = [value] if isinstance(strata, Column) else value
+            matches = reduce(lambda a, b: a & b, [c == F.lit(v) for c, v in zip(columns, values, strict=True)])
+            chosen = chosen.when(matches, F.lit(round(own * SPAN)))
         limit = chosen.otherwise(limit)
-    return df.where(bucket(id_column) < limit)
+    return df.where(place(id_column) < limit)
 
 
 def bernoulli_by_stratum(df: DataFrame, column: str, rates: Mapping[object, float], seed: int) -> DataFrame:

@@ -11,17 +11,19 @@ from farelens.functions import text
 from farelens.functions.dates import date_dimension, observed_days
 from farelens.functions.numeric import fare_total
 from farelens.operators.lookups import spread_blanks
-from farelens.operators.upsert import number_rows
+from farelens.operators.upsert import append_absent, insert_absent, number_rows
 from farelens.schemas import (
     DIGITAL_TYPES,
     FACT_SCHEMA,
     LINE_SCHEMA,
     PASSENGER_TYPE_SCHEMA,
+    RAW_COLUMNS,
     STATION_SCHEMA,
     Star,
 )
 from farelens.session import stage
 from farelens.sources import tables
+from farelens.sources.extracts import CORRUPT
 
 FACT_COLUMNS = [field.name for field in FACT_SCHEMA.fields]
 
@@ -86,9 +88,11 @@ def key_combinations(raw: DataFrame) -> DataFrame:
     """Distinct dimension keys of the raw rows with their date range.
 
     All seeds can be drawn from this instead of the raw rows, which are then scanned only once.
-    Times that cannot be read are left to the reject rule.
+    Times that cannot be read are left to the reject rule; malformed lines seed nothing.
     """
     day = text.timestamp("InsertionDateTime").cast("date")
+    if CORRUPT in raw.columns:
+        raw = raw.where(F.col(CORRUPT).isNull())
     return raw.groupBy("Sta", "Line", "LineCC", "PrType").agg(
         F.min(day).alias("first_day"), F.max(day).alias("last_day")
     )
@@ -99,15 +103,29 @@ def seed_dates(keys: DataFrame) -> DataFrame:
     return date_dimension(observed_days(keys, "first_day", "last_day"))
 
 
-def write_dimensions(raw: DataFrame, folder: str, digital: Sequence[str]) -> None:
-    """Seed the four dimensions from a single scan of the raw rows and write them."""
+def write_dimensions(
+    raw: DataFrame, folder: str, digital: Sequence[str], known: Star | None = None
+) -> None:
+    """Seed the four dimensions from a single scan of the raw rows and write them to ``folder``.
+
+    Rows of ``known`` keep their keys and attributes; new ones are numbered after the largest key, and
+    the dates run from the first to the last day of both.
+    """
     spark = raw.sparkSession
     keys = stage(key_combinations(raw), "key-combinations")
-    tables.write_dimension(seed_lines(keys), f"{folder}/dim_line")
+
+    def write(new: DataFrame, old: DataFrame | None, key: str, name: str) -> None:
+        tables.write_dimension(new if old is None else insert_absent(old, new, key), f"{folder}/{name}")
+
+    old = known or Star(*[None] * 5)
+    write(seed_lines(keys, old.lines), old.lines, "line_name", "dim_line")
     lines = spark.read.schema(LINE_SCHEMA).parquet(f"{folder}/dim_line")
-    tables.write_dimension(seed_passenger_types(keys, digital), f"{folder}/dim_passenger_type")
-    tables.write_dimension(seed_stations(keys, lines), f"{folder}/dim_station")
-    tables.write_dimension(seed_dates(keys), f"{folder}/dim_date")
+    write(seed_passenger_types(keys, digital, old.passenger_types), old.passenger_types, "passenger_type", "dim_passenger_type")
+    write(seed_stations(keys, lines, old.stations), old.stations, "station_id", "dim_station")
+    span = keys.select("first_day", "last_day")
+    if old.dates is not None:
+        span = span.unionByName(old.dates.agg(F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day")))
+    tables.write_dimension(seed_dates(span), f"{folder}/dim_date")
 
 
 def convert_against(raw: DataFrame, folder: str) -> DataFrame:
@@ -125,7 +143,9 @@ def _reject_reason() -> Column:
     """First rule a row breaks, in fixed order; blank when it breaks none."""
     dest_given = F.nullif(F.col("dest_text"), F.lit("")).isNotNull()
     return (
-        F.when(F.col("fare_amount").isNull(), "fare")
+        F.when(F.col(CORRUPT).isNotNull(), "record")
+        .when(F.col("transaction_id").isNull(), "transaction_id")
+        .when(F.col("fare_amount").isNull(), "fare")
         .when(F.col("origin_station_id").isNull(), "origin")
         .when(F.col("dest_station_id").isNull() & dest_given, "destination")
         .when(F.col("txn_timestamp").isNull(), "timestamp")
@@ -136,13 +156,18 @@ def _reject_reason() -> Column:
 
 
 def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, stations: DataFrame) -> DataFrame:
-    """Every raw row, typed, with ``reject_reason`` (blank = accepted) and the fare as text.
+    """Every raw row, typed, with ``reject_reason`` (blank = accepted), the fare as text, and the whole
+    raw record as text where it is rejected.
 
     One pass over the raw rows with three left look-ups, so no row is lost. Should the stations
     outgrow a broadcast, blank destinations are spread over the tasks and AQE splits a hot code.
     """
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     typed = raw.select(
         F.col("trx_id").alias("transaction_id"),
+        CORRUPT,
+        F.coalesce(CORRUPT, F.to_json(F.struct("trx_id", *RAW_COLUMNS))).alias("raw_text"),
         text.timestamp("InsertionDateTime").alias("txn_timestamp"),
         text.station_code("Sta").alias("origin_station_id"),
         text.optional_code("Dest").alias("dest_station_id"),
@@ -162,7 +187,13 @@ def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, s
         typed.join(lines, "Line", "left")
         .join(types, "PrType", "left")
         .join(known, spread_blanks(F.col("dest_station_id"), F.col("transaction_id")) == F.col("known_dest"), "left")
-        .select(*FACT_COLUMNS, "fare_text", _reject_reason().alias("reject_reason"))
+        .withColumn("reject_reason", _reject_reason())
+        .select(
+            *FACT_COLUMNS,
+            "fare_text",
+            F.when(F.col("reject_reason").isNotNull(), F.col("raw_text")).alias("raw_text"),
+            "reject_reason",
+        )
     )
 
 
@@ -176,7 +207,7 @@ def accepted(converted: DataFrame, strict: bool = False) -> DataFrame:
 
 def rejects(converted: DataFrame) -> DataFrame:
     return converted.where(F.col("reject_reason").isNotNull()).select(
-        "transaction_id", "reject_reason", "fare_text"
+        "transaction_id", "reject_reason", "fare_text", "raw_text"
     )
 
 
@@ -204,20 +235,68 @@ def reconcile(converted: DataFrame) -> DataFrame:
     ).withColumn("is_reconciled", F.col("raw_rows") == F.col("accepted_rows") + F.col("rejected_rows"))
 
 
-def load_star(raw: DataFrame, folder: str, digital: Sequence[str] = DIGITAL_TYPES, strict: bool = False) -> Star:
-    """Load raw rows into star tables under ``folder``.
+def load_star(
+    raw: DataFrame,
+    folder: str,
+    digital: Sequence[str] = DIGITAL_TYPES,
+    strict: bool = False,
+    replace_months: bool = False,
+) -> Star:
+    """Load raw rows into the star tables under ``folder``, as often as rows arrive.
 
-    The raw rows are scanned once for the dimensions and once for the fact, and written once,
-    accepted and rejected side by side.
+    Dimensions keep their keys and gain what is new. Rows already loaded (same id, same month) are not
+    added again, so a chunk or a whole extract may come twice; with ``replace_months`` the load's months
+    take the place of what earlier loads held of them. Rejects stay with their load until a later load
+    accepts or rejects the same record.
+
+    A load writes folders of its own, the accepted and rejected rows side by side in one pass, and
+    becomes visible by the last step, a line in the table of loads; one that fails leaves the star as
+    it was.
     """
-    write_dimensions(raw, folder, digital)
-    converted = convert_against(raw, folder)
+    spark = raw.sparkSession
+    loads = tables.read_loads(spark, folder)
+    number = max((load.load_seq for load in loads), default=0) + 1
+    known = tables.read_star(spark, folder) if loads else None
+    dimensions = f"{folder}/dimensions/load_seq={number}"
+    write_dimensions(raw, dimensions, digital, known)
+    converted = convert_against(raw, dimensions)
     if strict:
         rows = accepted(converted, strict=True).withColumns(
-            {"fare_text": F.lit(None).cast("string"), "reject_reason": F.lit(None).cast("string")}
+            {name: F.lit(None).cast("string") for name in ("fare_text", "raw_text", "reject_reason")}
         )
     else:
         rows = converted
+    if known is not None and not replace_months:
+        rows = _not_loaded(rows, known.fact)
     status = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
-    tables.write_fact(rows.withColumn("status", status), f"{folder}/fact", ("status",))
-    return tables.read_star(raw.sparkSession, folder)
+    own = tables.load_folder(folder, number)
+    tables.write_fact(rows.withColumn("status", status), own, ("status",), dynamic=False)
+    months = tables.months_of_load(spark, own) if replace_months else []
+    tables.commit_load(spark, folder, number, months)
+    return tables.read_star(spark, folder)
+
+
+def _not_loaded(rows: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rejected rows, and the accepted ones whose id their month does not hold yet."""
+    good = rows.where(F.col("reject_reason").isNull()).withColumn(tables.MONTH, tables.month_of(F.col("txn_date")))
+    fresh = append_absent(fact.select("transaction_id", tables.MONTH), good, partition=tables.MONTH)
+    return fresh.select(*rows.columns).unionByName(rows.where(F.col("reject_reason").isNotNull()))
+
+
+def open_rejects(spark, folder: str) -> DataFrame:
+    """Rejected records no later load has dealt with: load_seq, transaction_id, reject_reason, raw_text.
+
+    A record is known by its id, without one by its whole text.
+    """
+    loaded = tables.read_loaded(spark, folder)
+    identity = F.coalesce(F.concat(F.lit("id "), F.col("transaction_id").cast("string")), F.col("raw_text"))
+    bad = loaded.where("status = 'rejected'").withColumn("identity", identity)
+    last = bad.groupBy("identity").agg(F.max("load_seq").alias("last_seq"))
+    good = loaded.where("status = 'accepted'").groupBy(identity.alias("identity")).agg(F.max("load_seq").alias("good_seq"))
+    return (
+        bad.join(last, "identity")
+        .where("load_seq = last_seq")
+        .join(good, "identity", "left")
+        .where("good_seq IS NULL OR good_seq < load_seq")
+        .select("load_seq", "transaction_id", "reject_reason", "fare_text", "raw_text")
+    )

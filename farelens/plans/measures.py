@@ -178,6 +178,12 @@ def native_keys(fields: Sequence[str], role: str, whole_dates: bool = False) ->
     return sorted(keys)
 
 
+def _on_calendar(sums: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sums by day with the days that the calendar lacks under the blank member."""
+    days = calendar.select("date_key")
+    return sums.join(days, sums["txn_date"] == days["date_key"], "left").drop("txn_date").withColumnRenamed("date_key", "txn_date")
+
+
 def _with_dimensions(df: DataFrame, model: ReportModel, fields: Sequence[str], role: str) -> DataFrame:
     """Attach the station and line columns ``fields`` need; unmatched rows keep a blank member."""
     needed = {FIELDS[name][0] for name in fields}
@@ -208,16 +214,22 @@ def _additive(model, specs: Mapping[str, Measure], group_by, filters, role: str)
 
     fields = list(dict.fromkeys([*group_by, *common, *[n for kept in special.values() for n in kept]]))
     # A filter that every context shares is applied on the scan, so its column is no grouping key.
-    beyond_scan = [n for n in fields if n in group_by or not (n in common and _on_fact(n))]
+    beyond_scan = [n for n in fields if n in group_by or not (n in common and FIELDS[n][0] == FACT)]
     bases = {base for base, _ in wanted}
-    keys = set(native_keys(beyond_scan, role))
+    dated = "days" in bases or any(FIELDS[n][0] == DATE for n in fields)
+    keys = set(native_keys(beyond_scan, role, whole_dates=True))
     keys |= {"origin_station_id"} if "stations" in bases else set()
-    keys |= {"txn_date"} if "days" in bases else set()
-
-    fact = _with_date_fields(model.fact, fields)
-    scan = _where(fact, _condition({n: s for n, s in common.items() if _on_fact(n)}, fact))
-    cube = _with_dimensions(_added_up(scan, sorted(keys)), model, beyond_scan, role)
-    cube = _where(cube, _condition({n: s for n, s in common.items() if not _on_fact(n)}))
+    keys |= {"txn_date"} if dated else set()
+
+    # Date filters cut the scan too; which days the calendar has is seen on the sums.
+    cut = {n: s for n, s in common.items() if FIELDS[n][0] == FACT or FIELDS[n][0] == DATE and None not in s}
+    fact = _with_date_fields(model.fact, [n for n in cut])
+    scan = _where(fact, _condition(cut, fact))
+    cube = _added_up(scan, sorted(keys))
+    if dated:
+        cube = _with_date_fields(_on_calendar(cube, model.calendar), fields)
+    cube = _with_dimensions(cube, model, beyond_scan, role)
+    cube = _where(cube, _condition({n: s for n, s in common.items() if FIELDS[n][0] != FACT}))
 
     sums, columns = [], {}
     for index, (base, context) in enumerate(wanted):
@@ -244,6 +256,9 @@ def _conditional(base: str, condition: Column | None) -> Column:
     if base in ("rows", "revenue"):
         return F.sum(only(F.col(base)))
     column = F.col({"stations": "origin_station_id", "days": "txn_date"}[base])
+    if base == "days":  # a day without revenue is no part of an average over days
+        paid = F.col("revenue").isNotNull()
+        condition = paid if condition is None else condition & paid
     # The blank counts as one value; nothing at all stays blank.
     distinct = F.count_distinct(only(column)) + F.coalesce(F.max(only(column.isNull().cast("int"))), F.lit(0))
     return F.nullif(distinct, F.lit(0))
@@ -288,6 +303,8 @@ def _trailing(model, name: str, spec: Measure, group_by, filters) -> DataFrame:
     cube = _with_dimensions(cube, model, beyond_scan, role)
     cube = _where(cube, _condition({n: s for n, s in rest.items() if not _on_fact(n)}))
     daily = cube.groupBy(*[_field(n).alias(n) for n in others], "txn_date").agg(F.sum("revenue").alias("revenue"))
+    days = model.calendar.select(F.col("date_key").alias("txn_date"))
+    daily = daily.join(days, "txn_date", "left_semi")  # a window holds days of the calendar only
 
     windows = trailing_day_totals(daily, anchors, others, dates, "txn_date", "revenue", spec.trailing_days)
     return windows.select(*group_by, mean(F.col("window_total"), F.col("window_days")).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,9 @@ from farelens.operators.trends import count_share, share_of_total
 from farelens.plans.marts import line_totals
 from farelens.schemas import Star
 
-REQUIRED = ["txn_timestamp", "txn_date", "origin_station_id", "line_id", "passenger_type_id", "fare_amount"]
+REQUIRED = [
+    "transaction_id", "txn_timestamp", "txn_date", "origin_station_id", "line_id", "passenger_type_id", "fare_amount"
+]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -26,18 +29,73 @@ def _check(rows: DataFrame, name: str, count: Column) -> DataFrame:
     )
 
 
+def _used_keys(fact: DataFrame, keys: dict[str, str], also: Sequence[Column] = ()) -> DataFrame:
+    """(name, key, n): how often each value of each key column occurs, all from one scan.
+
+    Keys are text and blank keys stay. The row without a name holds the totals ``also``.
+    """
+    columns = list(dict.fromkeys(keys.values()))
+    sets = [[column] for column in columns] + ([[]] if also else [])
+    counted = fact.groupingSets(sets, *columns).agg(
+        F.count("*").alias("n"), *also, *[F.grouping(column).alias(f"without_{column}") for column in columns]
+    )
+    parts = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.col(column).cast("string").alias("key"),
+            (F.col(f"without_{column}") == 0).alias("own"),
+        )
+        for name, column in keys.items()
+    ]
+    total = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("key"), F.lit(True).alias("own"))
+    own = F.filter(F.array(*parts), lambda part: part["own"])
+    each = F.explode(F.when(F.size(own) > 0, own).otherwise(F.array(total)))
+    totals = [column for column in counted.columns if column not in columns and not column.startswith("without_") and column != "n"]
+    return counted.select(each.alias("part"), "n", *totals).select("part.name", "part.key", "n", *totals)
+
+
 def integrity_report(star: Star) -> DataFrame:
     """Violations of NOT NULL, fare >= 0, unique keys and the foreign keys, one row per rule.
 
-    The fact is reduced to its key combinations before it meets a dimension.
+    Two scans of the fact: one counts every key column's values and the column rules, one finds repeated
+    ids. Only distinct key values meet the dimensions.
     """
     fact = star.fact
-    counts = fact.agg(
-        *[F.count_if(F.col(name).isNull()).alias(f"not_null:{name}") for name in REQUIRED],
-        F.count_if(F.col("fare_amount") < 0).alias("fare_not_negative"),
+    foreign = {
+        "fk:origin_station_id": (star.stations, "origin_station_id", "station_id"),
+        "fk:dest_station_id": (star.stations, "dest_station_id", "station_id"),
+        "fk:line_id": (star.lines, "line_id", "line_id"),
+        "fk:passenger_type_id": (star.passenger_types, "passenger_type_id", "passenger_type_id"),
+        "fk:txn_date": (star.dates, "txn_date", "date_key"),
+    }
+    rules = [F.count_if(F.col(name).isNull()).alias(f"not_null:{name}") for name in REQUIRED]
+    rules.append(F.count_if(F.col("fare_amount") < 0).alias("fare_not_negative"))
+    used = _used_keys(fact, {name: key for name, (_, key, _) in foreign.items()}, rules)
+    known = _union(
+        [dim.select(F.lit(name).alias("name"), F.col(key).cast("string").alias("key")) for name, (dim, _, key) in foreign.items()]
+    ).distinct()
+    names = [f"not_null:{name}" for name in REQUIRED] + ["fare_not_negative"]
+    # Each key value is weighed once; the row of totals carries the column rules.
+    weighed = used.join(known.withColumn("known", F.lit(True)), ["name", "key"], "left").select(
+        F.explode(
+            F.when(F.col("name").isNull(), F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("n")) for n in names]))
+            .otherwise(
+                F.array(
+                    F.struct(
+                        F.col("name").alias("check_name"),
+                        F.when(F.col("known").isNull() & F.col("key").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("n"),
+                    )
+                )
+            )
+        ).alias("r")
     )
-    parts = [counts.unpivot([], counts.columns, "check_name", "violations")]
-
+    checks = [*names, *foreign]
+    listed = F.explode(F.array(*[F.lit(name) for name in checks])).alias("check_name")
+    every = fact.sparkSession.range(1).select(listed)
+    counted = weighed.groupBy("r.check_name").agg(F.sum("r.n").alias("n"))
+    parts = [
+        every.join(counted, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
+    ]
     unique = {
         "unique:transaction_id": (fact, "transaction_id"),
         "unique:line_name": (star.lines, "line_name"),
@@ -45,20 +103,8 @@ def integrity_report(star: Star) -> DataFrame:
         "unique:station_id": (star.stations, "station_id"),
     }
     for name, (table, key) in unique.items():
-        repeated = table.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+        repeated = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
         parts.append(_check(repeated, name, F.count("*")))
-
-    foreign = {
-        "fk:origin_station_id": (star.stations, "origin_station_id", "station_id"),
-        "fk:dest_station_id": (star.stations, "dest_station_id", "station_id"),
-        "fk:line_id": (star.lines, "line_id", "line_id"),
-        "fk:passenger_type_id": (star.passenger_types, "passenger_type_id", "passenger_type_id"),
-        "fk:txn_date": (star.dates, "txn_date", "date_key"),
-    }
-    for name, (dim, key, dim_key) in foreign.items():
-        used = fact.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("used_key")).agg(F.count("*").alias("n"))
-        known = dim.select(F.col(dim_key).alias("used_key"))
-        parts.append(_check(used.join(known, "used_key", "left_anti"), name, F.sum("n")))
     return _union(parts)
 
 
@@ -157,21 +203,42 @@ def reconcile_totals(star: Star) -> DataFrame:
 
 
 def blank_members(star: Star) -> DataFrame:
-    """Transactions that fall on a blank label after a left look-up, per dimension."""
+    """Transactions that fall on a blank label after a left look-up, per dimension; one scan of the fact."""
     roles = {
         "line": ("line_id", star.lines, "line_id", "line_name"),
         "origin_station": ("origin_station_id", star.stations, "station_id", "station_name"),
         "destination_station": ("dest_station_id", star.stations, "station_id", "station_name"),
         "passenger_type": ("passenger_type_id", star.passenger_types, "passenger_type_id", "passenger_type"),
     }
-    parts = []
-    for name, (key, dim, dim_key, text) in roles.items():
-        used = star.fact.groupBy(key).agg(F.count("*").alias("n"))
-        named = label(used, dim, key, dim_key, "left", member=text)
-        parts.append(
-            named.agg(
-                F.coalesce(F.sum(F.when(F.col("member").isNull(), F.col("n"))), F.lit(0)).alias("blank_rows"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
-            ).select(F.lit(name).alias("dimension"), "blank_rows", "all_rows")
-        )
-    return _union(parts)
+    used = _used_keys(star.fact, {name: key for name, (key, *_) in roles.items()})
+    known = _union(
+        [
+            dim.where(F.col(text).isNotNull()).select(F.lit(name).alias("name"), F.col(key).cast("string").alias("key"))
+            for name, (_, dim, key, text) in roles.items()
+        ]
+    ).distinct()
+    listed = F.explode(F.array(*[F.lit(name) for name in roles])).alias("dimension")
+    counted = (
+        used.join(known.withColumn("known", F.lit(True)), ["name", "key"], "left")
+        .groupBy(F.col("name").alias("dimension"))
+        .agg(F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("blank"), F.sum("n").alias("n"))
+    )
+    return (
+        star.fact.sparkSession.range(1)
+        .select(listed)
+        .join(counted, "dimension", "left")
+        .select("dimension", F.coalesce("blank", F.lit(0)).alias("blank_rows"), F.coalesce("n", F.lit(0)).alias("all_rows"))
+    )
+
+
+def average_ticket_against_target(star: Star, target: str) -> DataFrame:
+    """One row: the average ticket value next to the profile's target."""
+    totals = star.fact.agg(F.count("fare_amount").alias("paid"), fare_total().alias("revenue"))
+    average = mean(F.col("revenue"), F.col("paid"), 2).cast("decimal(18,2)")
+    wanted = F.lit(target).cast("decimal(9,2)")
+    return totals.select(
+        F.col("paid").alias("transactions"),
+        average.alias("avg_ticket_value"),
+        wanted.alias("target_avg_ticket_value"),
+        (average - wanted).alias("difference"),
+    )

@@ -54,6 +54,7 @@ RAW_SCHEMA = T.StructType(
     + [T.StructField("ingested_at", T.TimestampType())]
 )
 
+# Column names of the star tables and dimension files below.
 LINE_SCHEMA = T.StructType(
     [
         T.StructField("line_id", T.ShortType()),
@@ -99,6 +100,20 @@ PASSENGER_TYPE_SCHEMA = T.StructType(
     ]
 )
 
+DATE_SCHEMA = T.StructType(
+    [
+        T.StructField("date_key", T.DateType()),
+        T.StructField("year", T.ShortType()),
+        T.StructField("quarter", T.ShortType()),
+        T.StructField("month", T.ShortType()),
+        T.StructField("month_name", T.StringType()),
+        T.StructField("day_of_month", T.ShortType()),
+        T.StructField("day_of_week", T.ShortType()),
+        T.StructField("day_name", T.StringType()),
+        T.StructField("is_weekend", T.BooleanType()),
+    ]
+)
+
 FACT_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.LongType()),

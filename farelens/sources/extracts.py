@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,22 +42,30 @@ def read_raw_text(spark: SparkSession, path: str, columns: list[str] = EXTRACT_C
     )
 
 
+FILE = "source_file"
+
+
 def as_landing(df: DataFrame) -> DataFrame:
     """Raw landing columns: row id, the payload verbatim, and the ingestion stamp.
 
-    The extract's own id is carried when it has one. Otherwise ids follow file split and line, so
-    a task that runs again after a lost executor numbers its rows as before.
+    The extract's own id is carried when it has one; text that is no number leaves the id blank. Without
+    an id column the id is a hash of the file, the record and, for records that repeat in a file, their
+    number in it: the same file gives the same ids however often and in whatever splits it is read.
     """
-    row_id = F.col("transaction_id").try_cast("bigint") if "transaction_id" in df.columns else None
-    numbered = F.monotonically_increasing_id() if row_id is None else row_id
     extra = [CORRUPT] if CORRUPT in df.columns else []
-    return df.select(
-        numbered.alias("trx_id"), *RAW_COLUMNS, *extra, F.current_timestamp().alias("ingested_at")
-    )
+    if "transaction_id" in df.columns:
+        numbered = df.withColumn("trx_id", F.col("transaction_id").try_cast("bigint"))
+    else:
+        record = [F.coalesce(F.col(name), F.lit(BLANK)) for name in [*RAW_COLUMNS, *extra]]
+        alike = Window.partitionBy("record").orderBy("record")  # rows alike are interchangeable
+        numbered = df.withColumn("record", F.sha2(F.concat_ws("\u0001", F.col(FILE), *record), 256)).withColumn(
+            "trx_id", F.xxhash64("record", F.row_number().over(alike))
+        )
+    return numbered.select("trx_id", *RAW_COLUMNS, *extra, F.current_timestamp().alias("ingested_at"))
 
 
 def land_raw(spark: SparkSession, path: str, columns: list[str] = EXTRACT_COLUMNS) -> DataFrame:
-    return as_landing(read_raw_text(spark, path, columns))
+    return as_landing(read_raw_text(spark, path, columns).withColumn(FILE, F.col("_metadata.file_path")))
 
 
 def import_flat_extract(spark: SparkSession, path: str) -> DataFrame:
@@ -74,8 +82,8 @@ def import_flat_extract(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(
         {
             "transaction_id": F.col("transaction_id").try_cast("bigint"),
-            "Sta": F.col("Sta").try_cast("int"),
-            "Dest": F.col("Dest").try_cast("int"),
+            "Sta": F.col("Sta").try_cast("bigint"),
+            "Dest": F.col("Dest").try_cast("bigint"),
             "Value": F.col("Value").try_cast("decimal(10,2)"),
             "InsertionDateTime": text.date_part("InsertionDateTime"),
         }

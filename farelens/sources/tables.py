@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelens.schemas import (
+    DATE_SCHEMA,
     FACT_SCHEMA,
     LINE_SCHEMA,
     MONEY,
@@ -26,11 +27,14 @@ def write_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, extra_partitions: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+def write_fact(
+    df: DataFrame, path: str, extra_partitions: tuple[str, ...] = (), mode: str = "overwrite", dynamic: bool = True
+) -> None:
     """Write rows partitioned by month, in date order inside each file.
 
     The rebalance step gathers a month into few files and lets AQE split a month that is too big
-    for one task. With ``overwrite``, only the months present in ``df`` are replaced.
+    for one task. With ``overwrite``, only the months present in ``df`` are replaced, and all of the
+    path if ``dynamic`` is off.
     """
     partitions = [*extra_partitions, MONTH]
     (
@@ -38,7 +42,7 @@ def write_fact(df: DataFrame, path: str, extra_partitions: tuple[str, ...] = (),
         .hint("rebalance", *[F.col(name) for name in partitions])
         .sortWithinPartitions(*partitions, "txn_date")
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -54,14 +58,59 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 LOAD_FIELDS = (
     T.StructField("fare_text", T.StringType()),
+    T.StructField("raw_text", T.StringType()),
     T.StructField("reject_reason", T.StringType()),
+    T.StructField("load_seq", T.IntegerType()),
     T.StructField("status", T.StringType()),
 )
+LOADS_SCHEMA = T.StructType(
+    [T.StructField("load_seq", T.IntegerType()), T.StructField("replaced", T.ArrayType(T.StringType()))]
+)
+
+
+def load_folder(folder: str, number: int) -> str:
+    return f"{folder}/fact/load_seq={number}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def read_loads(spark: SparkSession, folder: str) -> list:
+    """Finished loads in order, one small row each: load_seq and the months it replaced."""
+    path = f"{folder}/loads"
+    if not _exists(spark, path):
+        return []
+    return sorted(spark.read.schema(LOADS_SCHEMA).parquet(path).collect(), key=lambda row: row.load_seq)
 
 
-def read_load(spark: SparkSession, path: str) -> DataFrame:
-    """The load's output: accepted and rejected rows under one root, one folder per status."""
-    return spark.read.schema(_with_month(FACT_SCHEMA, LOAD_FIELDS)).parquet(path)
+def commit_load(spark: SparkSession, folder: str, number: int, replaced: list[str]) -> None:
+    """Make a written load visible."""
+    done = spark.createDataFrame([(number, replaced)], LOADS_SCHEMA)
+    done.coalesce(1).write.mode("append").parquet(f"{folder}/loads")
+
+
+def months_of_load(spark: SparkSession, path: str) -> list[str]:
+    """Months that a load's accepted rows fall in."""
+    rows = spark.read.schema(T.StructType([T.StructField("status", T.StringType()), T.StructField(MONTH, T.StringType())]))
+    found = rows.parquet(path).where("status = 'accepted'").select(MONTH).distinct().collect()
+    return sorted(row[0] for row in found)
+
+
+def read_loaded(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of finished loads, accepted and rejected, with load_seq, status and month.
+
+    Loads and replaced months are folder conditions, so hidden rows are never read.
+    """
+    loads = read_loads(spark, folder)
+    rows = spark.read.schema(_with_month(FACT_SCHEMA, LOAD_FIELDS)).parquet(f"{folder}/fact")
+    visible = F.col("load_seq").isin([load.load_seq for load in loads])
+    for load in loads:
+        if load.replaced:
+            hidden = (F.col("status") == "accepted") & (F.col("load_seq") < load.load_seq) & F.col(MONTH).isin(load.replaced)
+            visible = visible & ~F.coalesce(hidden, F.lit(False))
+    return rows.where(visible)
 
 
 def days(fact: DataFrame, first, last) -> Column:
@@ -74,13 +123,15 @@ def days(fact: DataFrame, first, last) -> Column:
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    loaded = read_load(spark, f"{folder}/fact").where("status = 'accepted'")
+    """The star as the last finished load left it."""
+    last = f"{folder}/dimensions/load_seq={read_loads(spark, folder)[-1].load_seq}"
+    loaded = read_loaded(spark, folder).where("status = 'accepted'")
     return Star(
-        fact=loaded.drop("fare_text", "reject_reason", "status"),
-        lines=spark.read.schema(LINE_SCHEMA).parquet(f"{folder}/dim_line"),
-        stations=spark.read.schema(STATION_SCHEMA).parquet(f"{folder}/dim_station"),
-        passenger_types=spark.read.schema(PASSENGER_TYPE_SCHEMA).parquet(f"{folder}/dim_passenger_type"),
-        dates=spark.read.parquet(f"{folder}/dim_date"),
+        fact=loaded.drop("fare_text", "raw_text", "reject_reason", "status", "load_seq"),
+        lines=spark.read.schema(LINE_SCHEMA).parquet(f"{last}/dim_line"),
+        stations=spark.read.schema(STATION_SCHEMA).parquet(f"{last}/dim_station"),
+        passenger_types=spark.read.schema(PASSENGER_TYPE_SCHEMA).parquet(f"{last}/dim_passenger_type"),
+        dates=spark.read.schema(DATE_SCHEMA).parquet(f"{last}/dim_date"),
     )
 
 

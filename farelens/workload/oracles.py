@@ -67,7 +67,7 @@ dim_station AS (
 
 LOADED = f"""{SEEDS}, typed AS (
   SELECT raw.*, l.line_id, t.passenger_type_id,
-         CASE WHEN regexp_full_match("Value", '[0-9]+([.][0-9]+)?') AND length("Value") <= 11
+         CASE WHEN regexp_full_match("Value", '[0-9]+([.][0-9]+)?') AND CAST("Value" AS DOUBLE) < 1e8
               THEN CAST(round(CAST("Value" AS DOUBLE) * 100) AS BIGINT) END AS c,
          CASE WHEN regexp_full_match("Sta", '[0-9]+') THEN CAST("Sta" AS BIGINT) END AS o,
          TRY_CAST(nullif("Dest", '') AS INTEGER) AS dst, nullif("Dest", '') IS NOT NULL AS dst_given,
@@ -82,6 +82,43 @@ judged AS (
   FROM typed LEFT JOIN dim_station s ON s.station_id = typed.dst)"""
 
 
+# Raw rows without the malformed lines, and what the load makes of them.
+FAULTY = LOADED.replace(RAW, RAW.replace("FROM events)", "FROM events WHERE event_id % 131 <> 0)"))
+
+
+def loads(parts: list[tuple[str, str]], line: str = '"Line"', changed: str = "raw") -> str:
+    """Rows of several loads: ``seen(load_no, trx_id, reason, c, ts, line_name)``; a destination is known
+    once any load so far had it as origin. ``changed`` is the table that loads after the first read."""
+    rows = " UNION ALL ".join(
+        f"SELECT {n} AS load_no, t.*, {line if n else '"Line"'} AS line_name FROM {changed if n else 'raw'} t "
+        f"WHERE \"InsertionDateTime\" BETWEEN '{first}' AND '{last}'"
+        for n, (first, last) in enumerate(parts)
+    )
+    return f"""part AS ({rows}), typed AS (
+  SELECT part.*, CASE WHEN regexp_full_match("Value", '[0-9]+([.][0-9]+)?') AND CAST("Value" AS DOUBLE) < 1e8
+              THEN CAST(round(CAST("Value" AS DOUBLE) * 100) AS BIGINT) END AS c,
+         CASE WHEN regexp_full_match("Sta", '[0-9]+') THEN CAST("Sta" AS BIGINT) END AS o,
+         TRY_CAST(nullif("Dest", '') AS INTEGER) AS dst, nullif("Dest", '') IS NOT NULL AS dst_given,
+         TRY_CAST("InsertionDateTime" AS TIMESTAMP) AS ts FROM part),
+origin AS (SELECT o, min(load_no) AS first_load FROM typed WHERE o IS NOT NULL GROUP BY 1),
+seen AS (SELECT load_no, trx_id, c, ts, line_name, CASE
+    WHEN c IS NULL THEN 'fare' WHEN typed.o IS NULL THEN 'origin' WHEN dst IS NULL AND dst_given THEN 'destination'
+    WHEN ts IS NULL THEN 'timestamp' WHEN "PrType" IS NULL THEN 'passenger_type'
+    WHEN dst IS NOT NULL AND (first_load IS NULL OR first_load > load_no) THEN 'destination_fk' END AS reason
+  FROM typed LEFT JOIN origin ON origin.o = dst),
+good AS (SELECT trx_id, min(load_no) AS load_no, any_value(c) AS c, any_value(ts) AS ts, any_value(line_name) AS line_name
+  FROM seen WHERE reason IS NULL GROUP BY 1)"""
+
+
+def sampled(id_text: str) -> str:
+    """A row's place in [0, 2^52) from the hash of its id."""
+    return f"CAST('0x' || substr(md5(CAST({id_text} AS VARCHAR)), 1, 13) AS BIGINT)"
+
+
+def rate(value: float) -> int:
+    return round(value * (1 << 52))
+
+
 def money(cents: str) -> str:
     return f"CAST({cents} AS DOUBLE) / 100e0"
 
@@ -133,9 +170,40 @@ DATE_COLUMNS = """year(day) AS year, quarter(day) AS quarter, month(day) AS mont
   strftime(day, '%a') AS day_name, isodow(day) >= 6 AS is_weekend"""
 
 
+VALIDATION = f"""{EVENT}, m AS (
+  SELECT 'hour' AS profile, CAST(hour(ts) AS VARCHAR) AS member, {sampled('id')} < {rate(0.2)} AS s FROM event
+  UNION ALL SELECT 'line', CAST(line_id AS VARCHAR), {sampled('id')} < {rate(0.2)} FROM event),
+g AS (SELECT profile, member, count(*) AS n, count(*) FILTER (s) AS k FROM m GROUP BY 1, 2),
+p AS (SELECT profile, member, {share('n', 'sum(n) OVER (PARTITION BY profile)')} AS full_pct,
+  {share('k', 'sum(k) OVER (PARTITION BY profile)')} AS sample_pct FROM g),
+v AS (SELECT *, round(abs(full_pct - sample_pct), 2) AS abs_diff_pct FROM p)"""
+
 ORACLES: dict[str, str] = {
     "land_raw": f'WITH {RAW} SELECT * FROM raw',
-    "chunked_landing": f"WITH {RAW} SELECT * FROM raw",
+    "chunked_landing": f"""WITH {RAW} SELECT *, NULL AS corrupt_record FROM raw
+UNION ALL SELECT trx_id, 'short', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, trx_id || ',short'
+FROM raw WHERE trx_id % 131 = 0""",
+    "land_without_ids": f"""WITH {RAW}
+SELECT "Line", 2 * count(*) AS added_rows, 2 * count(*) AS ids FROM raw
+WHERE "InsertionDateTime" >= '2024-01-16' GROUP BY 1""",
+    "load_twice": f"""WITH {RAW}, {loads([('', '2024-01-16'), ('2024-01-16', 'z')],
+    "CASE WHEN trx_id % 7 = 0 THEN 'A line' ELSE \"Line\" END")},
+named AS (SELECT line_name, row_number() OVER (ORDER BY first_load, line_name) AS line_id
+  FROM (SELECT line_name, min(load_no) AS first_load FROM seen GROUP BY 1)),
+span AS (SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM seen)
+SELECT line_id, line_name, count(*) AS footfall, {money('sum(c)')} AS revenue, min(first_day) AS first_day,
+  max(last_day) AS last_day
+FROM good JOIN named USING (line_name), span GROUP BY 1, 2""",
+    "load_partial_month": f"""WITH {RAW}, {loads([('2024-01-01', '2024-01-10'), ('2024-01-10', '2024-01-20'),
+    ('2024-01-05', '2024-01-15')])}
+SELECT CAST(ts AS DATE) AS txn_date, count(*) AS footfall, {money('sum(c)')} AS revenue FROM good GROUP BY 1""",
+    "load_corrected_replay": f"""WITH {RAW}, mended AS (SELECT * REPLACE (
+    CASE WHEN "Value" = 'N/A' THEN '1.00' ELSE "Value" END AS "Value",
+    CASE WHEN trx_id % 2 = 0 AND "InsertionDateTime" = 'not-a-time' THEN '2024-01-07 00:00:00'
+         ELSE "InsertionDateTime" END AS "InsertionDateTime") FROM raw),
+{loads([('', 'z'), ('', 'z')], changed='mended')}
+SELECT reason AS outcome, count(*) AS row_count FROM seen WHERE load_no = 1 AND reason IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'accepted', count(*) FROM good""",
     "import_dimensions": f"""WITH {STATION}
 SELECT id AS station_id, name AS station_name, line_id, home_line AS line_name, false AS is_interchange,
   substr(home_line, 1, 2) AS line_colour_cc, CASE WHEN line_id = 0 THEN 40e0 ELSE 15e0 END AS revenue_share_target_pct
@@ -186,33 +254,49 @@ FROM calendar LEFT JOIN daily ON d = day""",
 SELECT station_id, min(station_name) AS station_name,
   coalesce(min(line_id) FILTER (early), min(line_id)) AS line_id, bool_or(early) AS is_interchange
 FROM candidate GROUP BY 1""",
-    "load_rejects": f"""WITH {LOADED}
+    "load_rejects": f"""WITH {FAULTY}, bad AS (
+  SELECT CASE WHEN trx_id % 127 = 0 THEN 'transaction_id' ELSE reason END AS reason, "Value", trx_id FROM judged
+  WHERE reason IS NOT NULL OR trx_id % 127 = 0
+  UNION ALL SELECT 'record', "Value", trx_id FROM (WITH {RAW} SELECT * FROM raw WHERE trx_id % 131 = 0))
 SELECT reason AS reject_reason, count(*) AS rejected_rows, count(DISTINCT "Value") AS distinct_fare_texts,
-  arg_min("Value", trx_id) AS example_fare_text
-FROM judged WHERE reason IS NOT NULL GROUP BY 1""",
+  arg_min("Value", CASE WHEN trx_id % 127 <> 0 THEN trx_id END) AS example_fare_text
+FROM bad GROUP BY 1""",
     "load_reconciliation": f"""WITH {LOADED}
 SELECT count(*) AS raw_rows, count(*) FILTER (reason IS NULL) AS accepted_rows,
   count(*) FILTER (reason IS NOT NULL) AS rejected_rows,
   {money('sum(c) FILTER (reason IS NULL)')} AS accepted_revenue, true AS is_reconciled FROM judged""",
-    "integrity_report": f"""WITH {EVENT}
-SELECT 'not_null:txn_timestamp' AS check_name, count(*) FILTER (ts IS NULL) AS violations FROM event
-UNION ALL SELECT 'not_null:txn_date', count(*) FILTER (d IS NULL) FROM event
-UNION ALL SELECT 'not_null:origin_station_id', count(*) FILTER (o IS NULL) FROM event
-UNION ALL SELECT 'not_null:line_id', count(*) FILTER (line_id IS NULL) FROM event
-UNION ALL SELECT 'not_null:passenger_type_id', count(*) FILTER (pt_id IS NULL) FROM event
-UNION ALL SELECT 'not_null:fare_amount', count(*) FILTER (c IS NULL) FROM event
-UNION ALL SELECT 'fare_not_negative', count(*) FILTER (c < 0) FROM event
-UNION ALL SELECT 'unique:transaction_id', count(*) FROM (SELECT id FROM event GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'unique:line_name', 0
-UNION ALL SELECT 'unique:passenger_type', count(*) FROM (
-  SELECT pt FROM (SELECT pt_id, min(pt) AS pt FROM event GROUP BY 1) GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'unique:station_id', 0
-UNION ALL SELECT 'fk:origin_station_id', 0
-UNION ALL SELECT 'fk:dest_station_id', count(*) FROM event
-  WHERE dst IS NOT NULL AND dst NOT IN (SELECT o FROM event)
-UNION ALL SELECT 'fk:line_id', 0
-UNION ALL SELECT 'fk:passenger_type_id', 0
-UNION ALL SELECT 'fk:txn_date', 0""",
+    "integrity_report": f"""WITH {EVENT}, types AS (SELECT DISTINCT pt, pt_id FROM event),
+type_dim AS (SELECT * FROM types UNION ALL SELECT pt, 51 FROM types WHERE pt = 'purchase'),
+lines AS (SELECT DISTINCT line_id, 'Line ' || line_id AS name FROM event),
+line_dim AS (SELECT * FROM lines UNION ALL SELECT 50, name FROM lines WHERE line_id = 0),
+stations AS (SELECT DISTINCT o FROM event),
+station_dim AS (SELECT * FROM stations UNION ALL SELECT * FROM stations WHERE o IN (1, 2)),
+span AS (SELECT min(d) AS a, max(d) AS b FROM event),
+f AS (SELECT CASE WHEN id % 97 = 0 THEN NULL WHEN id % 101 = 1 THEN id - 1 ELSE id END AS id,
+  CASE WHEN id % 41 <> 0 THEN ts END AS ts,
+  CASE WHEN id % 43 = 0 THEN NULL WHEN id % 47 = 0 THEN d + 1000 ELSE d END AS d,
+  CASE WHEN id % 53 = 0 THEN NULL WHEN id % 59 = 0 THEN 9999999 ELSE o END AS o,
+  CASE WHEN id % 89 = 0 THEN 9999999 ELSE dst END AS dst,
+  CASE WHEN id % 61 = 0 THEN NULL WHEN id % 67 = 0 THEN 99 ELSE line_id END AS line_id,
+  CASE WHEN id % 71 = 0 THEN NULL WHEN id % 73 = 0 THEN 99 ELSE pt_id END AS pt_id,
+  CASE WHEN id % 79 = 0 THEN NULL WHEN id % 83 = 0 THEN -c ELSE c END AS c FROM event)
+SELECT 'not_null:transaction_id' AS check_name, count(*) FILTER (id IS NULL) AS violations FROM f
+UNION ALL SELECT 'not_null:txn_timestamp', count(*) FILTER (ts IS NULL) FROM f
+UNION ALL SELECT 'not_null:txn_date', count(*) FILTER (d IS NULL) FROM f
+UNION ALL SELECT 'not_null:origin_station_id', count(*) FILTER (o IS NULL) FROM f
+UNION ALL SELECT 'not_null:line_id', count(*) FILTER (line_id IS NULL) FROM f
+UNION ALL SELECT 'not_null:passenger_type_id', count(*) FILTER (pt_id IS NULL) FROM f
+UNION ALL SELECT 'not_null:fare_amount', count(*) FILTER (c IS NULL) FROM f
+UNION ALL SELECT 'fare_not_negative', count(*) FILTER (c < 0) FROM f
+UNION ALL SELECT 'unique:transaction_id', count(*) FROM (SELECT id FROM f WHERE id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique:line_name', count(*) FROM (SELECT name FROM line_dim GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique:passenger_type', count(*) FROM (SELECT pt FROM type_dim GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'unique:station_id', count(*) FROM (SELECT o FROM station_dim GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'fk:origin_station_id', count(*) FROM f WHERE o NOT IN (SELECT o FROM station_dim)
+UNION ALL SELECT 'fk:dest_station_id', count(*) FROM f WHERE dst NOT IN (SELECT o FROM station_dim)
+UNION ALL SELECT 'fk:line_id', count(*) FROM f WHERE line_id NOT IN (SELECT line_id FROM line_dim)
+UNION ALL SELECT 'fk:passenger_type_id', count(*) FROM f WHERE pt_id NOT IN (SELECT pt_id FROM type_dim)
+UNION ALL SELECT 'fk:txn_date', count(*) FROM f, span WHERE d NOT BETWEEN a AND b""",
     "headline_kpis": f"""WITH {FARE}
 SELECT count(*) AS total_transactions, {money('sum(c)')} AS total_revenue,
   {half_up('sum(c)', 'count(*) * 100', 2)} AS avg_ticket_value, count(DISTINCT o) AS stations_covered,
@@ -290,6 +374,17 @@ SELECT line_name, {half_up('sum(c)', 'count(DISTINCT d) * 100', 2)} AS daily_avg
     "daily_target_scaled": f"""WITH {DAILY}
 SELECT year(d) AS year, {half_up('sum(c)', 'count(*) * 100', 2)} AS daily_avg_revenue,
   {half_up('sum(c) * 967', 'count(*) * 100000', 2)} AS daily_revenue_target FROM daily GROUP BY 1""",
+    "daily_avg_fixed_calendar": f"""WITH {MODEL}, f AS (
+  SELECT line_name, c, CASE WHEN d BETWEEN DATE '1997-04-28' AND DATE '1997-08-04' THEN d END AS d FROM model)
+SELECT line_name, {half_up('sum(c)', '(count(DISTINCT d) + max(CASE WHEN d IS NULL THEN 1 ELSE 0 END)) * 100', 2)}
+  AS daily_avg_revenue FROM f GROUP BY 1""",
+    "revenue_by_date_outside_calendar": f"""WITH {DAILY}, days AS (
+  SELECT CAST(unnest(generate_series(DATE '1997-04-28', DATE '1997-08-04', INTERVAL 1 DAY)) AS DATE) AS date),
+t AS (SELECT days.date, sum(c) AS c FROM daily LEFT JOIN days ON d = days.date GROUP BY 1),
+w AS (SELECT days.date, sum(c) AS s, count(c) AS k FROM days JOIN daily
+  ON d BETWEEN greatest(days.date - 29, DATE '1997-04-28') AND days.date GROUP BY 1)
+SELECT date, {money('c')} AS total_revenue, {half_up('s', 'k * 100', 2)} AS revenue_30d_rolling_avg
+FROM t FULL JOIN w USING (date)""",
     "revenue_30d_calendar": f"""WITH {DAILY}, {CALENDAR}
 SELECT day AS date, {half_up('sum(c)', 'count(c) * 100', 2)} AS revenue_30d_rolling_avg
 FROM calendar JOIN daily ON d BETWEEN day - 29 AND day GROUP BY 1""",
@@ -370,14 +465,17 @@ SELECT dataset, member, count(*) AS total_footfall, {money('sum(c)')} AS total_r
   UNION ALL SELECT 'ticket_type', pt, c FROM f) GROUP BY 1, 2""",
     "stratified_sample": f"""WITH {EVENT}
 SELECT line_id, hour(ts) AS hour_of_day, count(*) AS sampled, {money('sum(c)')} AS revenue
-FROM event WHERE (id * 7919) % 10000 < CASE WHEN line_id = 3 THEN 5000 ELSE 2000 END GROUP BY 1, 2""",
-    "sample_validation": f"""WITH {EVENT}, m AS (
-  SELECT 'hour' AS profile, CAST(hour(ts) AS VARCHAR) AS member, (id * 7919) % 10000 < 2000 AS s FROM event
-  UNION ALL SELECT 'line', CAST(line_id AS VARCHAR), (id * 7919) % 10000 < 2000 FROM event),
-g AS (SELECT profile, member, count(*) AS n, count(*) FILTER (s) AS k FROM m GROUP BY 1, 2),
-p AS (SELECT profile, member, {share('n', 'sum(n) OVER (PARTITION BY profile)')} AS full_pct,
-  {share('k', 'sum(k) OVER (PARTITION BY profile)')} AS sample_pct FROM g)
-SELECT *, round(abs(full_pct - sample_pct), 2) AS abs_diff_pct FROM p""",
+FROM event WHERE {sampled('id')} < CASE WHEN line_id = 3 AND hour(ts) = 5 THEN {rate(0.5)}
+  WHEN line_id = 2 AND hour(ts) = 7 THEN {rate(0.00004)} ELSE {rate(0.2)} END GROUP BY 1, 2""",
+    "sample_coded_ids": f"""WITH {EVENT}
+SELECT line_id, hour(ts) AS hour_of_day, count(*) AS sampled, {money('sum(c)')} AS revenue
+FROM event WHERE {sampled('(id * 10000 + hour(ts))')} < {rate(0.2)} GROUP BY 1, 2""",
+    "sample_validation": f"""WITH {VALIDATION} SELECT * FROM v""",
+    "sample_validation_worst": f"""WITH {VALIDATION}
+SELECT profile, count(*) AS members, max(abs_diff_pct) AS max_abs_diff_pct FROM v GROUP BY 1""",
+    "avg_ticket_vs_target": f"""WITH {FARE}, a AS (
+  SELECT count(c) AS transactions, {half_up('sum(c)', 'count(c) * 100', 2)} AS avg_ticket_value FROM fare)
+SELECT *, 38000e0 AS target_avg_ticket_value, round(avg_ticket_value - 38000, 2) AS difference FROM a""",
     "share_vs_target": with_lines(f"""
 , s AS (SELECT line_name, c, {share('c', 'sum(c) OVER ()')} AS share_pct,
   CASE WHEN line_name = 'AFRICA' THEN 40e0 ELSE 15e0 END AS target_pct FROM by_line)

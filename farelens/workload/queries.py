@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from farelens.operators.sampling import stratified_sample
 from farelens.operators.upsert import append_absent, insert_absent
 from farelens.plans import load, marts, quality, report
 from farelens.plans.measures import catalogue, evaluate
-from farelens.schemas import RAW_SCHEMA
-from farelens.session import fresh_path
+from farelens.schemas import EXTRACT_COLUMNS, RAW_SCHEMA
+from farelens.session import fresh_path, stage
 from farelens.sources import extracts, tables
 from farelens.streaming.landing import land_new_files
 from farelens.workload import standins as st
@@ -25,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries; the oracle SQL states the same values.
 OD_MIN_JOURNEYS = 30
 DAILY_TARGET = 1_250_000
+AVG_TICKET_TARGET = "38000.00"
+# The report's calendar range, moved to the years of the test data.
 FIXED_RANGE = ("1997-04-28", "1997-08-04")
 DATE_SLICE = ("1997-01-01", "1998-12-31")
 LINE_SLICE = ["ASIA", "EUROPE"]
@@ -67,6 +70,17 @@ RATIO_DIGITS = {
 }
 
 
+def _short_calendar(names: list[str], group_by=()) -> Query:
+    """Measures over a calendar that lacks some days with sales."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        model = st.fare_model(spark, sf_dir)
+        model = replace(model, calendar=days_between(spark, *FIXED_RANGE))
+        return present(evaluate(model, names, group_by, None, FARE_MEASURES), RATIO_DIGITS)
+
+    return run
+
+
 def _measures(names: list[str], group_by=(), filters=None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = evaluate(st.fare_model(spark, sf_dir), names, group_by, filters, FARE_MEASURES)
@@ -86,11 +100,29 @@ def land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunked_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows arriving as several files, landed chunk by chunk."""
+    """The same rows arriving as several files, one of malformed lines, landed chunk by chunk."""
     inbox, raw, state = (fresh_path(spark, f"chunked-{part}") for part in ("inbox", "raw", "state"))
-    tables.write_extract_csv(st.raw_extract(spark, sf_dir).repartition(6), inbox)
-    land_new_files(spark, inbox, raw, state, files_per_chunk=2).awaitTermination()
-    return spark.read.schema(RAW_SCHEMA).parquet(raw).drop("ingested_at")
+    tables.write_extract_csv(st.raw_extract(spark, sf_dir).repartition(6), f"{inbox}/whole")
+    short = st.raw_landing(spark, sf_dir).where("trx_id % 131 = 0").selectExpr("concat(trx_id, ',short') AS value")
+    header = spark.createDataFrame([(",".join(EXTRACT_COLUMNS),)], "value string")
+    header.union(short).coalesce(1).write.text(f"{inbox}/short")
+    land_new_files(spark, f"{inbox}/*", raw, state, files_per_chunk=2).awaitTermination()
+    landed = spark.read.schema(RAW_SCHEMA.add(extracts.CORRUPT, T.StringType())).parquet(raw)
+    return landed.drop("ingested_at")
+
+
+def land_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without an id column, landed again with a new file beside them: rows the second landing adds."""
+    inbox = fresh_path(spark, "without-ids")
+    rows = st.raw_extract(spark, sf_dir).drop("transaction_id")
+    first = F.col("InsertionDateTime") < "2024-01-16"
+    columns = EXTRACT_COLUMNS[1:]
+    tables.write_extract_csv(rows.where(first).repartition(3), f"{inbox}/first")
+    before = stage(extracts.land_raw(spark, f"{inbox}/*", columns), "landed")
+    tables.write_extract_csv(rows.where(~first).unionByName(rows.where(~first)).repartition(2), f"{inbox}/second")
+    again = extracts.land_raw(spark, f"{inbox}/*", columns)
+    added = append_absent(before, again, key="trx_id")
+    return present(added.groupBy("Line").agg(F.count("*").alias("added_rows"), F.count_distinct("trx_id").alias("ids")))
 
 
 def import_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +182,52 @@ def persisted_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(named)
 
 
+def _load_days(spark: SparkSession, sf_dir: str, parts, change=None):
+    """Loads the raw rows of each (first, last) part into one star; ``change`` alters a part's rows."""
+    folder = fresh_path(spark, "star")
+    raw = st.raw_landing(spark, sf_dir)
+    for number, (first, last) in enumerate(parts):
+        rows = raw.where(F.col("InsertionDateTime").between(first, last))
+        star = load.load_star(change(rows, number) if change else rows, folder, st.EVENT_DIGITAL)
+    return star, folder
+
+
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two periods, the second with a line that sorts first: rows and revenue per line name and key."""
+
+    def renamed(rows: DataFrame, number: int) -> DataFrame:
+        new = F.when(F.expr("trx_id % 7 = 0"), "A line").otherwise(F.col("Line"))
+        return rows.withColumn("Line", new) if number else rows
+
+    star, _ = _load_days(spark, sf_dir, [("", "2024-01-16"), ("2024-01-16", "z")], renamed)
+    totals = star.fact.groupBy("line_id").agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
+    spans = star.dates.agg(F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day"))
+    return present(totals.join(star.lines.select("line_id", "line_name"), "line_id").crossJoin(spans))
+
+
+def load_partial_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of one month, the last overlapping both others: rows and revenue per day."""
+    parts = [("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-05", "2024-01-15")]
+    star, _ = _load_days(spark, sf_dir, parts)
+    return present(star.fact.groupBy("txn_date").agg(F.count("*").alias("footfall"), fare_total().alias("revenue")))
+
+
+def load_corrected_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows again with the fares of ``N/A`` and some times mended: rejects left, and accepted rows."""
+
+    def mended(rows: DataFrame, number: int) -> DataFrame:
+        if not number:
+            return rows
+        fare = F.when(F.col("Value") == "N/A", "1.00").otherwise(F.col("Value"))
+        time = F.when(F.expr("trx_id % 2 = 0 AND InsertionDateTime = 'not-a-time'"), "2024-01-07 00:00:00")
+        return rows.withColumns({"Value": fare, "InsertionDateTime": F.coalesce(time, "InsertionDateTime")})
+
+    star, folder = _load_days(spark, sf_dir, [("", "z"), ("", "z")], mended)
+    left = load.open_rejects(spark, folder).groupBy(F.col("reject_reason").alias("outcome")).agg(F.count("*").alias("row_count"))
+    good = star.fact.agg(F.count("*").alias("row_count")).select(F.lit("accepted").alias("outcome"), "row_count")
+    return present(left.unionByName(good))
+
+
 def append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replaying a load whose first part is already there adds only the rest."""
     fact = st.event_fact(spark, sf_dir).withColumn(tables.MONTH, tables.month_of(F.col("txn_date")))
@@ -198,7 +276,8 @@ def upsert_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(load.rejects_by_reason(st.converted(spark, sf_dir)))
+    """With malformed lines and ids that are no numbers among the faults."""
+    return present(load.rejects_by_reason(st.converted(spark, sf_dir, faulty=True)))
 
 
 def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,9 +288,14 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample's size and revenue per stratum; one line is sampled at a higher rate."""
+    """The sample's size and revenue per line and hour; two strata have rates of their own."""
     fact = st.event_fact(spark, sf_dir)
-    sample = stratified_sample(fact, "transaction_id", 0.2, F.col("line_id"), {3: 0.5})
+    strata = [F.col("line_id"), F.hour("txn_timestamp")]
+    sample = stratified_sample(fact, "transaction_id", 0.2, strata, {(3, 5): 0.5, (2, 7): 0.00004})
+    return _sampled(sample)
+
+
+def _sampled(sample: DataFrame) -> DataFrame:
     return present(
         sample.groupBy("line_id", F.hour("txn_timestamp").alias("hour_of_day")).agg(
             F.count("*").alias("sampled"), fare_total().alias("revenue")
@@ -219,11 +303,24 @@ def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sample_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample over ids that carry the hour in their last digits."""
+    fact = st.event_fact(spark, sf_dir)
+    coded = fact.withColumn("transaction_id", F.expr("transaction_id * 10000 + hour(txn_timestamp)"))
+    return _sampled(stratified_sample(coded, "transaction_id", 0.2))
+
+
 def sample_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = st.event_fact(spark, sf_dir)
     return present(quality.sample_validation(fact, stratified_sample(fact, "transaction_id", 0.2)))
 
 
+def sample_validation_worst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = st.event_fact(spark, sf_dir)
+    sample = stratified_sample(fact, "transaction_id", 0.2)
+    return present(quality.worst_difference(quality.sample_validation(fact, sample)))
+
+
 def share_vs_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = st.fare_star(spark, sf_dir)
     return present(quality.share_against_target(star, _targets(star.lines)))
@@ -249,6 +346,7 @@ def _area_star(spark: SparkSession, sf_dir: str):
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "land_raw": land_raw,
+    "land_without_ids": land_without_ids,
     "chunked_landing": chunked_landing,
     "import_flat_extract": import_flat_extract,
     "import_dimensions": import_dimensions,
@@ -257,6 +355,9 @@ QUERIES: dict[str, Query] = {
     "load_fact": load_fact,
     "persisted_star": persisted_star,
     "append_replay": append_replay,
+    "load_twice": load_twice,
+    "load_partial_month": load_partial_month,
+    "load_corrected_replay": load_corrected_replay,
     # load
     "seed_dim_line": seed_dim_line,
     "seed_dim_passenger_type": seed_dim_passenger_type,
@@ -266,7 +367,7 @@ QUERIES: dict[str, Query] = {
     "upsert_dim": upsert_dim,
     "load_rejects": load_rejects,
     "load_reconciliation": load_reconciliation,
-    "integrity_report": _mart(quality.integrity_report, st.event_star),
+    "integrity_report": _mart(quality.integrity_report, st.faulty_star),
     # analysis results and serving views
     "headline_kpis": _mart(marts.headline_kpis),
     "daily_revenue_rolling": lambda spark, sf_dir: present(
@@ -292,6 +393,8 @@ QUERIES: dict[str, Query] = {
     "measure_basic_by_line": _measures(report.KPI_MEASURES, ["line_name"]),
     "daily_avg_revenue": _measures(["daily_avg_revenue"], ["line_name"]),
     "daily_target_scaled": _measures(["daily_avg_revenue", "daily_revenue_target"], ["year"]),
+    "daily_avg_fixed_calendar": _short_calendar(["daily_avg_revenue"], ["line_name"]),
+    "revenue_by_date_outside_calendar": _short_calendar(["total_revenue", "revenue_30d_rolling_avg"], ["date"]),
     "revenue_30d_calendar": _measures(["revenue_30d_rolling_avg"], ["date"]),
     "revenue_30d_by_station_month": _measures(
         ["total_revenue", "revenue_30d_rolling_avg"], ["station_name", "year", "month_no"]
@@ -324,7 +427,10 @@ QUERIES: dict[str, Query] = {
     ),
     # sampling and quality
     "stratified_sample": stratified,
+    "sample_coded_ids": sample_coded_ids,
     "sample_validation": sample_validation,
+    "sample_validation_worst": sample_validation_worst,
+    "avg_ticket_vs_target": _mart(quality.average_ticket_against_target, target=AVG_TICKET_TARGET),
     "share_vs_target": share_vs_target,
     "distribution_profile": _mart(quality.profile),
     "days_covered": _mart(quality.days_covered),

@@ -15,6 +15,7 @@ from farelens.plans.load import convert_against, write_dimensions
 from farelens.plans.measures import ReportModel
 from farelens.schemas import EXTRACT_COLUMNS, Star
 from farelens.session import fresh_path, stage
+from farelens.sources.extracts import CORRUPT
 
 FARE_DIGITAL = ("A", "N")
 EVENT_DIGITAL = ("purchase", "signup")
@@ -92,7 +93,18 @@ def fare_star(spark: SparkSession, sf_dir: str, station_label: str = "s_name") -
 
 def fare_model(spark: SparkSession, sf_dir: str) -> ReportModel:
     star = fare_star(spark, sf_dir)
-    return ReportModel(star.fact, star.stations, star.lines, observed_days(star.fact, "txn_date"))
+    return ReportModel(star.fact, star.stations, star.lines, fare_calendar(spark, sf_dir))
+
+
+_CALENDARS: dict[tuple[str, str], DataFrame] = {}
+
+
+def fare_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of the fare fact, written once per application like any other dimension."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CALENDARS:
+        _CALENDARS[key] = stage(observed_days(fare_fact(spark, sf_dir), "txn_date"), "dim_date")
+    return _CALENDARS[key]
 
 
 def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,9 +196,47 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(*EXTRACT_COLUMNS)
 
 
-def converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with malformed lines and ids that are no numbers as well."""
+    return raw_landing(spark, sf_dir).withColumns(
+        {
+            CORRUPT: F.expr("CASE WHEN trx_id % 131 = 0 THEN concat(trx_id, ',too,few') END"),
+            "trx_id": F.expr("CASE WHEN trx_id % 127 != 0 THEN trx_id END"),
+        }
+    )
+
+
+def faulty_star(spark: SparkSession, sf_dir: str) -> Star:
+    """``events`` with a fault against every integrity rule."""
+    star = event_star(spark, sf_dir, staged=True)
+    moved = {
+        "transaction_id": "CASE WHEN i % 97 = 0 THEN NULL WHEN i % 101 = 1 THEN i - 1 ELSE i END",
+        "txn_timestamp": "CASE WHEN i % 41 != 0 THEN txn_timestamp END",
+        "txn_date": "CASE WHEN i % 43 = 0 THEN NULL WHEN i % 47 = 0 THEN date_add(txn_date, 1000) ELSE txn_date END",
+        "origin_station_id": "CASE WHEN i % 53 = 0 THEN NULL WHEN i % 59 = 0 THEN 9999999 ELSE origin_station_id END",
+        "dest_station_id": "CASE WHEN i % 89 = 0 THEN 9999999 ELSE dest_station_id END",
+        "line_id": "cast(CASE WHEN i % 61 = 0 THEN NULL WHEN i % 67 = 0 THEN 99 ELSE line_id END AS smallint)",
+        "passenger_type_id": "cast(CASE WHEN i % 71 = 0 THEN NULL WHEN i % 73 = 0 THEN 99 ELSE passenger_type_id END AS smallint)",
+        "fare_amount": "CASE WHEN i % 79 = 0 THEN NULL WHEN i % 83 = 0 THEN -1 * fare_amount ELSE fare_amount END",
+    }
+    fact = star.fact.withColumn("i", F.col("transaction_id"))
+    doubled = {
+        "lines": star.lines.where("line_id = 0").withColumn("line_id", F.lit(50).cast("smallint")),
+        "stations": star.stations.where("station_id IN (1, 2)"),
+        "passenger_types": star.passenger_types.where("passenger_type = 'purchase'").withColumn(
+            "passenger_type_id", F.lit(51).cast("smallint")
+        ),
+    }
+    return Star(
+        fact=fact.withColumns({name: F.expr(text) for name, text in moved.items()}).drop("i"),
+        dates=stage(star.dates, "dim_date"),
+        **{name: getattr(star, name).unionByName(more) for name, more in doubled.items()},
+    )
+
+
+def converted(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
     """The raw rows through the load, against dimensions written first."""
-    raw = raw_landing(spark, sf_dir)
+    raw = faulty_landing(spark, sf_dir) if faulty else raw_landing(spark, sf_dir)
     folder = fresh_path(spark, "dimensions")
     write_dimensions(raw, folder, EVENT_DIGITAL)
     return convert_against(raw, folder)

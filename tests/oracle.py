@@ -7,7 +7,10 @@ import os
 
 import duckdb
 
-TABLES = ["region", "nation", "supplier", "lineitem", "events"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 
 
 def connect(sf_dir: str):

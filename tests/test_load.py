@@ -1,8 +1,10 @@
 import pytest
 from fixtures import raw, values
+from pyspark.sql import functions as F
 
 from farelens.plans import load
 from farelens.sources import tables
+from farelens.sources.extracts import CORRUPT
 
 
 def converted(spark, *changes):
@@ -119,7 +121,62 @@ def test_load_star_writes_and_reads_back(spark, tmp_path):
     star = load.load_star(rows, str(tmp_path))
     assert sorted(values(star.fact, "transaction_id", tables.MONTH)) == [(0, "2024-05"), (1, "2024-06")]
     assert star.stations.count() == 2 and star.dates.count() == 32
-    assert tables.read_load(spark, f"{tmp_path}/fact").where("status = 'rejected'").count() == 2
+    left = values(load.open_rejects(spark, str(tmp_path)), "transaction_id", "reject_reason", "raw_text")
+    assert sorted(row[:2] for row in left) == [(2, "fare"), (3, "timestamp")]
+    assert all('"Sta":"10"' in row[2] for row in left)
+
+
+def test_records_that_are_none(spark):
+    rows = raw(spark, {"Sta": "11"}, {"Sta": "11"}, {"Sta": "11"}).withColumns(
+        {
+            "trx_id": F.when(F.col("trx_id") > 0, F.col("trx_id")),
+            CORRUPT: F.when(F.col("trx_id") == 1, "1,too,few"),
+        }
+    )
+    lines = load.seed_lines(rows)
+    found = load.convert(rows, lines, load.seed_passenger_types(rows), load.seed_stations(rows, lines))
+    assert sorted(values(load.rejects(found), "reject_reason")) == [("record",), ("transaction_id",)]
+    assert "1,too,few" in [text for (text,) in values(load.rejects(found), "raw_text")]
+
+
+def test_a_second_load_keeps_keys_and_rows(spark, tmp_path):
+    first = raw(spark, {"Sta": "11"}, {"InsertionDateTime": "2024-05-02 08:00:00"})
+    load.load_star(first, str(tmp_path))
+    more = raw(spark, {"Line": "Amber", "Sta": "12", "InsertionDateTime": "2024-05-09 08:00:00"}, {"Sta": "11"})
+    star = load.load_star(more.withColumn("trx_id", F.col("trx_id") + 10), str(tmp_path))
+    assert sorted(values(star.lines, "line_id", "line_name")) == [(1, "Red"), (2, "Amber")]
+    assert sorted(values(star.fact, "transaction_id", "line_id")) == [(0, 1), (1, 1), (10, 2), (11, 1)]
+    assert star.stations.count() == 3 and star.dates.count() == 9
+    again = load.load_star(first, str(tmp_path))
+    assert again.fact.count() == 4
+
+
+def test_replacing_months(spark, tmp_path):
+    load.load_star(raw(spark, {"Sta": "11"}, {"Sta": "11"}, {"Sta": "11", "InsertionDateTime": "2024-06-01 00:00:00"}), str(tmp_path))
+    star = load.load_star(raw(spark, {"Sta": "11", "Value": "1.00"}), str(tmp_path), replace_months=True)
+    assert sorted(values(star.fact, tables.MONTH, "fare_amount")) == [("2024-05", 1.0), ("2024-06", 12.5)]
+
+
+def test_rejects_last_until_dealt_with(spark, tmp_path):
+    folder = str(tmp_path)
+    load.load_star(raw(spark, {"Sta": "11"}, {"Value": "x", "Sta": "11"}, {"InsertionDateTime": "x"}), folder)
+    load.load_star(raw(spark, {"Sta": "11"}).withColumn("trx_id", F.lit(50).cast("bigint")), folder)
+    assert sorted(values(load.open_rejects(spark, folder), "transaction_id")) == [(1,), (2,)]
+    mended = raw(spark, {"Sta": "11"}, {"Sta": "11"}, {"InsertionDateTime": "x"})
+    star = load.load_star(mended, folder)
+    assert values(load.open_rejects(spark, folder), "transaction_id", "load_seq") == [(2, 3)]
+    assert star.fact.count() == 3
+
+
+def test_a_failed_load_changes_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    load.load_star(raw(spark, {"Sta": "11"}), folder)
+    with pytest.raises(Exception, match="rejected row"):
+        load.load_star(raw(spark, {"Line": "Amber", "Value": "x"}), folder, strict=True)
+    star = tables.read_star(spark, folder)
+    assert values(star.lines, "line_name") == [("Red",)] and star.fact.count() == 1
+    star = load.load_star(raw(spark, {"Sta": "11"}, {"Sta": "11", "Line": "Blue"}), folder)
+    assert sorted(values(star.lines, "line_id", "line_name")) == [(1, "Red"), (2, "Blue")] and star.fact.count() == 2
 
 
 def test_empty_raw(spark, tmp_path):

@@ -4,8 +4,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_module
-
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from farelens.workload.oracles import ORACLES
+from farelens.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -47,6 +47,23 @@ def test_rows_without_an_id_get_one(spark, tmp_path):
     path = write(tmp_path / "a.csv", ",".join(columns), *[ROW.partition(",")[2]] * 3)
     ids = values(extracts.land_raw(spark, path, columns), "trx_id")
     assert len(set(ids)) == 3
+    other = write(tmp_path / "b.csv", ",".join(columns), *[ROW.partition(",")[2]] * 3)
+    assert sorted(values(extracts.land_raw(spark, path, columns), "trx_id")) == sorted(ids)
+    assert set(ids).isdisjoint(values(extracts.land_raw(spark, other, columns), "trx_id"))
+
+
+def test_chunks_without_ids(spark, tmp_path):
+    columns = EXTRACT_COLUMNS[1:]
+    inbox, raw, state = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "state")
+    inbox.mkdir()
+    for name in "ab":
+        write(inbox / f"{name}.csv", ",".join(columns), *[ROW.partition(",")[2]] * 2, "1,2")
+        land_new_files(spark, str(inbox), raw, state, files_per_chunk=1, columns=columns).awaitTermination()
+    landed = spark.read.parquet(raw)
+    assert landed.count() == landed.select("trx_id").distinct().count() == 6
+    assert values(landed.where("corrupt_record IS NOT NULL"), "corrupt_record") == [("1,2",)] * 2
+    batch = extracts.land_raw(spark, str(inbox), columns)
+    assert sorted(values(batch, "trx_id")) == sorted(values(landed, "trx_id"))
 
 
 def test_flat_import_types_names_and_encoding(spark, tmp_path):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from farelens.session import stage
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

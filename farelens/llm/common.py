@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
-import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.session import stage
+from farelens.session import fresh_path, stage
 
 CHUNK_BYTES = 1 << 20
 
@@ -32,11 +32,23 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Sends this package to the tasks, which may not have it installed; once per application."""
     app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-        name = os.path.join(tempfile.mkdtemp(), "farelens-package")
-        spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", root, "farelens"))
-        _shipped.add(app)
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    shared = fresh_path(spark, "package") + "/farelens-package.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(shared)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(shared)
+    _shipped.add(app)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

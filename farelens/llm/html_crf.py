@@ -36,6 +36,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 SILENT = set("script style noscript template svg math iframe object canvas head title select textarea button datalist".split())
 CLOSED_BY = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
+SECTIONS = {f"t:{tag}" for tag in "article aside main nav header footer form section".split()}
 CLOSES_P = set(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
     "p pre section table ul".split()
@@ -138,6 +139,9 @@ def block_features(block: tuple) -> tuple[str, ...]:
     out = {f for marks in ancestors for f in marks}
     if ancestors:
         out |= {f"own {f}" for f in ancestors[-1]}
+    # The nearest ancestor that says what part of the page this is.
+    near = next((a for a in reversed(ancestors) if a[0] in SECTIONS or any(m[:2] == "c:" for m in a)), ())
+    out |= {f"near {f}" for f in near}
     words = text.count(" ") + 1
     out.add(f"words {min(words.bit_length(), 7)}")
     out.add(f"linked {int(linked * 3)}")
@@ -298,7 +302,7 @@ def labelled_pages(n: int = 500, seed: int = 41) -> list[tuple[str, list[int]]]:
         inside = [f"<h1>{text(1, 1, 10)}</h1>" if rng.random() < 0.8 else ""]
         for _ in range(rng.choice([1, 2, 5, 12])):
             inside.append(main_block())
-            if rng.random() < 0.06:
+            if rng.random() < 0.15:
                 inside.append(rest(rng.choice(["ad", "share", "side", "notice", "form"])))
         if rng.random() < 0.15:
             inside.append(rest("talk"))

@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from farelens.session import build_session  # noqa: E402
+from farelens.session import build_session, drop_staged  # noqa: E402
 from farelens.workload.queries import QUERIES  # noqa: E402
 
 
@@ -40,6 +40,7 @@ def main() -> None:
             took = time.perf_counter() - start
             best = took if best is None else min(best, took)
         seconds[name] = round(best, 3)
+    drop_staged(spark)
     spark.stop()
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(

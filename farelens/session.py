@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
-
 def build_session(
     app_name: str = "farelens",
     master: str | None = None,
@@ -45,23 +41,29 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local master, where one machine is the whole cluster, may fall back to a temporary folder.
+    Only a local master, where one machine is the whole cluster, may do without; it uses the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="farelens-")
-    return _LOCAL_FALLBACK[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
+
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/farelens/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark)}/farelens/{name}-{uuid.uuid4().hex}"
+    return f"{_staging(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every staged table of this application; call it once their readers are done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

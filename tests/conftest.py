@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from farelens.session import build_session  # noqa: E402
+from farelens.session import build_session, drop_staged  # noqa: E402
 
 TESTDATA = "/root/testdata"
 
@@ -27,6 +27,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_staged(session)
     session.stop()
 
 

@@ -5,7 +5,7 @@ from fixtures import star, trip, values
 
 from farelens.plans import marts
 from farelens.schemas import EXTRACT_COLUMNS, LINE_SCHEMA
-from farelens.session import build_session, fresh_path, shared_folder, stage
+from farelens.session import build_session, drop_staged, fresh_path, shared_folder, stage
 from farelens.sources import extracts, tables
 from farelens.streaming.landing import land_new_files
 
@@ -142,6 +142,17 @@ def test_chunked_landing_takes_each_file_once(spark, tmp_path):
     assert run() == 4
 
 
+def test_staged_tables_are_dropped(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert stage(spark.range(3), "numbers").count() == 3 and list(tmp_path.rglob("*.parquet"))
+        drop_staged(spark)
+        assert not list(tmp_path.rglob("*.parquet"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+
+
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is not None

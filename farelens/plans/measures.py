@@ -249,6 +249,21 @@ def _additive(model, specs: Mapping[str, Measure], group_by, filters, role: str)
     )
 
 
+def selected_sums(model: ReportModel, keys: Sequence[str], filters: Mapping[str, Selection]) -> DataFrame:
+    """Rows and revenue per combination of the fact's own ``keys`` under a selection."""
+    on_fact = {n: s for n, s in filters.items() if FIELDS[n][0] == FACT or FIELDS[n][0] == DATE and None not in s}
+    dated = any(FIELDS[n][0] == DATE for n in filters)
+    others = [n for n in filters if FIELDS[n][0] != FACT]
+    fact = _with_date_fields(model.fact, list(on_fact))
+    scan = _where(fact, _condition(on_fact, fact))
+    wanted = {*keys, *native_keys(others, "origin", whole_dates=True)}
+    sums = _added_up(scan, sorted(wanted))
+    if dated:
+        sums = _with_date_fields(_on_calendar(sums, model.calendar), others)
+    sums = _where(_with_dimensions(sums, model, others, "origin"), _condition({n: filters[n] for n in others}))
+    return sums.groupBy(*keys).agg(F.sum("rows").alias("rows"), F.sum("revenue").alias("revenue"))
+
+
 def _conditional(base: str, condition: Column | None) -> Column:
     def only(column: Column) -> Column:
         return column if condition is None else F.when(condition, column)

@@ -11,7 +11,7 @@ from farelens.functions.numeric import as_decimal, fare_total
 from farelens.operators.lookups import label, same_or_both_blank
 from farelens.operators.ranking import top_with_ties
 from farelens.operators.trends import share_of_total
-from farelens.plans.measures import Measure, ReportModel, Selection, evaluate, native_keys
+from farelens.plans.measures import Measure, ReportModel, Selection, evaluate, native_keys, selected_sums
 from farelens.schemas import Star
 from farelens.session import stage
 
@@ -55,7 +55,10 @@ def station_flows(star: Star, top: int = 10, both_axes: bool = False) -> DataFra
     by_id = star.fact.groupBy("origin_station_id", "dest_station_id").agg(fare_total().alias("revenue"))
     named = label(by_id, star.stations, "origin_station_id", "station_id", "left", origin="station_name")
     named = label(named, star.stations, "dest_station_id", "station_id", "left", destination="station_name")
-    flows = named.groupBy("origin", "destination").agg(F.sum("revenue").alias("revenue"))
+    return _best_flows(named.groupBy("origin", "destination").agg(F.sum("revenue").alias("revenue")), top, both_axes)
+
+
+def _best_flows(flows: DataFrame, top: int, both_axes: bool) -> DataFrame:
     result = flows
     for axis in ["destination", "origin"] if both_axes else ["destination"]:
         totals = flows.groupBy(F.col(axis).alias("member")).agg(F.sum("revenue").alias("axis_revenue"))
@@ -64,6 +67,14 @@ def station_flows(star: Star, top: int = 10, both_axes: bool = False) -> DataFra
     return result
 
 
+def selected_flows(model: ReportModel, filters: Filters = None, top: int = 10, both_axes: bool = False) -> DataFrame:
+    """``station_flows`` under a selection, whose station and line are those of the origin."""
+    by_id = selected_sums(model, ["origin_station_id", "dest_station_id"], dict(filters or {}))
+    named = label(by_id, model.stations, "origin_station_id", "station_id", "left", origin="station_name")
+    named = label(named, model.stations, "dest_station_id", "station_id", "left", destination="station_name")
+    return _best_flows(named.groupBy("origin", "destination").agg(F.sum("revenue").alias("revenue")), top, both_axes)
+
+
 def station_flow_totals(star: Star, top: int = 10) -> DataFrame:
     """The flow matrix with its row, column and grand totals; ``level`` 0 marks a plain cell."""
     return (
@@ -114,3 +125,29 @@ def dashboard(model: ReportModel, filters: Filters = None, known: Mapping[str, M
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
+
+
+def all_datasets(model: ReportModel, filters: Filters = None, top: int = 10) -> DataFrame:
+    """All six visuals under one selection, in long form: dataset, member, second_member, measure, value.
+
+    Each visual has its own measures; an empty selection is the cleared dashboard.
+    """
+    mix = passenger_mix(model, filters)
+    flows = selected_flows(model, filters, top).withColumnsRenamed({"origin": "member", "destination": "second_member"})
+    blank = F.lit(None).cast("string")
+    parts = [
+        ("kpi", kpi_cards(model, filters).withColumns({"member": blank, "second_member": blank})),
+        ("trend", trend(model, filters).withColumns({"member": F.col("date").cast("string"), "second_member": blank}).drop("date")),
+        ("line", revenue_by_line(model, filters).withColumnRenamed("line_name", "member").withColumn("second_member", blank)),
+        ("station", top_stations(model, top, filters).withColumnRenamed("station_name", "member").withColumn("second_member", blank)),
+        ("mix", mix.withColumnsRenamed({"line_name": "member", "ticket_type": "second_member"})),
+        ("matrix", flows),
+    ]
+    result = None
+    for dataset, rows in parts:
+        measures = [name for name in rows.columns if name not in ("member", "second_member")]
+        values = rows.select("member", "second_member", *[F.col(name).cast("decimal(38,8)").alias(name) for name in measures])
+        long = values.unpivot(["member", "second_member"], measures, "measure", "value").where("value IS NOT NULL")
+        long = long.select(F.lit(dataset).alias("dataset"), "member", "second_member", "measure", "value")
+        result = long if result is None else result.unionByName(long)
+    return result

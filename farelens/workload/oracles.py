@@ -170,6 +170,40 @@ DATE_COLUMNS = """year(day) AS year, quarter(day) AS quarter, month(day) AS mont
   strftime(day, '%a') AS day_name, isodow(day) >= 6 AS is_weekend"""
 
 
+SELECTED = """line_name IN ('ASIA', 'EUROPE') AND pt IN ('A', 'R') AND d BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'"""
+
+
+def flows(where: str) -> str:
+    """The ten best destinations' cells, ties kept; a journey without destination is the blank member."""
+    return f"""cell AS (SELECT m.station_name AS origin, s.name AS destination, sum(c) AS c
+  FROM model m LEFT JOIN station s ON m.dst = s.id WHERE {where} GROUP BY 1, 2),
+best AS (SELECT destination FROM (SELECT destination, rank() OVER (ORDER BY sum(c) DESC) AS k FROM cell GROUP BY 1) WHERE k <= 10),
+flow AS (SELECT cell.* FROM cell JOIN best ON cell.destination IS NOT DISTINCT FROM best.destination)"""
+
+
+def dashboard(where: str, days: str, before: str) -> str:
+    """All visuals; ``days`` are the calendar days of the trend, ``before`` the selection without dates."""
+    return f"""WITH {MODEL}, {CALENDAR}, f AS (SELECT * FROM model WHERE {where}), {flows(where)},
+own AS (SELECT d, sum(c) AS c FROM f GROUP BY 1),
+past AS (SELECT d, sum(c) AS c FROM model WHERE {before} GROUP BY 1),
+w AS (SELECT day, sum(c) AS s, count(c) AS k FROM calendar JOIN past ON d BETWEEN day - 29 AND day WHERE {days} GROUP BY 1),
+station_sum AS (SELECT station_name, sum(c) AS c, rank() OVER (ORDER BY sum(c) DESC) AS k FROM f GROUP BY 1),
+mix AS (SELECT line_name, pt, count(*) AS n FROM f GROUP BY 1, 2),
+v AS (
+  SELECT 'kpi' AS dataset, NULL AS member, NULL AS second_member, 'total_footfall' AS measure, CAST(count(*) AS DOUBLE) AS value FROM f
+  UNION ALL SELECT 'kpi', NULL, NULL, 'total_revenue', {money('sum(c)')} FROM f
+  UNION ALL SELECT 'kpi', NULL, NULL, 'avg_ticket_value', {half_up('sum(c)', 'count(*) * 100', 2)} FROM f
+  UNION ALL SELECT 'kpi', NULL, NULL, 'stations_covered', count(DISTINCT o) FROM f
+  UNION ALL SELECT 'trend', CAST(d AS VARCHAR), NULL, 'total_revenue', {money('c')} FROM own
+  UNION ALL SELECT 'trend', CAST(day AS VARCHAR), NULL, 'revenue_30d_rolling_avg', {half_up('s', 'k * 100', 2)} FROM w
+  UNION ALL SELECT 'line', line_name, NULL, 'total_revenue', {money('sum(c)')} FROM f GROUP BY line_name
+  UNION ALL SELECT 'station', station_name, NULL, 'total_revenue', {money('c')} FROM station_sum WHERE k <= 10
+  UNION ALL SELECT 'mix', line_name, pt, 'total_footfall', n FROM mix
+  UNION ALL SELECT 'mix', line_name, pt, 'pct_within_line', {share('n', 'sum(n) OVER (PARTITION BY line_name)')} FROM mix
+  UNION ALL SELECT 'matrix', origin, destination, 'revenue', {money('c')} FROM flow)
+SELECT * FROM v"""
+
+
 VALIDATION = f"""{EVENT}, m AS (
   SELECT 'hour' AS profile, CAST(hour(ts) AS VARCHAR) AS member, {sampled('id')} < {rate(0.2)} AS s FROM event
   UNION ALL SELECT 'line', CAST(line_id AS VARCHAR), {sampled('id')} < {rate(0.2)} FROM event),
@@ -455,6 +489,14 @@ SELECT line_name, {KPIS} FROM model WHERE d BETWEEN DATE '1997-01-01' AND DATE '
     "slice_station": f"""WITH {MODEL}
 SELECT pt AS ticket_type, {KPIS} FROM model
 WHERE station_name IN ('Supplier#000000003', 'Supplier#000000007') GROUP BY 1""",
+    "station_flow_filtered": f"""WITH {MODEL}, {flows(SELECTED)}
+SELECT origin, destination, {money('c')} AS revenue FROM flow""",
+    "dashboard_selected": dashboard(
+        SELECTED,
+        "day BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'",
+        "line_name IN ('ASIA', 'EUROPE') AND pt IN ('A', 'R')",
+    ),
+    "dashboard_cleared": dashboard("true", "true", "true"),
     "dashboard_filtered": f"""WITH {MODEL}, f AS (
   SELECT * FROM model WHERE line_name IN ('ASIA', 'EUROPE') AND pt IN ('A', 'R'))
 SELECT dataset, member, count(*) AS total_footfall, {money('sum(c)')} AS total_revenue FROM (

@@ -33,6 +33,7 @@ DATE_SLICE = ("1997-01-01", "1998-12-31")
 LINE_SLICE = ["ASIA", "EUROPE"]
 TYPE_SLICE = ["A", "R"]
 STATION_SLICE = ["Supplier#000000003", "Supplier#000000007"]
+SELECTION = {"line_name": LINE_SLICE, "ticket_type": TYPE_SLICE, "date": DATE_SLICE}
 AREAS = [f"NATION_{number}" for number in range(25)]
 FARE_MEASURES = catalogue(st.FARE_DIGITAL)
 
@@ -422,6 +423,9 @@ QUERIES: dict[str, Query] = {
     "slice_ticket_type": _measures(report.KPI_MEASURES, ["line_name"], {"ticket_type": TYPE_SLICE}),
     "slice_date_range": _measures(report.KPI_MEASURES, ["line_name"], {"date": DATE_SLICE}),
     "slice_station": _measures(report.KPI_MEASURES, ["ticket_type"], {"station_name": STATION_SLICE}),
+    "station_flow_filtered": _report(report.selected_flows, filters=SELECTION),
+    "dashboard_selected": _report(report.all_datasets, {"value": 2}, filters=SELECTION),
+    "dashboard_cleared": _report(report.all_datasets, {"value": 2}),
     "dashboard_filtered": _report(
         report.dashboard, filters={"line_name": LINE_SLICE, "ticket_type": TYPE_SLICE}, known=FARE_MEASURES
     ),

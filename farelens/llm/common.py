@@ -134,16 +134,18 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     is only ever a join key, which adaptive execution splits.
     """
     edges = stage(edges.where("a <> b").selectExpr("greatest(a, b) a", "least(a, b) b").distinct(), f"{name}-links")
-    seen = None
-    while True:
+    while not _is_forest(edges):
         both = edges.unionByName(edges.selectExpr("b a", "a b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) m")
-        large = both.join(least, "a").where("b > a").selectExpr("b a", "m b").distinct()
+        large = both.join(least, "a").where("b > a").selectExpr("b a", "m b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        small = joined.where("b <> m").selectExpr("b a", "m b").unionByName(least.selectExpr("a", "m b"))
+        small = large.join(least, "a").where("b <> m").selectExpr("b a", "m b").unionByName(least.selectExpr("a", "m b"))
         edges = stage(small.where("a <> b").distinct(), f"{name}-links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen or now[0] == 0:
-            return edges.selectExpr("a node", "b root")
-        seen = now
+    return edges.selectExpr("a node", "b root")
+
+
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every node has one link and no linked node is another's root."""
+    several = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    between = edges.select("a").join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+    return several.unionByName(between).isEmpty()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The texts that the loader accepts as numbers.
 DIGITS = r"\A[0-9]+\z"
 UNSIGNED_DECIMAL = r"\A[0-9]+(\.[0-9]+)?\z"
 DATE_TIME = r"\A\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?\z"

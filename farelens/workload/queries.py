@@ -202,8 +202,9 @@ def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     star, _ = _load_days(spark, sf_dir, [("", "2024-01-16"), ("2024-01-16", "z")], renamed)
     totals = star.fact.groupBy("line_id").agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
-    spans = star.dates.agg(F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day"))
-    return present(totals.join(star.lines.select("line_id", "line_name"), "line_id").crossJoin(spans))
+    named = totals.join(star.lines.select("line_id", "line_name"), "line_id")
+    first, last = (star.dates.agg(bound("date_key")).scalar() for bound in (F.min, F.max))
+    return present(named.withColumns({"first_day": first, "last_day": last}))
 
 
 def load_partial_month(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ labelled pages is given, and weights on tags and layout words carry over to any
 Scripts, styles, comments, the head and form controls never are text. Character references are decoded,
 white space inside a block becomes one space, blocks are trimmed and joined by one line end in page
 order; nothing else is dropped or cut. Null and empty pages, and pages without main text, give an empty
-text. Broken markup (tags not closed, a page cut short) is read as far as it goes.
+text. Broken markup (tags not closed, a page cut short) is read as far as it goes: a head ends at the first
+text or tag that can't stand in it, another silent element without an end tag at the next block-level tag.
 """
 
 from __future__ import annotations
@@ -30,10 +31,22 @@ from farelens.llm.common import chunks, ship
 # Tags that don't interrupt a block, tags that never have content, tags whose content isn't text.
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    # Formulas stand in their sentence.
+    "math semantics maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template svg math iframe object canvas head title select textarea button datalist".split())
+SILENT = set(
+    "script style noscript template svg annotation annotation-xml iframe object canvas head title select textarea button datalist".split()
+)
+# Tags that may stand in a head, block tags that end another silent element left open, silent elements that nest.
+IN_HEAD = set("html head title base link meta style script noscript template".split())
+ENDS_SILENT = set(
+    "address article aside blockquote body dd details dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav "
+    "ol p pre section table td th tr ul".split()
+)
+NESTED = set("template svg object".split())
 CLOSED_BY = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 SECTIONS = {f"t:{tag}" for tag in "article aside main nav header footer form section".split()}
@@ -46,6 +59,10 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+SILENT_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)(%s)(?=[\s/>])([^>]*)" % "|".join(sorted(SILENT - {"script", "style", "head"}, reverse=True)),
+    re.I | re.S,
+)
 RAW = re.compile(r"</(script|style)\s*>", re.I)
 
 
@@ -63,11 +80,31 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _closed(page: str) -> set[int]:
+    """Where the silent elements begin that have an end tag of their own."""
+    left: dict[str, list[int]] = {}
+    out = set()
+    for m in SILENT_TAG.finditer(page):
+        tag = (m[3] or "").lower()
+        if not tag or m[4].rstrip().endswith("/"):
+            continue
+        if m[2]:
+            if left.get(tag):
+                out.add(left[tag].pop())
+        elif tag in NESTED:
+            left.setdefault(tag, []).append(m.start())
+        else:
+            left[tag] = [m.start()]
+    return out
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float]]:
     """(text, marks of each ancestor, share of the text in links) of every block with text, in order."""
     stack: list[tuple[str, tuple[str, ...]]] = []
     blocks, parts, linked = [], [], 0
-    silent = in_link = 0
+    in_link = 0
+    silent: list[tuple[int, str, bool]] = []  # place in the stack, tag, whether it has an end tag
+    closed = _closed(page)
 
     def flush():
         nonlocal parts, linked
@@ -78,16 +115,19 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
             parts, linked = [], 0
 
     def pop_to(n: int):
-        nonlocal silent, in_link
+        nonlocal in_link
         while len(stack) > n:
             tag, _ = stack.pop()
-            silent -= tag in SILENT
             in_link -= tag == "a"
+        while silent and silent[-1][0] >= n:
+            silent.pop()
 
     at, size = 0, len(page)
     while at < size:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else size]
+        if silent and silent[-1][1] == "head" and text.strip():
+            pop_to(silent[-1][0])
         if text and not silent:
             parts.append(text)
             if in_link:
@@ -115,6 +155,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
                 end = RAW.search(page, end.end())
             at = end.end() if end else size
             continue
+        while silent and not silent[-1][2] and (tag not in IN_HEAD if silent[-1][1] == "head" else tag in ENDS_SILENT):
+            pop_to(silent[-1][0])
         if tag not in INLINE:
             flush()
             ends = CLOSED_BY.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
@@ -128,7 +170,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
                     break
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append((tag, _marks(tag, m[3])))
-            silent += tag in SILENT
+            if tag in SILENT:
+                silent.append((len(stack) - 1, tag, m.start() in closed))
             in_link += tag == "a"
     flush()
     return blocks

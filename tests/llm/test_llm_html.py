@@ -104,3 +104,21 @@ def test_viterbi_finds_the_best_sequence():
 def test_training_is_repeatable(n):
     a, b = (html_crf.Field().fit([([html_crf.block_features(x) for x in html_crf.leaf_blocks(p)], y) for p, y in html_crf.labelled_pages(20, 5)], n) for _ in range(2))
     assert (a.w == b.w).all() and (a.pair == b.pair).all()
+
+
+def test_silent_elements_without_end_tags():
+    def texts(page):
+        return [b[0] for b in html_crf.leaf_blocks(page)]
+
+    field = html_crf.trained()
+    whole = LAYOUT.replace("</head>", "")
+    assert html_crf.main_text(field, whole) == html_crf.main_text(field, LAYOUT) != ""
+    assert texts("<html><head><title>T</title><meta charset=x><article><p>text") == ["text"]
+    assert texts("<head><title>T</title>text<p>more") == ["text", "more"]
+    assert texts("<head><title>The <body> tag</title><noscript><p>no</p></noscript><body>yes") == ["yes"]
+    for tag in ("button", "select", "object", "noscript", "textarea", "canvas", "iframe", "datalist"):
+        assert texts(f"<div><p>a</p><{tag}>no<p>b</p><p>c</p></div>d") == ["a", "b", "c", "d"]
+        assert texts(f"<div><p>a</p><{tag}>no<p>no</p>no</{tag}><p>c</p></div>d") == ["a", "c", "d"]
+        assert texts(f"<div><{tag}>no<p>b</p><{tag}>no</{tag}>c</div>") == ["b", "c"]
+    assert texts("<object><object>no</object><p>no</p></object><p>b") == ["b"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]

@@ -98,13 +98,14 @@ class Searcher:
                 places[piece].append((n, at))
         self.tree = ahocorasick.Automaton()
         for piece, where in places.items():
+            where.sort(key=lambda x: (x[0], -x[1]))  # the earliest alignment first: its stretch reaches over most others
             self.tree.add_word(piece, (len(piece), where))
         self.tree.make_automaton()
 
     def search(self, text: str) -> dict:
         """Item ids found in a normalised text, each with the smallest distance of its windows."""
         found: dict = {}
-        done: dict[int, int] = {}
+        done: dict[int, tuple[int, int]] = {}  # alignments, first to last, that lie inside checked stretches
         exact: set[int] = set()
         for end, (size, where) in self.tree.iter(text):
             start = end + 1 - size
@@ -118,13 +119,16 @@ class Searcher:
                     distance = 0 if whole else None
                 elif text.startswith(p.text, max(low, 0)) and low >= 0:
                     distance = 0
-                elif done.get(n, -1) >= start - at:  # the stretch checked last reaches this far
+                elif n in done and done[n][0] <= low <= done[n][1]:
                     continue
                 else:
                     # A stretch a little longer than the window, so that hits close by share one check.
-                    low, high = max(0, low - p.budget), low + 2 * len(p.text) + p.budget
-                    distance = p.distance(text[low:high])
-                    done[n] = high - len(p.text) - 2 * p.budget
+                    high = low + 2 * len(p.text) + p.budget
+                    distance = p.distance(text[max(0, low - p.budget) : high])
+                    first, last = low if low > p.budget else -len(p.text), high - len(p.text) - 2 * p.budget
+                    if n in done and first <= done[n][1] + 1 and done[n][0] <= last + 1:
+                        first, last = min(first, done[n][0]), max(last, done[n][1])
+                    done[n] = first, last
                     if distance > p.budget:
                         distance = None
                 if distance is not None:

@@ -1,4 +1,5 @@
 import os
+import random
 import sys
 
 from hypothesis import given, settings
@@ -88,3 +89,17 @@ def test_empty_tables(spark):
     docs = frame(spark, [(1, words(30, 500)), (2, "clean")])
     left = d.drop_contaminated(docs, items(spark))
     assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [2]
+
+
+def test_item_that_repeats_a_phrase():
+    rng = random.Random(5)
+    letters = [rng.choice("abcdefghij") for _ in range(240)]
+    cuts = [i * 240 // 17 for i in range(18)]  # 17 pieces for 16 edits
+    letters[cuts[5] : cuts[6]] = letters[cuts[0] : cuts[1]]
+    item = "".join(letters)
+    copy = list(item)
+    for piece in range(5):
+        for step in (2, 6, 10):
+            copy[cuts[piece] + step] = "#"
+    text = "x" * 300 + "".join(copy) + "y" * 300
+    assert d.Searcher([(1, item)], 0.07, 240, 30).search(text) == {1: 15}

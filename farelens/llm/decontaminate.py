@@ -203,6 +203,8 @@ ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """``docs`` with all its columns, without the documents that hold a benchmark item."""
-    found = stage(find_contaminated(docs, benchmark, **settings), "contaminated")
-    gone = found.where("contaminated").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    # By text: ids may be null or stand on several texts.
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    found = stage(find_contaminated(docs.select(sha.alias("doc_id"), "text"), benchmark, **settings), "contaminated")
+    gone = found.where("contaminated").select(F.col("doc_id").alias("gone_sha")).distinct()
+    return docs.join(gone, sha == F.col("gone_sha"), "left_anti")

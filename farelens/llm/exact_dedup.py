@@ -120,7 +120,10 @@ def exact_duplicates(docs: DataFrame, capacity: int = 100_000, key_bits: int = K
 def drop_exact_duplicates(docs: DataFrame, capacity: int = 100_000) -> DataFrame:
     """``docs`` with all its columns, one row for each distinct text."""
     found = stage(exact_duplicates(docs, capacity), "exact-result")
-    gone = found.where("not kept").selectExpr("doc_id gone_id")
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
+    gone = found.where("not kept").selectExpr("doc_id gone_id", "text_sha256 gone_sha")
+    # By id and text, as an id may stand on several texts.
+    hashed = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    left = hashed.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("__sha") == F.col("gone_sha")), "left_anti")
     repeated = found.agg(F.sum(F.when(F.col("kept"), 1)).alias("k")).first()["k"] or 0
-    return left if left.select("doc_id").count() == repeated else left.dropDuplicates(["doc_id"])
+    left = left if left.select("doc_id").count() == repeated else left.dropDuplicates(["doc_id", "__sha"])
+    return left.drop("__sha")

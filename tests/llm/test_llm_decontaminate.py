@@ -103,3 +103,11 @@ def test_item_that_repeats_a_phrase():
             copy[cuts[piece] + step] = "#"
     text = "x" * 300 + "".join(copy) + "y" * 300
     assert d.Searcher([(1, item)], 0.07, 240, 30).search(text) == {1: 15}
+
+
+def test_stage_with_null_ids_and_one_id_on_two_texts(spark):
+    item = words(40, 77)
+    rows = [(None, item), (None, "clean text"), (5, "before " + item), (5, "also clean"), (6, None)]
+    bench = spark.createDataFrame([(1, item, None)], ITEMS)
+    kept = d.drop_contaminated(frame(spark, rows), bench).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "clean text"), (5, "also clean"), (6, "")]

@@ -69,3 +69,9 @@ def test_index_chains_colliding_texts(spark):
 
 def test_schema_of_documents_is_untouched():
     assert "node" in DOCS and "root" in DOCS  # names that the operators use inside
+
+
+def test_stage_with_null_ids_and_one_id_on_two_texts(spark):
+    rows = [(5, "A"), (9, "A"), (5, "B"), (None, "C"), (None, "C"), (None, "A"), (None, None), (None, "")]
+    kept = exact_dedup.drop_exact_duplicates(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, "C"), (5, "B"), (9, "A")]

@@ -51,28 +51,33 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
-def _staging(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/farelens/{spark.sparkContext.applicationId}"
+def _staging(spark: SparkSession, folder: str | None = None) -> str:
+    return f"{folder or shared_folder(spark)}/farelens/{spark.sparkContext.applicationId}"
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
+def fresh_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
     """A path in the shared folder that nothing has written to yet."""
-    return f"{_staging(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_staging(spark, folder)}/{name}-{uuid.uuid4().hex}"
 
 
-def drop_staged(spark: SparkSession) -> None:
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table; call it once its readers are done."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def drop_staged(spark: SparkSession, folder: str | None = None) -> None:
     """Delete every staged table of this application; call it once their readers are done."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_staging(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, _staging(spark, folder))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder (or another that all executors reach) and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst the table's true size, so a
     later join broadcasts it only when it really is small.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = fresh_path(spark, name, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

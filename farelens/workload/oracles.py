@@ -228,8 +228,7 @@ span AS (SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS las
 SELECT line_id, line_name, count(*) AS footfall, {money('sum(c)')} AS revenue, min(first_day) AS first_day,
   max(last_day) AS last_day
 FROM good JOIN named USING (line_name), span GROUP BY 1, 2""",
-    "load_partial_month": f"""WITH {RAW}, {loads([('2024-01-01', '2024-01-10'), ('2024-01-10', '2024-01-20'),
-    ('2024-01-05', '2024-01-15')])}
+    "load_partial_month": f"""WITH {RAW}, {loads([('', '2024-01-10'), ('2024-01-10', 'z'), ('2024-01-05', '2024-01-15')])}
 SELECT CAST(ts AS DATE) AS txn_date, count(*) AS footfall, {money('sum(c)')} AS revenue FROM good GROUP BY 1""",
     "load_corrected_replay": f"""WITH {RAW}, mended AS (SELECT * REPLACE (
     CASE WHEN "Value" = 'N/A' THEN '1.00' ELSE "Value" END AS "Value",

@@ -143,14 +143,10 @@ def test_chunked_landing_takes_each_file_once(spark, tmp_path):
 
 
 def test_staged_tables_are_dropped(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert stage(spark.range(3), "numbers").count() == 3 and list(tmp_path.rglob("*.parquet"))
-        drop_staged(spark)
-        assert not list(tmp_path.rglob("*.parquet"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    folder = str(tmp_path)
+    assert stage(spark.range(3), "numbers", folder).count() == 3 and list(tmp_path.rglob("*.parquet"))
+    drop_staged(spark, folder)
+    assert not list(tmp_path.rglob("*.parquet"))
 
 
 def test_shared_folder_is_the_session_setting(spark):

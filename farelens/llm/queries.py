@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farelens.llm import (
     decontaminate,
     exact_dedup,
+    hilbert_shards,
     html_crf,
     line_dedup,
     mixing,
@@ -61,6 +62,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quotation_linking,
         op9_pii,
         op10_html,
+        op12_sharding,
     )
 }
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from farelens.llm import (
+    cross_tokens,
     decontaminate,
     exact_dedup,
     hilbert_shards,
@@ -15,6 +16,7 @@ from farelens.llm import (
     mixing,
     ngram_join,
     pii,
+    prefix_trie,
     quality_fm,
     quotes,
     toxicity_cnn,
@@ -62,10 +64,19 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.align(table(spark, sf_dir, "documents"))[0]
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.regrown(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quotation_linking,
         op9_pii,
         op10_html,
+        op11_token_alignment,
         op12_sharding,
+        op13_prefix_trie,
     )
 }
 

@@ -24,6 +24,7 @@ one task.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -123,8 +124,10 @@ def sides(folder: str, byte_file: str, piece_file: str) -> tuple[Side, Side]:
 def _as_lists(lists: list[list[int]]) -> pa.Array:
     offsets = np.zeros(len(lists) + 1, np.int64)
     np.cumsum([len(ids) for ids in lists], out=offsets[1:])
-    flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(offsets[-1]))
-    return pa.LargeListArray.from_arrays(offsets, flat)
+    flat = array("i")
+    for ids in lists:
+        flat.fromlist(ids)
+    return pa.LargeListArray.from_arrays(offsets, np.array(flat, np.int32))
 
 
 def _covers(side: Side, tokens: pa.Array, wanted: pa.Array) -> pa.Array:

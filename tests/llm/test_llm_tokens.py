@@ -1,13 +1,15 @@
 """Token alignment against plain Python over both tokenizers."""
 
 import hashlib
+import json
+import random
 from collections import Counter, defaultdict
 
 import pytest
 from llm_fixtures import AWKWARD, DOCS, frame, words
 from pyspark.sql import functions as F
 
-from farelens.llm.cross_tokens import BYTE_BPE, PIECE_BPE, TOKENIZERS, align, byte_alphabet, sides
+from farelens.llm.cross_tokens import BYTE_BPE, PIECE_BPE, TOKENIZERS, ByteSide, align, byte_alphabet, merge_ranks, sides
 from farelens.llm.queries import op11_token_alignment
 
 NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -105,3 +107,22 @@ def test_empty_table(spark):
 def test_byte_alphabet_is_a_bijection():
     table = byte_alphabet()
     assert sorted(table.values()) == list(range(256)) and table["A"] == 65 and table["Ġ"] == 32
+
+
+def test_merging_by_rank_gives_the_ids_of_the_file():
+    fast, plain = (ByteSide(f"{TOKENIZERS}/{BYTE_BPE}", fast=way) for way in (True, False))
+    assert fast._by_rank is not None and plain._by_rank is None
+    rng = random.Random(5)
+    pool = [chr(c) for c in [*range(0x20, 0x250), *range(0x2000, 0x2070), 0x3000, 0x85, 9, 10, 13, 0x4E2D, 0x627, 0x93F, 0x1F600]]
+    texts = TEXTS + ["".join(rng.choice(pool) for _ in range(rng.randint(1, 80))) for _ in range(2000)]
+    texts += [f"a{chr(c)}b {chr(c)} 1{chr(c)}" for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    assert fast.encode(texts) == plain.encode(texts)
+
+
+def test_a_file_that_is_not_plain_is_not_merged_by_rank():
+    spec = json.load(open(f"{TOKENIZERS}/{BYTE_BPE}"))
+    assert merge_ranks(spec)
+    assert merge_ranks({**spec, "normalizer": {"type": "Lowercase"}}) is None
+    assert merge_ranks({**spec, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}) is None
+    turned = {**spec["model"], "merges": spec["model"]["merges"][::-1]}
+    assert merge_ranks({**spec, "model": turned}) is None

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelens.session import fresh_path, stage
@@ -55,6 +55,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of it in upper or lower case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """``df`` with all its columns, without the rows whose ``key`` is in ``gone``'s only column; null is a key like any other."""
+    name = free_name(df, "gone")
+    gone = gone.toDF(name).distinct()
+    return df.join(gone, key.eqNullSafe(F.col(name)), "left_anti")
+
+
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` in a table of the shared folder, each row with a number of its own, and that column's name.
+
+    The numbers tell rows apart whose ids are null or repeat; they stay the same however often the table is read.
+    """
+    number = free_name(df, "row_number")
+    return stage(df.withColumn(number, F.monotonically_increasing_id()), name), number
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit values so that every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

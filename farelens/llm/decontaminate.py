@@ -206,5 +206,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> Data
     # By text: ids may be null or stand on several texts.
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     found = stage(find_contaminated(docs.select(sha.alias("doc_id"), "text"), benchmark, **settings), "contaminated")
-    gone = found.where("contaminated").select(F.col("doc_id").alias("gone_sha")).distinct()
-    return docs.join(gone, sha == F.col("gone_sha"), "left_anti")
+    return without(docs, sha, found.where("contaminated").select("doc_id"))

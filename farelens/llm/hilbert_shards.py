@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelens.llm.common import free_name, numbered
 from farelens.session import stage
 
 MAX_CELL_BITS = 16
@@ -199,14 +200,14 @@ def write_shards(
 
     The rows are numbered in a copy in the shared folder first, so that repeated rows stay apart.
     """
-    number, shard, slot = (_free(docs, name) for name in ("row_number", "shard", "slot"))
-    numbered = stage(docs.withColumn(number, F.monotonically_increasing_id()), "shard-docs")
+    shard, slot = (free_name(docs, name) for name in ("shard", "slot"))
+    copy, number = numbered(docs, "shard-docs")
     own = [name for name in dimensions if name != "size"]
-    rows = numbered.select(F.col(number).alias("row"), _size().alias("size"), F.lit(1).cast("long").alias("n"), *own)
+    rows = copy.select(F.col(number).alias("row"), _size().alias("size"), F.lit(1).cast("long").alias("n"), *own)
     placed = stage(_placed(rows, ["row"], dimensions, bits, block_rows), "shard-places")
     cut = _cut(placed, shards, law).select(F.col("row").alias(number), F.col("shard").alias(shard), F.col("slot").alias(slot))
     (
-        numbered.join(cut, number)
+        copy.join(cut, number)
         .drop(number)
         .repartition(shards, shard)
         .sortWithinPartitions(shard, slot)
@@ -214,10 +215,3 @@ def write_shards(
         .parquet(path)
     )
 
-
-def _free(df: DataFrame, name: str) -> str:
-    """``name``, lengthened until no column has it."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import Words, chunks, ship
+from farelens.llm.common import Words, chunks, ship, without
 from farelens.llm.labelled import held_out, training_rows
 from farelens.session import stage
 
@@ -149,7 +149,18 @@ def score_quality(
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
     ship(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, parts, rest, max_train, epochs))
+    model = train(docs, labels, label, parts, rest, max_train, epochs)
+    return _scored(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id"), parts, rest).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def _scored(docs: DataFrame, fitted) -> DataFrame:
+    """doc_id and score of every row of ``docs``."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def score(batches):
         fitted = model.value
@@ -164,17 +175,28 @@ def score_quality(
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(value)], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = _prepared(docs).mapInArrow(score, f"doc_id {kind}, score double")
-    return scored.select(
-        "doc_id",
-        held_out(F.col("doc_id"), parts, rest).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-    )
+    return _prepared(docs).mapInArrow(score, f"doc_id {kind}, score double")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """``docs`` with all its columns, without the documents that the classifier rejects."""
-    scored = stage(score_quality(docs, labels, **settings), "quality")
-    gone = scored.where("predicted = 0").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    parts: int = 4,
+    rest: int = 2,
+    max_train: int = 6000,
+    epochs: int = 6,
+    threshold: float = 0.7,
+) -> DataFrame:
+    """``docs`` with all its columns, without the documents that the classifier rejects.
+
+    A score depends on nothing but the text and its declared length, so these name what goes: a row with a null
+    id, or with an id that other texts have too, is judged like any other.
+    """
+    ship(docs.sparkSession)
+    fitted = train(docs, labels, label, parts, rest, max_train, epochs)
+    declared = F.col("n_chars").cast("long").cast("string") if "n_chars" in docs.columns else F.lit(None).cast("string")
+    judged = F.sha2(F.concat(F.coalesce(declared, F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))), 256)
+    named = docs.select(judged.alias("doc_id"), "text", *[c for c in ("n_chars",) if c in docs.columns])
+    scored = stage(_scored(named, fitted), "quality")
+    return without(docs, judged, scored.where(F.col("score") < threshold).select("doc_id"))

@@ -45,7 +45,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("copies")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

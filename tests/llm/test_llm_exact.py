@@ -3,6 +3,7 @@ import itertools
 import os
 import sys
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -25,7 +26,7 @@ def brute(rows):
 def test_equals_grouping_by_text(spark, key_bits, capacity):
     rows = AWKWARD + [(20 + i, "copy") for i in range(50)]
     got = exact_dedup.exact_duplicates(frame(spark, rows), capacity, key_bits).collect()
-    assert {tuple(r) for r in got} == brute(rows)
+    assert {tuple(r)[:5] for r in got} == brute(rows)
     assert len(got) == len({(r[0], r[1] or "") for r in rows})
 
 
@@ -75,3 +76,45 @@ def test_stage_with_null_ids_and_one_id_on_two_texts(spark):
     rows = [(5, "A"), (9, "A"), (5, "B"), (None, "C"), (None, "C"), (None, "A"), (None, None), (None, "")]
     kept = exact_dedup.drop_exact_duplicates(frame(spark, rows)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, "C"), (5, "B"), (9, "A")]
+
+
+def routed(texts, bucket=0, key=0):
+    rows = [(bucket, 0, key, i, 1, hashlib.sha256(t).hexdigest(), t) for i, t in enumerate(texts)]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], exact_dedup.ROUTED)
+
+
+OUT = pa.schema(
+    [("bucket", pa.int64()), ("depth", pa.int32()), ("key", pa.int64()), ("chain", pa.int32()), ("sha", pa.string())]
+    + [("keep_id", pa.int64()), ("group_size", pa.int64())]
+)
+
+
+def test_owners_form_groups_by_comparing_bytes():
+    batches = [routed([b"a", b"b", b"a"]), routed([b"b", b"c"]), routed([b"a"], key=1)]
+    rows = pa.Table.from_batches(exact_dedup.chain(batches, OUT)).to_pylist()
+    found = [(r["key"], r["chain"], r["keep_id"], r["group_size"]) for r in rows]
+    assert sorted((key, keep, size) for key, _, keep, size in found) == [(0, 1, 1), (0, 1, 2), (0, 2, 2), (1, 0, 1)]
+    assert [(key, place) for key, place, _, _ in found] == [(0, 0), (0, 1), (0, 2), (1, 0)]
+
+
+def test_one_text_in_two_buckets_is_two_groups():
+    """The directory decides what meets: a text that is routed wrongly isn't grouped with its copies."""
+    rows = pa.Table.from_batches(exact_dedup.chain([routed([b"a"]), routed([b"a"], bucket=8)], OUT)).to_pylist()
+    assert [r["group_size"] for r in rows] == [1, 1]
+
+
+def test_map_tasks_collapse_copies():
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("sha", pa.string()), ("body", pa.binary())])
+    rows = [(1, i if i % 3 else None, 1, "s", b"hot") for i in range(1000)] + [(2, 5, 1, "t", b"other")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    (out,) = exact_dedup._collapse([batch])
+    assert sorted((r["id"], r["n"]) for r in out.to_pylist()) == [(5, 1), (998, 1000)]
+
+
+def test_owners_have_runs_of_whole_buckets():
+    counts = {s: 10 for s in range(0, 65536, 64)}
+    rows = exact_dedup._owned(exact_dedup.directory(counts, 40), counts, 5)
+    assert [r[0] for r in rows] == sorted(counts) and [r[3] for r in rows] == sorted(r[3] for r in rows)
+    shares = [sum(1 for r in rows if r[3] == owner) for owner in range(5)]
+    assert max(shares) - min(shares) <= 8 and all(len({r[3] for r in rows if r[1] == b}) == 1 for b in {r[1] for r in rows})

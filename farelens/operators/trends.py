@@ -38,17 +38,40 @@ def trailing_day_totals(
 ) -> DataFrame:
     """Sum and day count of ``value`` over the ``days`` calendar days ending at each ``anchor``.
 
-    ``anchors`` holds one anchor date per combination of ``groups``. It is spread over the days of
-    its window (at most ``days`` rows per calendar day, whatever the fact's size) and met by the daily
-    rows on the day, so anchors need no sales of their own and days in no window drop out.
+    ``daily`` has at most one row per ``keys`` and day, ``anchors`` one anchor date per combination of
+    ``groups``, no date twice. Running totals replace the windows: a window's sum is the total up to its
+    anchor less the total before its first day. A day with a value stands for the anchors up to the next such
+    day, so each result is made once, however long the window; rows grow with days, not days times ``days``.
+    Anchors need no value of their own, and windows without any drop out.
     """
-    first = F.date_sub("anchor", days - 1)
-    spread = anchors.select(
-        *groups, F.explode(F.sequence(first, F.col("anchor"), F.expr("INTERVAL 1 DAY"))).alias("__day")
+    per_key = Window.partitionBy(*keys).orderBy("__day")
+    following = F.lead("__day").over(per_key)
+    reach = F.least(F.date_sub(following, 1), F.date_add("__day", days - 1))
+    valued = daily.select(*keys, F.col(value).alias("__value"), F.col(day).alias("__day"))
+    covered = valued.withColumn("__reach", reach).withColumn(
+        "anchor", F.explode(F.sequence("__day", "__reach", F.expr("INTERVAL 1 DAY")))
     )
-    return (
-        daily.select(*keys, F.col(value).alias("__value"), F.col(day).alias("__day"))
-        .join(spread, "__day")
-        .groupBy(*keys, *groups)
-        .agg(F.sum("__value").alias("window_total"), F.count("__value").alias("window_days"))
+    results = covered.select(*keys, "anchor").join(anchors.select("anchor"), "anchor", "left_semi")
+    # One running total over values and, for each result, a mark at either end of its window. A mark counts
+    # the values of its day and before.
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("anchor").alias("day"), F.lit(1).alias("sign")),
+            F.struct(F.date_sub("anchor", days).alias("day"), F.lit(-1).alias("sign")),
+        )
     )
+    marks = results.select(*keys, "anchor", ends.alias("end")).select(
+        *keys, F.col("end.day").alias("__day"), F.lit(None).cast(valued.schema["__value"].dataType).alias("__value"), "anchor",
+        F.col("end.sign").alias("sign"),
+    )
+    none = [F.lit(None).cast("date").alias("anchor"), F.lit(0).alias("sign")]
+    running = Window.partitionBy(*keys).orderBy("__day", F.abs("sign")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = valued.select(*keys, "__day", "__value", *none).unionByName(marks).select(
+        *keys, "anchor", "sign", F.sum("__value").over(running).alias("total"), F.count("__value").over(running).alias("days")
+    )
+    sums = (
+        summed.where("sign <> 0")
+        .groupBy(*keys, "anchor")
+        .agg(F.sum(F.col("sign") * F.col("total")).alias("window_total"), F.sum(F.col("sign") * F.col("days")).alias("window_days"))
+    )
+    return sums.join(anchors, "anchor").select(*keys, *groups, "window_total", "window_days")

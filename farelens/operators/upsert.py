@@ -12,16 +12,23 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFra
 
 
 def append_absent(
-    existing: DataFrame, batch: DataFrame, key: str = "transaction_id", partition: str | None = None
+    existing: DataFrame,
+    batch: DataFrame,
+    key: str = "transaction_id",
+    partition: str | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` not loaded before, so a replay adds nothing twice.
 
-    Name the ``partition`` column both sides share to read only the partitions the batch touches.
+    Name the ``partition`` column both sides share to read only the partitions the batch touches; where they
+    are known beforehand (``touched``, at least those), the batch isn't evaluated to find them.
     """
     if partition is None:
         return batch.join(existing.select(key), key, "left_anti")
-    touched = existing.select(partition, key).join(batch.select(partition).distinct(), partition, "left_semi")
-    return batch.join(touched, [partition, key], "left_anti")
+    if touched is None:
+        touched = batch.select(partition).distinct()
+    read = existing.select(partition, key).join(touched, partition, "left_semi")
+    return batch.join(read, [partition, key], "left_anti")
 
 
 def number_rows(df: DataFrame, name: str, order: str, start: int = 0) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from farelens.functions import text
 from farelens.functions.dates import date_dimension, observed_days
 from farelens.functions.numeric import fare_total
-from farelens.operators.lookups import spread_blanks
+from farelens.operators.lookups import same_or_both_blank, spread_blanks
 from farelens.operators.upsert import append_absent, insert_absent, number_rows
+from farelens.plans import rollups
 from farelens.schemas import (
     DIGITAL_TYPES,
     FACT_SCHEMA,
@@ -105,11 +106,11 @@ def seed_dates(keys: DataFrame) -> DataFrame:
 
 def write_dimensions(
     raw: DataFrame, folder: str, digital: Sequence[str], known: Star | None = None
-) -> None:
+) -> DataFrame:
     """Seed the four dimensions from a single scan of the raw rows and write them to ``folder``.
 
     Rows of ``known`` keep their keys and attributes; new ones are numbered after the largest key, and
-    the dates run from the first to the last day of both.
+    the dates run from the first to the last day of both. Returns the raw rows' ``key_combinations``.
     """
     spark = raw.sparkSession
     keys = stage(key_combinations(raw), "key-combinations")
@@ -126,9 +127,10 @@ def write_dimensions(
     if old.dates is not None:
         span = span.unionByName(old.dates.agg(F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day")))
     tables.write_dimension(seed_dates(span), f"{folder}/dim_date")
+    return keys
 
 
-def convert_against(raw: DataFrame, folder: str) -> DataFrame:
+def convert_against(raw: DataFrame, folder: str, keep_text: bool = False) -> DataFrame:
     """``convert`` against written dimensions, whose true size the look-ups then know."""
     read = raw.sparkSession.read
     return convert(
@@ -136,7 +138,40 @@ def convert_against(raw: DataFrame, folder: str) -> DataFrame:
         read.schema(LINE_SCHEMA).parquet(f"{folder}/dim_line"),
         read.schema(PASSENGER_TYPE_SCHEMA).parquet(f"{folder}/dim_passenger_type"),
         read.schema(STATION_SCHEMA).parquet(f"{folder}/dim_station"),
+        keep_text,
+    )
+
+
+def convert_once_each(raw: DataFrame, folder: str) -> DataFrame:
+    """``convert_against`` with one accepted row per id; the others of an id are rejects, ``duplicate_id``.
+
+    The first record by time, then by its text, is accepted. Which raw ids repeat is counted first, from the
+    ids alone; only rows with such an id are shuffled, and only if there are any. Equal records are counted
+    before they move, so a record that arrives a million times is one row.
+    """
+    several = raw.where(F.col("trx_id").isNotNull()).groupBy("trx_id").agg(F.count("*").alias("n")).where("n > 1")
+    several = stage(several.select(F.col("trx_id").alias("repeated_id")), "repeated-ids")
+    if several.isEmpty():
+        return convert_against(raw, folder)
+    once = convert_against(raw.join(several, raw["trx_id"] == several["repeated_id"], "left_anti"), folder)
+    repeated = convert_against(raw.join(several, raw["trx_id"] == several["repeated_id"], "left_semi"), folder, keep_text=True)
+    return once.unionByName(_first_of_each_id(repeated).select(*once.columns))
+
+
+def _first_of_each_id(rows: DataFrame) -> DataFrame:
+    """``rows`` with all but the first otherwise good row of each id rejected."""
+    good = F.col("reject_reason").isNull()
+    alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    order = F.struct("txn_timestamp", "raw_text", "line_id", "passenger_type_id")
+    alike = alike.withColumn("place", F.when(good, order))
+    first = alike.where(good).groupBy(F.col("transaction_id").alias("id")).agg(F.min("place").alias("first"))
+    judged = alike.join(first, same_or_both_blank(F.col("transaction_id"), F.col("id")), "left")
+    stays = good & F.col("place").eqNullSafe(F.col("first"))
+    # The row that stays, then its copies: one accepted, the rest rejected.
+    numbered = judged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn(
+        "reject_reason", F.when(good & ~(stays & (F.col("copy") == 1)), "duplicate_id").otherwise(F.col("reject_reason"))
     )
+    return numbered.withColumn("raw_text", F.when(F.col("reject_reason").isNotNull(), F.col("raw_text")))
 
 
 def _reject_reason() -> Column:
@@ -155,9 +190,11 @@ def _reject_reason() -> Column:
     )
 
 
-def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, stations: DataFrame) -> DataFrame:
+def convert(
+    raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, stations: DataFrame, keep_text: bool = False
+) -> DataFrame:
     """Every raw row, typed, with ``reject_reason`` (blank = accepted), the fare as text, and the whole
-    raw record as text where it is rejected.
+    raw record as text where it is rejected (everywhere with ``keep_text``).
 
     One pass over the raw rows with three left look-ups, so no row is lost. Should the stations
     outgrow a broadcast, blank destinations are spread over the tasks and AQE splits a hot code.
@@ -191,7 +228,7 @@ def convert(raw: DataFrame, star_lines: DataFrame, passenger_types: DataFrame, s
         .select(
             *FACT_COLUMNS,
             "fare_text",
-            F.when(F.col("reject_reason").isNotNull(), F.col("raw_text")).alias("raw_text"),
+            F.when(F.col("reject_reason").isNotNull() | F.lit(keep_text), F.col("raw_text")).alias("raw_text"),
             "reject_reason",
         )
     )
@@ -241,25 +278,30 @@ def load_star(
     digital: Sequence[str] = DIGITAL_TYPES,
     strict: bool = False,
     replace_months: bool = False,
+    cluster: bool = False,
+    row_group_bytes: int | None = None,
 ) -> Star:
     """Load raw rows into the star tables under ``folder``, as often as rows arrive.
 
     Dimensions keep their keys and gain what is new. Rows already loaded (same id, same month) are not
     added again, so a chunk or a whole extract may come twice; with ``replace_months`` the load's months
-    take the place of what earlier loads held of them. Rejects stay with their load until a later load
-    accepts or rejects the same record.
+    take the place of what earlier loads held of them. Of rows that share an id inside one load the first is
+    accepted. Rejects stay with their load until a later load accepts or rejects the same record.
+
+    ``cluster`` orders each month over origin and destination, so that a filter on either station skips most
+    row groups. It costs a load one more copy of its rows, written once and read twice.
 
-    A load writes folders of its own, the accepted and rejected rows side by side in one pass, and
-    becomes visible by the last step, a line in the table of loads; one that fails leaves the star as
-    it was.
+    A load writes folders of its own, the accepted and rejected rows side by side in one pass and the sums
+    that the serving views add up, and becomes visible by the last step, a line in the table of loads; one
+    that fails leaves the star as it was.
     """
     spark = raw.sparkSession
     loads = tables.read_loads(spark, folder)
     number = max((load.load_seq for load in loads), default=0) + 1
     known = tables.read_star(spark, folder) if loads else None
     dimensions = f"{folder}/dimensions/load_seq={number}"
-    write_dimensions(raw, dimensions, digital, known)
-    converted = convert_against(raw, dimensions)
+    keys = write_dimensions(raw, dimensions, digital, known)
+    converted = convert_once_each(raw, dimensions)
     if strict:
         rows = accepted(converted, strict=True).withColumns(
             {name: F.lit(None).cast("string") for name in ("fare_text", "raw_text", "reject_reason")}
@@ -267,20 +309,36 @@ def load_star(
     else:
         rows = converted
     if known is not None and not replace_months:
-        rows = _not_loaded(rows, known.fact)
+        rows = _not_loaded(rows, known.fact, keys)
     status = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
     own = tables.load_folder(folder, number)
-    tables.write_fact(rows.withColumn("status", status), own, ("status",), dynamic=False)
+    rows, bounds = rows.withColumn("status", status), None
+    if cluster:
+        rows = stage(rows, "load-rows")
+        bounds = tables.station_bounds(spark.read.schema(STATION_SCHEMA).parquet(f"{dimensions}/dim_station"))
+    tables.write_fact(rows, own, ("status",), dynamic=False, station_bounds=bounds, row_group_bytes=row_group_bytes)
     months = tables.months_of_load(spark, own) if replace_months else []
-    tables.commit_load(spark, folder, number, months)
-    return tables.read_star(spark, folder)
+    tables.commit_load(spark, folder, number, months, rollups.write_rollups(spark, folder, number))
+    return rollups.read_star(spark, folder)
 
 
-def _not_loaded(rows: DataFrame, fact: DataFrame) -> DataFrame:
-    """Rejected rows, and the accepted ones whose id their month does not hold yet."""
-    good = rows.where(F.col("reject_reason").isNull()).withColumn(tables.MONTH, tables.month_of(F.col("txn_date")))
-    fresh = append_absent(fact.select("transaction_id", tables.MONTH), good, partition=tables.MONTH)
-    return fresh.select(*rows.columns).unionByName(rows.where(F.col("reject_reason").isNotNull()))
+def _not_loaded(rows: DataFrame, fact: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rejected rows, and the accepted ones whose id their month does not hold yet.
+
+    ``keys`` bound the months, so the rows needn't be converted once more to learn them. Rejects take part
+    under one of 1,024 names that are no month, so that all rows go through one conversion.
+    """
+    no_month = F.concat(F.lit("-"), F.pmod(F.xxhash64("raw_text"), F.lit(1024)).cast("string"))
+    month = F.when(F.col("reject_reason").isNull(), tables.month_of(F.col("txn_date"))).otherwise(no_month)
+    every_month = F.sequence(F.trunc("first_day", "month"), F.trunc("last_day", "month"), F.expr("INTERVAL 1 MONTH"))
+    touched = keys.where("first_day IS NOT NULL").select(F.explode(every_month).alias("month"))
+    fresh = append_absent(
+        fact.select("transaction_id", tables.MONTH),
+        rows.withColumn(tables.MONTH, month),
+        partition=tables.MONTH,
+        touched=touched.select(tables.month_of(F.col("month")).alias(tables.MONTH)).distinct(),
+    )
+    return fresh.select(*rows.columns)
 
 
 def open_rejects(spark, folder: str) -> DataFrame:
@@ -292,11 +350,16 @@ def open_rejects(spark, folder: str) -> DataFrame:
     identity = F.coalesce(F.concat(F.lit("id "), F.col("transaction_id").cast("string")), F.col("raw_text"))
     bad = loaded.where("status = 'rejected'").withColumn("identity", identity)
     last = bad.groupBy("identity").agg(F.max("load_seq").alias("last_seq"))
-    good = loaded.where("status = 'accepted'").groupBy(identity.alias("identity")).agg(F.max("load_seq").alias("good_seq"))
+    # Staged, so that its true size decides how the accepted rows are searched: only their ids and loads are read,
+    # and only rows with a rejected id are grouped.
+    ids = stage(bad.where("transaction_id IS NOT NULL").select("transaction_id").distinct(), "rejected-ids")
+    good = loaded.where("status = 'accepted'").select("transaction_id", "load_seq").join(ids, "transaction_id", "left_semi")
+    good = good.groupBy(F.col("transaction_id").alias("good_id")).agg(F.max("load_seq").alias("good_seq"))
     return (
         bad.join(last, "identity")
         .where("load_seq = last_seq")
-        .join(good, "identity", "left")
-        .where("good_seq IS NULL OR good_seq < load_seq")
+        .join(good, F.col("transaction_id") == F.col("good_id"), "left")
+        # A repeated id was accepted once by its own load, which doesn't settle its other records.
+        .where("good_seq IS NULL OR good_seq < load_seq OR good_seq = load_seq AND reject_reason = 'duplicate_id'")
         .select("load_seq", "transaction_id", "reject_reason", "fare_text", "raw_text")
     )

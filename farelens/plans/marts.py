@@ -1,50 +1,73 @@
 """Serving views and analysis results over the star schema.
 
 Shape of every plan: aggregate the fact on its own keys (partial aggregation makes hot keys
-harmless), then look up labels, then window over the few rows that are left.
+harmless), then look up labels, then window over the few rows that are left. Where a load has stored sums
+on keys that serve, they are added up and the fact isn't read at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.dates import calendar_attributes
-from farelens.functions.numeric import as_decimal, fare_total, mean, percent
+from farelens.functions.numeric import TOTAL, as_decimal, fare_total, mean, percent
 from farelens.operators.lookups import label
 from farelens.operators.ranking import count_positions
 from farelens.operators.trends import change_percent, count_share, share_of_total, trailing_row_mean
+from farelens.plans.rollups import estimated_stations, source, totals
 from farelens.schemas import Star
+from farelens.sources import tables
 
 TARGET_DAILY_REVENUE = 60_000_000  # fixed value: the default benchmark
 
 
-def _totals(fact: DataFrame, *keys: str | Column) -> DataFrame:
-    return fact.groupBy(*keys).agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
-
-
-def headline_kpis(star: Star) -> DataFrame:
-    """One row: volume, revenue, average ticket, stations and period."""
-    return star.fact.agg(
-        F.count("*").alias("total_transactions"),
-        fare_total().alias("total_revenue"),
-        mean(fare_total(), F.count("fare_amount"), 2).alias("avg_ticket_value"),
-        F.count_distinct("origin_station_id").alias("stations_covered"),
+def headline_kpis(star: Star, approximate: bool = False) -> DataFrame:
+    """One row: volume, revenue, average ticket, stations and period.
+
+    ``approximate`` estimates the stations (standard error 1.6 %) from mergeable sketches, which a load keeps
+    per day and line; exact is the default.
+    """
+    rows = source(star, ["txn_date"] if approximate else ["txn_date", "origin_station_id"])
+    if "rows" in rows.columns:
+        count, paid, revenue = F.sum("rows"), F.sum("paid"), F.sum("revenue").cast(TOTAL)
+    else:
+        count, paid, revenue = F.count("*"), F.count("fare_amount"), fare_total()
+    return rows.agg(
+        F.coalesce(count, F.lit(0)).alias("total_transactions"),
+        revenue.alias("total_revenue"),
+        mean(revenue, paid, 2).alias("avg_ticket_value"),
+        (estimated_stations(rows) if approximate else F.count_distinct("origin_station_id")).alias("stations_covered"),
         F.min("txn_date").alias("period_start"),
         F.max("txn_date").alias("period_end"),
     )
 
 
+def stations_covered(
+    star: Star, by: Sequence[str] = (), first: str | None = None, last: str | None = None, approximate: bool = False
+) -> DataFrame:
+    """Distinct origin stations per ``by`` (of line_id and txn_date) over the days from ``first`` to ``last``.
+
+    Exact by default; ``approximate`` merges the sketches of the days and lines, whatever the selection.
+    """
+    keys = [*by, "txn_date"] if approximate else [*by, "txn_date", "origin_station_id"]
+    rows = source(star, keys)
+    if first is not None or last is not None:
+        rows = rows.where(tables.days(rows, first or "0001-01-01", last or "9999-12-31"))
+    counted = estimated_stations(rows) if approximate else F.count_distinct("origin_station_id")
+    return rows.groupBy(*by).agg(counted.alias("stations_covered"))
+
+
 def daily_totals(star: Star) -> DataFrame:
-    return _totals(star.fact, "txn_date")
+    return totals(star, "txn_date")
 
 
 def daily_revenue_rolling(star: Star, rows: int = 30) -> DataFrame:
     """Daily revenue against its trailing row average; the comparison is strict and unrounded."""
     trend = trailing_row_mean("daily_revenue", "txn_date", rows)
-    daily = star.fact.groupBy("txn_date").agg(fare_total().alias("daily_revenue"))
+    daily = daily_totals(star).select("txn_date", F.col("revenue").alias("daily_revenue"))
     return (
         daily.withColumn("revenue_30d_rolling_avg", trend)
         .withColumn(
@@ -72,7 +95,7 @@ def daily_revenue_trend(star: Star) -> DataFrame:
 
 
 def line_totals(star: Star) -> DataFrame:
-    return label(_totals(star.fact, "line_id"), star.lines, "line_id", "line_id", line_name="line_name").drop("line_id")
+    return label(totals(star, "line_id"), star.lines, "line_id", "line_id", line_name="line_name").drop("line_id")
 
 
 def line_contribution(star: Star) -> DataFrame:
@@ -104,7 +127,7 @@ def line_revenue_share(star: Star) -> DataFrame:
 
 def passenger_mix_by_line(star: Star) -> DataFrame:
     """Passenger types within each line, in percent of the line's transactions."""
-    counts = star.fact.groupBy("line_id", "passenger_type_id").agg(F.count("*").alias("txn_count"))
+    counts = totals(star, "line_id", "passenger_type_id").withColumnRenamed("footfall", "txn_count")
     named = label(counts, star.lines, "line_id", "line_id", line_name="line_name")
     named = label(
         named, star.passenger_types, "passenger_type_id", "passenger_type_id", passenger_type="passenger_type"
@@ -118,7 +141,7 @@ def passenger_mix_by_line(star: Star) -> DataFrame:
 
 
 def passenger_mix_network(star: Star) -> DataFrame:
-    counts = star.fact.groupBy("passenger_type_id").agg(F.count("*").alias("txn_count"))
+    counts = totals(star, "passenger_type_id").withColumnRenamed("footfall", "txn_count")
     named = label(
         counts, star.passenger_types, "passenger_type_id", "passenger_type_id", passenger_type="passenger_type"
     )
@@ -127,9 +150,7 @@ def passenger_mix_network(star: Star) -> DataFrame:
 
 def pair_totals(star: Star, *more_keys: str) -> DataFrame:
     """Totals per pair of origin and destination *names*; stations that share a name merge."""
-    by_id = _totals(
-        star.fact.where(F.col("dest_station_id").isNotNull()), "origin_station_id", "dest_station_id", *more_keys
-    )
+    by_id = totals(star, "origin_station_id", "dest_station_id", *more_keys).where(F.col("dest_station_id").isNotNull())
     named = label(by_id, star.stations, "origin_station_id", "station_id", origin_station="station_name")
     named = label(named, star.stations, "dest_station_id", "station_id", destination_station="station_name")
     return named.groupBy("origin_station", "destination_station", *more_keys).agg(
@@ -157,7 +178,7 @@ def od_matrix(star: Star, min_journeys: int = 100, top: int = 500) -> DataFrame:
 
 def station_totals(star: Star) -> DataFrame:
     """Totals per origin station and the line on the fact; a station can show under several lines."""
-    by_id = _totals(star.fact, "origin_station_id", "line_id")
+    by_id = totals(star, "origin_station_id", "line_id")
     named = label(
         by_id, star.stations, "origin_station_id", "station_id", station_id="station_id", station_name="station_name"
     )
@@ -186,27 +207,28 @@ def station_ranking(star: Star) -> DataFrame:
 
 def station_extremes(star: Star) -> DataFrame:
     """The busiest and the quietest station row: positions one from either end."""
-    rows = station_totals(star)
-    order = [F.col("station_id"), F.col("line_name")]
     columns = ["station_id", "station_name", "line_name", "footfall", "revenue"]
-    busiest = rows.orderBy(F.col("footfall").desc(), *order).limit(1)
-    quietest = rows.orderBy(F.col("footfall").asc(), *order).limit(1)
-    return busiest.select(F.lit("busiest").alias("extreme"), *columns).unionByName(
-        quietest.select(F.lit("quietest").alias("extreme"), *columns)
+    row = F.struct(*columns)
+    both = station_totals(star).agg(
+        F.min_by(row, F.struct(-F.col("footfall"), "station_id", "line_name")).alias("busiest"),
+        F.min_by(row, F.struct("footfall", "station_id", "line_name")).alias("quietest"),
     )
+    named = [F.struct(F.lit(name).alias("extreme"), F.col(name).alias("row")) for name in ("busiest", "quietest")]
+    found = both.select(F.explode(F.array(*named)).alias("e")).where("e.row IS NOT NULL")
+    return found.select("e.extreme", *[F.col(f"e.row.{name}").alias(name) for name in columns])
 
 
 def daily_vs_target(star: Star, target: int = TARGET_DAILY_REVENUE) -> DataFrame:
     """Average daily revenue against a target, and the days that reached it."""
-    daily = star.fact.groupBy("txn_date").agg(fare_total().alias("daily_revenue"))
+    daily = daily_totals(star).select(F.col("revenue").alias("daily_revenue"))
     goal = F.lit(target).cast("decimal(20,2)")
     expected = goal * as_decimal(F.col("days_measured"))
-    totals = daily.agg(
+    overall = daily.agg(
         F.sum("daily_revenue").alias("total"),
         F.count("*").alias("days_measured"),
         F.count_if(F.col("daily_revenue") >= goal).alias("days_at_or_above_target"),
     )
-    return totals.select(
+    return overall.select(
         mean(F.col("total"), F.col("days_measured"), 2).alias("actual_daily_avg"),
         F.lit(target).cast("bigint").alias("target_daily_avg"),
         percent(F.col("total") - expected, expected).alias("variance_pct"),
@@ -217,13 +239,15 @@ def daily_vs_target(star: Star, target: int = TARGET_DAILY_REVENUE) -> DataFrame
 
 def hourly_profile(star: Star) -> DataFrame:
     """Footfall and revenue by hour of day; hours without rows are absent."""
-    hours = _totals(star.fact, F.hour("txn_timestamp").alias("hour_of_day"))
+    hours = star.fact.groupBy(F.hour("txn_timestamp").alias("hour_of_day")).agg(
+        F.count("*").alias("footfall"), fare_total().alias("revenue")
+    )
     return hours.withColumn("pct_of_daily_footfall", count_share("footfall")).orderBy("hour_of_day")
 
 
 def revenue_by(star: Star, column: str) -> DataFrame:
     """Totals by a text column of the fact, such as transaction or fare type."""
-    return _totals(star.fact, column)
+    return totals(star, column)
 
 
 def revenue_by_month(star: Star) -> DataFrame:
@@ -294,6 +318,6 @@ SERVING_VIEWS: dict[str, Callable[[Star], DataFrame]] = {
 
 
 def register_views(star: Star) -> None:
-    """Name the serving views, so SQL can read them; each read evaluates them again."""
+    """Name the serving views, so SQL can read them. A stored star answers each read from its loads' sums."""
     for name, build in SERVING_VIEWS.items():
         build(star).createOrReplaceTempView(name)

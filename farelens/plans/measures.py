@@ -10,8 +10,8 @@ beyond the date filter.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from farelens.functions.dates import calendar_attributes
 from farelens.functions.numeric import as_decimal, fare_total, mean, ratio
 from farelens.operators.trends import trailing_day_totals
-from farelens.schemas import DIGITAL_TYPES
+from farelens.plans.rollups import smallest
+from farelens.schemas import DIGITAL_TYPES, Rollup
+from farelens.session import stage
 from farelens.sources import tables
 
 # A selection: a list of values (None = the blank member) or an inclusive (low, high) pair.
@@ -52,13 +54,19 @@ ROLE_KEYS = {"origin": "origin_station_id", "destination": "dest_station_id"}
 class ReportModel:
     """Fact with ``ticket_type`` as text, snowflaked stations and lines, and the calendar.
 
-    The fact holds transactions (``fare_amount``) or a rollup of them (``rows`` and ``revenue``).
+    The fact holds transactions (``fare_amount``) or a rollup of them (``rows`` and ``revenue``). ``rollups``
+    hold the same on fewer keys; each part of an evaluation reads the smallest that has its columns.
     """
 
     fact: DataFrame
     stations: DataFrame
     lines: DataFrame
     calendar: DataFrame
+    rollups: tuple[Rollup, ...] = ()
+
+    def source(self, columns: Iterable[str]) -> DataFrame:
+        chosen = smallest(self.rollups, columns)
+        return self.fact if chosen is None else chosen.table
 
 
 @dataclass(frozen=True)
@@ -114,7 +122,7 @@ def _selected(column: Column, selection: Selection) -> Column:
         low, high = selection
         return column.between(F.lit(low), F.lit(high))
     values = [v for v in selection if v is not None]
-    if None not in selection:
+    if all(v is not None for v in selection):
         return column.isin(values)
     return column.isNull() | column.isin(values) if values else column.isNull()
 
@@ -145,6 +153,11 @@ def _condition(filters: Mapping[str, Selection], fact: DataFrame | None = None)
     return reduce(lambda a, b: a & b, parts) if parts else None
 
 
+def selected_on_fact(filters: Mapping[str, Selection], fact: DataFrame) -> Column | None:
+    """Condition of filters on dates and fact columns; none without filters."""
+    return _condition(filters, fact)
+
+
 def _as_dates(selection: Selection) -> Selection:
     cast = [None if v is None else F.lit(v).cast("date") for v in selection]
     return tuple(cast) if isinstance(selection, tuple) else cast
@@ -184,6 +197,22 @@ def _on_calendar(sums: DataFrame, calendar: DataFrame) -> DataFrame:
     return sums.join(days, sums["txn_date"] == days["date_key"], "left").drop("txn_date").withColumnRenamed("date_key", "txn_date")
 
 
+def _scan(model: ReportModel, columns: Iterable[str], filters: Mapping[str, Selection]) -> DataFrame:
+    """Rows with ``columns`` under filters on dates and fact columns, from the smallest table that has them all.
+
+    Where the table lies in month folders, filters on the calendar's attributes choose folders too: the months
+    of the calendar days they select prune the scan while it runs.
+    """
+    rows = model.source({*columns, *native_keys(list(filters), "origin", whole_dates=True)})
+    on_calendar = {n: s for n, s in filters.items() if FIELDS[n][0] == DATE and not (n == "date" and isinstance(s, tuple))}
+    if on_calendar and tables.MONTH in rows.columns:
+        days = _with_date_fields(model.calendar.select(F.col("date_key").alias("txn_date")), list(on_calendar))
+        months = _where(days, _condition(on_calendar)).select(tables.month_of(F.col("txn_date")).alias(tables.MONTH)).distinct()
+        rows = rows.join(months, tables.MONTH, "left_semi")
+    rows = _with_date_fields(rows, list(filters))
+    return _where(rows, _condition(filters, rows))
+
+
 def _with_dimensions(df: DataFrame, model: ReportModel, fields: Sequence[str], role: str) -> DataFrame:
     """Attach the station and line columns ``fields`` need; unmatched rows keep a blank member."""
     needed = {FIELDS[name][0] for name in fields}
@@ -223,8 +252,7 @@ def _additive(model, specs: Mapping[str, Measure], group_by, filters, role: str)
 
     # Date filters cut the scan too; which days the calendar has is seen on the sums.
     cut = {n: s for n, s in common.items() if FIELDS[n][0] == FACT or FIELDS[n][0] == DATE and None not in s}
-    fact = _with_date_fields(model.fact, [n for n in cut])
-    scan = _where(fact, _condition(cut, fact))
+    scan = _scan(model, keys, cut)
     cube = _added_up(scan, sorted(keys))
     if dated:
         cube = _with_date_fields(_on_calendar(cube, model.calendar), fields)
@@ -254,10 +282,8 @@ def selected_sums(model: ReportModel, keys: Sequence[str], filters: Mapping[str,
     on_fact = {n: s for n, s in filters.items() if FIELDS[n][0] == FACT or FIELDS[n][0] == DATE and None not in s}
     dated = any(FIELDS[n][0] == DATE for n in filters)
     others = [n for n in filters if FIELDS[n][0] != FACT]
-    fact = _with_date_fields(model.fact, list(on_fact))
-    scan = _where(fact, _condition(on_fact, fact))
     wanted = {*keys, *native_keys(others, "origin", whole_dates=True)}
-    sums = _added_up(scan, sorted(wanted))
+    sums = _added_up(_scan(model, wanted, on_fact), sorted(wanted))
     if dated:
         sums = _with_date_fields(_on_calendar(sums, model.calendar), others)
     sums = _where(_with_dimensions(sums, model, others, "origin"), _condition({n: filters[n] for n in others}))
@@ -306,15 +332,15 @@ def _trailing(model, name: str, spec: Measure, group_by, filters) -> DataFrame:
     chosen = _where(calendar, _condition(on_dates))
     anchors = chosen.groupBy(*[_field(n).alias(n) for n in dates]).agg(F.max("txn_date").alias("anchor"))
 
-    fact = model.fact
+    beyond_scan = [n for n in dict.fromkeys([*others, *rest]) if n in others or not _on_fact(n)]
+    role = spec.context.role
+    keys = {"txn_date", *native_keys(beyond_scan, role)}
+    scan = _scan(model, keys, {n: s for n, s in rest.items() if _on_fact(n)})
     span = filters.get("date")
     if isinstance(span, tuple):
         first = F.date_sub(F.lit(span[0]).cast("date"), spec.trailing_days - 1)
-        fact = fact.where(tables.days(fact, first, span[1]))
-    scan = _where(fact, _condition({n: s for n, s in rest.items() if _on_fact(n)}))
-    beyond_scan = [n for n in dict.fromkeys([*others, *rest]) if n in others or not _on_fact(n)]
-    role = spec.context.role
-    cube = _added_up(scan, sorted({"txn_date", *native_keys(beyond_scan, role)}))
+        scan = scan.where(tables.days(scan, first, span[1]))
+    cube = _added_up(scan, sorted(keys))
     cube = _with_dimensions(cube, model, beyond_scan, role)
     cube = _where(cube, _condition({n: s for n, s in rest.items() if not _on_fact(n)}))
     daily = cube.groupBy(*[_field(n).alias(n) for n in others], "txn_date").agg(F.sum("revenue").alias("revenue"))
@@ -331,9 +357,17 @@ def evaluate(
     group_by: Sequence[str] = (),
     filters: Mapping[str, Selection] | None = None,
     known: Mapping[str, Measure] | None = None,
+    totals: bool = False,
 ) -> DataFrame:
-    """One row per group with at least one non-blank measure; unrounded decimals."""
+    """One row per group with at least one non-blank measure; unrounded decimals.
+
+    With ``totals`` also one row for each combination of fewer group fields and the grand total, every
+    measure evaluated anew at each level: distinct stations, averages and shares don't add up from cells.
+    ``level`` numbers them as grouping_id does: 0 is a plain cell, the last field's bit is 1.
+    """
     known = known or catalogue()
+    if totals:
+        return _every_level(model, list(measures), list(group_by), dict(filters or {}), known)
     filters = dict(filters or {})
     group_by = list(group_by)
     specs = {name: known[name] for name in measures}
@@ -351,3 +385,47 @@ def evaluate(
     if group_by:
         result = result.where(F.coalesce(*[F.col(name).cast("double") for name in measures]).isNotNull())
     return result.select(*group_by, *measures)
+
+
+def _every_level(model: ReportModel, measures: list[str], group_by: list[str], filters: dict, known: Mapping[str, Measure]) -> DataFrame:
+    """``evaluate`` for every subset of ``group_by`` over one rollup that has all their keys.
+
+    The fact is read once; the levels read the rollup, which is staged because each of them does.
+    """
+    served = model if smallest(model.rollups, every_key(model, measures, group_by, filters, known)) else _rolled_up(
+        model, every_key(model, measures, group_by, filters, known)
+    )
+    parts = []
+    for level in range(1 << len(group_by)):
+        kept = [name for at, name in enumerate(reversed(group_by)) if not level >> at & 1][::-1]
+        rows = evaluate(served, measures, kept, filters, known)
+        absent = [F.lit(None).cast(_field_type(model, name)).alias(name) for name in group_by if name not in kept]
+        parts.append(rows.select("*", *absent, F.lit(level).alias("level")).select(*group_by, "level", *measures))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _field_type(model: ReportModel, name: str) -> str:
+    table, column = FIELDS[name]
+    if table == DATE:
+        days = model.calendar.select(F.col("date_key").alias("txn_date"))
+        return _with_date_fields(days, [name]).schema[column].dataType.simpleString()
+    rows = {STATION: model.stations, LINE: model.lines, FACT: model.fact}[table]
+    return rows.schema[column].dataType.simpleString()
+
+
+def every_key(model: ReportModel, measures: Sequence[str], group_by: Sequence[str], filters: Mapping, known: Mapping) -> set[str]:
+    """The fact's own keys that any part of such an evaluation groups or filters by."""
+    specs = [known[name] for name in measures]
+    replaced = [field for spec in specs for context in (spec.context, spec.per and spec.per[1]) if context for field, _ in context.replace]
+    keys = set()
+    for spec in specs:
+        keys |= set(native_keys([*group_by, *filters, *replaced], spec.context.role, whole_dates=True))
+        bases = {spec.base, spec.per and spec.per[0]}
+        keys |= {"origin_station_id"} if "stations" in bases else set()
+        keys |= {"txn_date"} if "days" in bases or spec.trailing_days else set()
+    return keys
+
+
+def _rolled_up(model: ReportModel, keys: Iterable[str]) -> ReportModel:
+    """The model over a staged rollup of its fact on ``keys``."""
+    return replace(model, fact=stage(_added_up(model.fact, sorted(keys)), "report-rollup"), rollups=())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.numeric import as_decimal, fare_total, mean, percent
@@ -189,6 +189,67 @@ def worst_difference(validation: DataFrame) -> DataFrame:
     )
 
 
+def sample_distance(full: DataFrame, sample: DataFrame, line: str = "line_id") -> DataFrame:
+    """How far the sample's hour and line profiles are from the full data's, per profile.
+
+    chi_square: sum of (sampled - expected)^2 / expected over the members, expected in proportion to the full
+    data; about ``degrees`` for a sample that differs only by chance. ks_distance: largest difference of the two
+    cumulative shares, members in order. Members that the full data lacks don't occur in a sample of it.
+    """
+    strata = [F.hour("txn_timestamp").alias("hour"), F.col(line).alias("line")]
+    whole, part = (df.groupBy(*strata).agg(F.count("*").alias(name)) for df, name in ((full, "n"), (sample, "k")))
+    both = whole.join(part, whole["hour"].eqNullSafe(part["hour"]) & whole["line"].eqNullSafe(part["line"]), "left").select(
+        whole["hour"], whole["line"], "n", F.coalesce("k", F.lit(0)).alias("k")
+    )
+    member = F.explode(
+        F.array(*[F.struct(F.lit(name).alias("profile"), F.col(name).cast("bigint").alias("member")) for name in ("hour", "line")])
+    )
+    counts = both.select(member.alias("m"), "n", "k").groupBy("m.profile", "m.member").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    every = Window.partitionBy("profile")
+    upto = every.orderBy("member")
+    n_all, k_all = F.sum("n").over(every), F.sum("k").over(every)
+    expected = F.col("n") * k_all.cast("double") / n_all
+    gap = F.abs(F.sum("n").over(upto) / n_all - F.sum("k").over(upto) / k_all)
+    measured = counts.select("profile", ((F.col("k") - expected) ** 2 / expected).alias("term"), gap.alias("gap"))
+    return measured.groupBy("profile").agg(
+        (F.count("*") - 1).alias("degrees"), F.sum("term").alias("chi_square"), F.max("gap").alias("ks_distance")
+    )
+
+
+def estimated_revenue(full: DataFrame, sample: DataFrame, line: str = "line_id", z: float = 1.96) -> DataFrame:
+    """One row: revenue estimated from a sample that is drawn per line and hour, and its interval.
+
+    Each stratum's sampled mean stands for all its rows; the variance adds up over strata, with the correction
+    for finite strata. Strata of one sampled row have no variance of their own and are counted in ``unmeasured``;
+    strata that the sample lacks are counted in ``missing`` and add nothing.
+    """
+    strata = [F.col(line).alias("line"), F.hour("txn_timestamp").alias("hour")]
+    cents = (F.col("fare_amount") * 100).cast("bigint")
+    whole = full.groupBy(*strata).agg(F.count("fare_amount").alias("n"), F.sum(cents).alias("t"))
+    part = sample.groupBy(*strata).agg(
+        F.count("fare_amount").alias("k"), F.sum(cents).alias("s"), F.var_samp(cents.cast("double")).alias("spread")
+    )
+    both = whole.join(part, whole["line"].eqNullSafe(part["line"]) & whole["hour"].eqNullSafe(part["hour"]), "left")
+    n, k, s = (F.col(name).cast("double") for name in ("n", "k", "s"))
+    variance = F.when(F.col("k") > 1, n * (n - k) / k * F.col("spread"))
+    sums = both.agg(
+        F.sum("t").alias("t"),
+        F.sum(n * s / k).alias("estimate"),
+        F.sum(variance).alias("variance"),
+        F.count_if(F.col("k") == 1).alias("unmeasured"),
+        F.count_if(F.coalesce("k", F.lit(0)) == 0).alias("missing"),
+    )
+    error = F.sqrt("variance") / 100
+    return sums.select(
+        (F.col("t") / 100).alias("revenue"),
+        (F.col("estimate") / 100).alias("estimated_revenue"),
+        error.alias("standard_error"),
+        (F.abs(F.col("estimate") - F.col("t")) / 100 <= error * z).alias("inside_interval"),
+        "unmeasured",
+        "missing",
+    )
+
+
 def reconcile_totals(star: Star) -> DataFrame:
     """Rounded average ticket times footfall against revenue, within half a cent per row."""
     totals = star.fact.agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))

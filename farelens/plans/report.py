@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,19 @@ from farelens.functions.numeric import as_decimal, fare_total
 from farelens.operators.lookups import label, same_or_both_blank
 from farelens.operators.ranking import top_with_ties
 from farelens.operators.trends import share_of_total
-from farelens.plans.measures import Measure, ReportModel, Selection, evaluate, native_keys, selected_sums
-from farelens.schemas import Star
+from farelens.plans.measures import (
+    FACT,
+    FIELDS,
+    Measure,
+    ReportModel,
+    Selection,
+    evaluate,
+    native_keys,
+    selected_on_fact,
+    selected_sums,
+)
+from farelens.plans.rollups import add_up, smallest
+from farelens.schemas import Rollup, Star
 from farelens.session import stage
 
 KPI_MEASURES = ["total_footfall", "total_revenue", "avg_ticket_value", "stations_covered"]
@@ -92,6 +104,72 @@ def flow_matrix_wide(star: Star, destinations: Sequence[str]) -> DataFrame:
     return named.groupBy("origin").pivot("destination", list(destinations)).agg(F.sum("revenue"))
 
 
+def report_model(star: Star) -> ReportModel:
+    """The report's view of a stored star, with its stored sums as rollups."""
+    types = star.passenger_types.select("passenger_type_id", F.col("passenger_type").alias("ticket_type"))
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return rows.join(types, "passenger_type_id", "left")
+
+    stored = tuple(
+        Rollup((rollup.keys - {"passenger_type_id"}) | {"ticket_type"}, typed(rollup.table), rollup.row_count)
+        if "passenger_type_id" in rollup.keys
+        else rollup
+        for rollup in star.rollups
+    )
+    return ReportModel(typed(star.fact), star.stations, star.lines, star.dates.select("date_key"), stored)
+
+
+def _needs(filters: Filters, days_before: int) -> tuple[list[set[str]], dict]:
+    """Keys that the visuals read (those by day and station, and the flows), and the filters that all of them share.
+
+    The trend looks back ``days_before`` days beyond a selected range of dates, so that much of the past stays.
+    """
+    selected = dict(filters or {})
+    shared = {n: s for n, s in selected.items() if FIELDS[n][0] == FACT}
+    span = selected.get("date")
+    if isinstance(span, tuple):
+        shared["date"] = (F.date_sub(F.lit(span[0]).cast("date"), days_before), F.lit(span[1]).cast("date"))
+    by_day = set(native_keys(["date", "station_name", "ticket_type", *selected], "origin", whole_dates=True))
+    flows = {"origin_station_id", "dest_station_id", *native_keys(list(selected), "origin", whole_dates=True)}
+    return [by_day, flows], shared
+
+
+def shared_sums(model: ReportModel, keys: Sequence[set[str]], filters: Mapping[str, Selection]) -> DataFrame:
+    """Sums for several sets of keys from one scan of the fact; ``part`` tells them apart.
+
+    A row goes to every part and is added up there before it moves.
+    """
+    columns = sorted(set().union(*keys))
+    types = {field.name: field.dataType for field in model.fact.schema.fields}
+    condition = selected_on_fact(filters, model.fact)
+    rows = model.fact if condition is None else model.fact.where(condition)
+    parts = [
+        F.struct(F.lit(number).alias("part"), *[(F.col(c) if c in own else F.lit(None).cast(types[c])).alias(c) for c in columns])
+        for number, own in enumerate(keys)
+    ]
+    measured = ["rows", "paid", "revenue"] if "rows" in types else ["fare_amount"]
+    dealt = rows.select(F.explode(F.array(*parts)).alias("p"), *measured)
+    return add_up(dealt.select("p.*", *measured), "part", *columns)
+
+
+def serve(model: ReportModel, filters: Filters = None, days_before: int = 29) -> ReportModel:
+    """The model with rollups that hold all that the visuals read under ``filters``.
+
+    Stored ones serve as they are; otherwise one scan of the fact makes and stages them.
+    """
+    keys, shared = _needs(filters, days_before)
+    if all(smallest(model.rollups, own) for own in keys):
+        return model
+    staged = stage(shared_sums(model, keys, shared), "report-sums")
+    counts = {row["part"]: row["n"] for row in staged.groupBy("part").agg(F.count("*").alias("n")).collect()}  # two rows
+    made = tuple(
+        Rollup(frozenset(own), staged.where(F.col("part") == number).drop("part"), counts.get(number, 0))
+        for number, own in enumerate(keys)
+    )
+    return replace(model, rollups=made)
+
+
 def rollup_fact(model: ReportModel, fields: Sequence[str], roles: Sequence[str] = ("origin",)) -> ReportModel:
     """The model over a staged rollup of its fact, just fine enough for ``fields``.
 
@@ -130,8 +208,10 @@ def dashboard(model: ReportModel, filters: Filters = None, known: Mapping[str, M
 def all_datasets(model: ReportModel, filters: Filters = None, top: int = 10) -> DataFrame:
     """All six visuals under one selection, in long form: dataset, member, second_member, measure, value.
 
-    Each visual has its own measures; an empty selection is the cleared dashboard.
+    Each visual has its own measures; an empty selection is the cleared dashboard. The fact is scanned once,
+    or not at all where stored sums serve.
     """
+    model = serve(model, filters)
     mix = passenger_mix(model, filters)
     flows = selected_flows(model, filters, top).withColumnsRenamed({"origin": "member", "destination": "second_member"})
     blank = F.lit(None).cast("string")

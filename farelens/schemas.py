@@ -131,12 +131,22 @@ FACT_SCHEMA = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """An aggregate of the fact: rows, paid and revenue per combination of ``keys``, perhaps in several parts."""
+
+    keys: frozenset[str]
+    table: DataFrame
+    row_count: int
+
+
 @dataclass(frozen=True)
 class Star:
-    """The star schema as DataFrames. Dimension keys are unique."""
+    """The star schema as DataFrames. Dimension keys are unique; ``rollups`` hold what the fact holds."""
 
     fact: DataFrame
     lines: DataFrame
     stations: DataFrame
     passenger_types: DataFrame | None = None
     dates: DataFrame | None = None
+    rollups: tuple[Rollup, ...] = ()

@@ -28,24 +28,68 @@ def write_dimension(df: DataFrame, path: str) -> None:
 
 
 def write_fact(
-    df: DataFrame, path: str, extra_partitions: tuple[str, ...] = (), mode: str = "overwrite", dynamic: bool = True
+    df: DataFrame,
+    path: str,
+    extra_partitions: tuple[str, ...] = (),
+    mode: str = "overwrite",
+    dynamic: bool = True,
+    station_bounds: list[int] | None = None,
+    row_group_bytes: int | None = None,
 ) -> None:
     """Write rows partitioned by month, in date order inside each file.
 
     The rebalance step gathers a month into few files and lets AQE split a month that is too big
     for one task. With ``overwrite``, only the months present in ``df`` are replaced, and all of the
     path if ``dynamic`` is off.
+
+    ``station_bounds`` orders a month along a curve over origin, destination and day instead, in files cut by
+    sampled ranges of that order: row groups then hold few origins and few destinations, and their statistics
+    let a filter on either skip most of them. Sampling reads ``df`` twice, so it should be a table.
     """
     partitions = [*extra_partitions, MONTH]
-    (
-        df.withColumn(MONTH, month_of(F.col("txn_date")))
-        .hint("rebalance", *[F.col(name) for name in partitions])
-        .sortWithinPartitions(*partitions, "txn_date")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    rows = df.withColumn(MONTH, month_of(F.col("txn_date")))
+    if station_bounds is None:
+        placed = rows.hint("rebalance", *[F.col(name) for name in partitions]).sortWithinPartitions(*partitions, "txn_date")
+    else:
+        order = [*partitions, pair_curve(station_bounds), F.xxhash64("transaction_id")]  # the hash splits a hot pair
+        placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = placed.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.partitionBy(*partitions).parquet(path)
+
+
+CURVE_BITS = 6
+
+
+def station_bounds(stations: DataFrame) -> list[int]:
+    """Station ids that cut the stations in 2^CURVE_BITS about equal steps: at most 63 numbers."""
+    steps = 1 << CURVE_BITS
+    cuts = F.percentile_approx("station_id", F.array(*[F.lit(i / steps) for i in range(1, steps)]), F.lit(10_000))
+    return sorted(set(stations.agg(cuts).first()[0] or []))
+
+
+def pair_curve(bounds: list[int]) -> Column:
+    """Place of a row on a curve that interleaves the bits of origin, destination and, behind them, the day.
+
+    Stations enter as their step among ``bounds``, which keeps their order; a blank destination is the first step.
+    """
+    numbers = F.array(*[F.lit(bound) for bound in bounds]) if bounds else F.array().cast("array<int>")
+
+    def step(station: str) -> Column:
+        return F.coalesce(F.size(F.filter(numbers, lambda bound: bound <= F.col(station))), F.lit(0))
+
+    sides = [step("origin_station_id"), step("dest_station_id")]
+    day = F.dayofmonth("txn_date") - 1
+    bits = []
+    for bit in range(CURVE_BITS - 1, -1, -1):
+        bits += [F.shiftright(side, bit).bitwiseAND(F.lit(1)) for side in sides]
+        if bit < 3:  # the day's three high bits, among the stations' low ones
+            bits.append(F.shiftright(day, bit + 2).bitwiseAND(F.lit(1)))
+    place = F.lit(0)
+    for bit in bits:
+        place = place * 2 + bit
+    return place
 
 
 def _with_month(schema: T.StructType, extra: tuple[T.StructField, ...] = ()) -> T.StructType:
@@ -64,8 +108,13 @@ LOAD_FIELDS = (
     T.StructField("status", T.StringType()),
 )
 LOADS_SCHEMA = T.StructType(
-    [T.StructField("load_seq", T.IntegerType()), T.StructField("replaced", T.ArrayType(T.StringType()))]
+    [
+        T.StructField("load_seq", T.IntegerType()),
+        T.StructField("replaced", T.ArrayType(T.StringType())),
+        T.StructField("rollup_rows", T.MapType(T.StringType(), T.LongType())),
+    ]
 )
+PARTITIONS = (T.StructField("load_seq", T.IntegerType()), T.StructField(MONTH, T.StringType()))
 
 
 def load_folder(folder: str, number: int) -> str:
@@ -78,16 +127,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_loads(spark: SparkSession, folder: str) -> list:
-    """Finished loads in order, one small row each: load_seq and the months it replaced."""
+    """Finished loads in order, one small row each: load_seq, the months it replaced, the rows of its rollups."""
     path = f"{folder}/loads"
     if not _exists(spark, path):
         return []
     return sorted(spark.read.schema(LOADS_SCHEMA).parquet(path).collect(), key=lambda row: row.load_seq)
 
 
-def commit_load(spark: SparkSession, folder: str, number: int, replaced: list[str]) -> None:
+def commit_load(spark: SparkSession, folder: str, number: int, replaced: list[str], rollup_rows: dict[str, int] | None = None) -> None:
     """Make a written load visible."""
-    done = spark.createDataFrame([(number, replaced)], LOADS_SCHEMA)
+    done = spark.createDataFrame([(number, replaced, rollup_rows)], LOADS_SCHEMA)
     done.coalesce(1).write.mode("append").parquet(f"{folder}/loads")
 
 
@@ -103,14 +152,30 @@ def read_loaded(spark: SparkSession, folder: str) -> DataFrame:
 
     Loads and replaced months are folder conditions, so hidden rows are never read.
     """
-    loads = read_loads(spark, folder)
     rows = spark.read.schema(_with_month(FACT_SCHEMA, LOAD_FIELDS)).parquet(f"{folder}/fact")
-    visible = F.col("load_seq").isin([load.load_seq for load in loads])
+    return rows.where(visible(read_loads(spark, folder), F.col("status") == "accepted"))
+
+
+def visible(loads: list, hideable: Column | None = None) -> Column:
+    """Folder condition: parts of finished loads, without the months that a later load has replaced.
+
+    Only ``hideable`` rows give way to a replacement; all of them by default.
+    """
+    shown = F.col("load_seq").isin([load.load_seq for load in loads])
     for load in loads:
         if load.replaced:
-            hidden = (F.col("status") == "accepted") & (F.col("load_seq") < load.load_seq) & F.col(MONTH).isin(load.replaced)
-            visible = visible & ~F.coalesce(hidden, F.lit(False))
-    return rows.where(visible)
+            # As an array: an equality on the month, wherever it stands, makes Spark leave out dynamic pruning by it.
+            months = F.array(*[F.lit(month) for month in load.replaced])
+            hidden = (F.col("load_seq") < load.load_seq) & F.array_contains(months, F.col(MONTH))
+            hidden = hidden if hideable is None else hideable & hidden
+            shown = shown & ~F.coalesce(hidden, F.lit(False))
+    return shown
+
+
+def read_own(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """Accepted rows that one load has written, finished or not."""
+    rows = spark.read.schema(_with_month(FACT_SCHEMA, LOAD_FIELDS)).parquet(load_folder(folder, number))
+    return rows.where("status = 'accepted'").select(*[field.name for field in FACT_SCHEMA.fields], MONTH)
 
 
 def days(fact: DataFrame, first, last) -> Column:
@@ -147,6 +212,28 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def refresh_statistics(spark: SparkSession, table: str) -> None:
-    """Size, row count and column statistics of a catalogue table."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def refresh_statistics(spark: SparkSession, table: str, histograms: bool = True) -> None:
+    """Size, row count and column statistics of a catalogue table, by default with equi-height histograms.
+
+    Catalyst uses them for selectivities and join orders when ``spark.sql.cbo.enabled`` is on.
+    """
+    key = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(histograms).lower())
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    finally:
+        spark.conf.set(key, before)
+
+
+def table_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """Per column: column_name, row_count of the table, null_count, whether it has a histogram, longest value."""
+    size = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Statistics'").first()["data_type"]
+    rows = int(size.split(",")[1].split()[0])
+    found = []
+    for field in spark.table(table).schema.fields:
+        known = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} `{field.name}`").collect()}
+        found.append((field.name, rows, int(known["num_nulls"]), known.get("histogram", "NULL") != "NULL", int(known["max_col_len"])))
+    return spark.createDataFrame(
+        found, "column_name string, row_count bigint, null_count bigint, has_histogram boolean, longest_bytes bigint"
+    )

@@ -94,6 +94,13 @@ def loads(parts: list[tuple[str, str]], line: str = '"Line"', changed: str = "ra
         f"WHERE \"InsertionDateTime\" BETWEEN '{first}' AND '{last}'"
         for n, (first, last) in enumerate(parts)
     )
+    return f"""{judge(rows)},
+good AS (SELECT trx_id, min(load_no) AS load_no, any_value(c) AS c, any_value(ts) AS ts, any_value(line_name) AS line_name
+  FROM seen WHERE reason IS NULL GROUP BY 1)"""
+
+
+def judge(rows: str) -> str:
+    """``seen``: rows of several loads (load_no, the raw columns, line_name) and what each load makes of its own."""
     return f"""part AS ({rows}), typed AS (
   SELECT part.*, CASE WHEN regexp_full_match("Value", '[0-9]+([.][0-9]+)?') AND CAST("Value" AS DOUBLE) < 1e8
               THEN CAST(round(CAST("Value" AS DOUBLE) * 100) AS BIGINT) END AS c,
@@ -101,13 +108,46 @@ def loads(parts: list[tuple[str, str]], line: str = '"Line"', changed: str = "ra
          TRY_CAST(nullif("Dest", '') AS INTEGER) AS dst, nullif("Dest", '') IS NOT NULL AS dst_given,
          TRY_CAST("InsertionDateTime" AS TIMESTAMP) AS ts FROM part),
 origin AS (SELECT o, min(load_no) AS first_load FROM typed WHERE o IS NOT NULL GROUP BY 1),
-seen AS (SELECT load_no, trx_id, c, ts, line_name, CASE
+seen AS (SELECT load_no, trx_id, c, ts, line_name, typed.o, dst, "PrType" AS pt, CASE
     WHEN c IS NULL THEN 'fare' WHEN typed.o IS NULL THEN 'origin' WHEN dst IS NULL AND dst_given THEN 'destination'
     WHEN ts IS NULL THEN 'timestamp' WHEN "PrType" IS NULL THEN 'passenger_type'
     WHEN dst IS NOT NULL AND (first_load IS NULL OR first_load > load_no) THEN 'destination_fk' END AS reason
-  FROM typed LEFT JOIN origin ON origin.o = dst),
-good AS (SELECT trx_id, min(load_no) AS load_no, any_value(c) AS c, any_value(ts) AS ts, any_value(line_name) AS line_name
-  FROM seen WHERE reason IS NULL GROUP BY 1)"""
+  FROM typed LEFT JOIN origin ON origin.o = dst)"""
+
+
+# Raw rows with ids that repeat, and the one row of each id that the load accepts.
+_REPEATED = (
+    RAW.replace("raw AS (", "plain AS (")
+    + """, once AS (SELECT * REPLACE (CASE WHEN trx_id % 50 = 1 THEN 1 ELSE trx_id END AS trx_id) FROM plain),
+raw AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE trx_id % 10 = 3
+  UNION ALL SELECT * REPLACE ('1.00' AS "Value", '2024-03-01 00:00:00' AS "InsertionDateTime") FROM once WHERE trx_id % 7 = 2)"""
+)
+REPEATED = f"""{LOADED.replace(RAW, _REPEATED)}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY trx_id, reason IS NULL
+    ORDER BY ts, "Sta", "Dest", "Line", "LineCC", "PrType", "TxT", "FarT", "Value", "TrxDetail") AS k FROM judged),
+final AS (SELECT trx_id, c, CASE WHEN reason IS NULL AND k > 1 THEN 'duplicate_id' ELSE reason END AS reason FROM placed)"""
+
+# Three loads: a part, everything, and one month again with other fares, which replaces that month.
+_MOVED = (
+    RAW.replace("raw AS (", "plain AS (")
+    + """, raw AS (SELECT * REPLACE (CASE WHEN trx_id % 3 = 1 THEN replace("InsertionDateTime", '2024-01-', '2024-02-')
+  ELSE "InsertionDateTime" END AS "InsertionDateTime") FROM plain)"""
+)
+_THREE_LOADS = """SELECT 0 AS load_no, raw.*, "Line" AS line_name FROM raw
+  WHERE "InsertionDateTime" < '2024-01-16' OR "InsertionDateTime" LIKE '2024-02-1%'
+  UNION ALL SELECT 1, raw.*, "Line" FROM raw
+  UNION ALL SELECT 2, * REPLACE ('2.00' AS "Value"), "Line" FROM raw WHERE "InsertionDateTime" LIKE '2024-02-%'"""
+MAINTAINED = f"""{_MOVED}, {judge(_THREE_LOADS)},
+fare AS (SELECT * EXCLUDE (load_no, k), CAST(ts AS DATE) AS d FROM (
+  SELECT *, row_number() OVER (PARTITION BY trx_id ORDER BY load_no) AS k FROM seen
+  WHERE reason IS NULL AND (load_no = 2 OR month(ts) = 1)) WHERE k = 1),
+home AS (SELECT CAST("Sta" AS BIGINT) AS id, load_no, min("Line") AS line FROM part
+  WHERE regexp_full_match("Sta", '[0-9]+') GROUP BY 1, 2),
+station AS (SELECT id, 'Station ' || id AS name, arg_min(line, load_no) AS home_line FROM home GROUP BY 1),
+model AS (SELECT f.* EXCLUDE (line_name), s.name AS station_name, s.home_line AS line_name
+  FROM fare f LEFT JOIN station s ON f.o = s.id),
+calendar AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT CAST(ts AS DATE) AS day FROM typed))"""
 
 
 def sampled(id_text: str) -> str:
@@ -181,9 +221,9 @@ best AS (SELECT destination FROM (SELECT destination, rank() OVER (ORDER BY sum(
 flow AS (SELECT cell.* FROM cell JOIN best ON cell.destination IS NOT DISTINCT FROM best.destination)"""
 
 
-def dashboard(where: str, days: str, before: str) -> str:
+def dashboard(where: str, days: str, before: str, base: str = f"{MODEL}, {CALENDAR}") -> str:
     """All visuals; ``days`` are the calendar days of the trend, ``before`` the selection without dates."""
-    return f"""WITH {MODEL}, {CALENDAR}, f AS (SELECT * FROM model WHERE {where}), {flows(where)},
+    return f"""WITH {base}, f AS (SELECT * FROM model WHERE {where}), {flows(where)},
 own AS (SELECT d, sum(c) AS c FROM f GROUP BY 1),
 past AS (SELECT d, sum(c) AS c FROM model WHERE {before} GROUP BY 1),
 w AS (SELECT day, sum(c) AS s, count(c) AS k FROM calendar JOIN past ON d BETWEEN day - 29 AND day WHERE {days} GROUP BY 1),
@@ -212,7 +252,96 @@ p AS (SELECT profile, member, {share('n', 'sum(n) OVER (PARTITION BY profile)')}
   {share('k', 'sum(k) OVER (PARTITION BY profile)')} AS sample_pct FROM g),
 v AS (SELECT *, round(abs(full_pct - sample_pct), 2) AS abs_diff_pct FROM p)"""
 
+# A fifth of the rows: each stratum's quota by largest remainder, its rows by the hash of their ids.
+EXACT = f"""{EVENT}, e AS (SELECT line_id, hour(ts) AS h, c, id, {sampled('id')} AS p FROM event),
+sized AS (SELECT line_id, h, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS nn FROM e GROUP BY 1, 2),
+dealt AS (SELECT *, CAST(floor(nn * 0.2e0 + 0.5) AS BIGINT) AS size FROM sized),
+quota AS (SELECT line_id, h, n, size * n // nn + CASE WHEN row_number() OVER (ORDER BY size * n % nn DESC, line_id, h)
+  <= size - sum(size * n // nn) OVER () THEN 1 ELSE 0 END AS quota FROM dealt),
+picked AS (SELECT e.* FROM e JOIN quota USING (line_id, h)
+  QUALIFY row_number() OVER (PARTITION BY line_id, h ORDER BY p, id) <= quota)"""
+
+
+def every_level(sum_of: str, source: str) -> str:
+    return f"""SELECT line_name, pt, grouping(line_name, pt) AS level, {sum_of} FROM {source} GROUP BY CUBE (line_name, pt)"""
+
+
 ORACLES: dict[str, str] = {
+    "load_duplicates": f"""WITH {REPEATED}
+SELECT reason AS outcome, count(*) AS row_count, CAST(NULL AS DOUBLE) AS revenue FROM final
+WHERE reason = 'duplicate_id' OR reason IS NOT NULL AND trx_id NOT IN (SELECT trx_id FROM final WHERE reason IS NULL) GROUP BY 1
+UNION ALL SELECT 'accepted', count(*), {money('sum(c)')} FROM final WHERE reason IS NULL""",
+    "load_duplicates_reconciled": f"""WITH {REPEATED}
+SELECT count(*) AS raw_rows, count(*) FILTER (reason IS NULL) AS accepted_rows,
+  count(*) FILTER (reason IS NOT NULL) AS rejected_rows,
+  {money('sum(c) FILTER (reason IS NULL)')} AS accepted_revenue, true AS is_reconciled FROM final""",
+    "serving_views_maintained": f"""WITH {MAINTAINED}, daily AS (SELECT d, count(*) AS n, sum(c) AS c FROM fare GROUP BY 1),
+w AS (SELECT d, n, c, sum(c) OVER t AS s, count(*) OVER t AS k FROM daily
+  WINDOW t AS (ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+lines AS (SELECT line_name, count(*) AS n, sum(c) AS c FROM fare GROUP BY 1),
+stations AS (SELECT name, line_name, count(*) AS n, sum(c) AS c FROM fare JOIN station ON id = o GROUP BY 1, 2)
+SELECT 'trend' AS view_name, CAST(d AS VARCHAR) AS member, CAST(NULL AS VARCHAR) AS line_name, n AS footfall,
+  {money('c')} AS revenue, {half_up('s', 'k * 100', 2)} AS figure FROM w
+UNION ALL SELECT 'lines', line_name, NULL, n, {money('c')}, {share('c', 'sum(c) OVER ()')} FROM lines
+UNION ALL SELECT 'stations', name, line_name, n, {money('c')}, {half_up('c', 'n * 100', 2)} FROM stations""",
+    "stations_sketched": f"""WITH {MAINTAINED}
+SELECT line_name, count(DISTINCT o) AS stations_covered, true AS within_bound FROM fare
+WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-02-12' GROUP BY 1""",
+    "dashboard_stored": dashboard(
+        "pt IN ('purchase', 'click') AND d BETWEEN DATE '2024-01-10' AND DATE '2024-02-20'",
+        "day BETWEEN DATE '2024-01-10' AND DATE '2024-02-20'",
+        "pt IN ('purchase', 'click')",
+        MAINTAINED,
+    ),
+    "slice_calendar": f"""WITH {MAINTAINED}
+SELECT line_name, {KPIS} FROM model WHERE year(d) = 2024 AND month(d) = 2 AND isodow(d) < 6 GROUP BY 1""",
+    "slice_station_clustered": f"""WITH {LOADED}, good AS (SELECT * FROM judged WHERE reason IS NULL)
+SELECT 'origin_station_id' AS side, count(*) AS footfall, {money('sum(c)')} AS revenue FROM good WHERE o = 7
+UNION ALL SELECT 'dest_station_id', count(*), {money('sum(c)')} FROM good WHERE dst = 7""",
+    "sample_exact": f"""WITH {EXACT}
+SELECT line_id, h AS hour_of_day, count(*) AS sampled, {money('sum(c)')} AS revenue FROM picked GROUP BY 1, 2""",
+    "sample_error": f"""WITH {EXACT}, m AS (
+  SELECT 'hour' AS profile, h AS member, 1 AS n, 0 AS k FROM e UNION ALL SELECT 'line', line_id, 1, 0 FROM e
+  UNION ALL SELECT 'hour', h, 0, 1 FROM picked UNION ALL SELECT 'line', line_id, 0, 1 FROM picked),
+g AS (SELECT profile, member, CAST(sum(n) AS BIGINT) AS n, CAST(sum(k) AS BIGINT) AS k FROM m GROUP BY 1, 2),
+t AS (SELECT *, sum(n) OVER w AS nn, sum(k) OVER w AS kk, sum(n) OVER o AS cn, sum(k) OVER o AS ck FROM g
+  WINDOW w AS (PARTITION BY profile), o AS (PARTITION BY profile ORDER BY member)),
+x AS (SELECT *, n * CAST(kk AS DOUBLE) / nn AS expected FROM t)
+SELECT profile, count(*) - 1 AS degrees, round(sum((k - expected) * (k - expected) / expected), 6) AS chi_square,
+  round(max(abs(CAST(cn AS DOUBLE) / nn - CAST(ck AS DOUBLE) / kk)), 6) AS ks_distance FROM x GROUP BY 1""",
+    "sample_estimate": f"""WITH {EXACT}, a AS (SELECT line_id, h, count(*) AS n, sum(c) AS t FROM e GROUP BY 1, 2),
+b AS (SELECT line_id, h, count(*) AS k, sum(c) AS s, var_samp(c) AS v FROM picked GROUP BY 1, 2),
+j AS (SELECT a.*, k, s, v FROM a LEFT JOIN b USING (line_id, h)),
+r AS (SELECT sum(t) AS t, sum(n * CAST(s AS DOUBLE) / k) AS e,
+  sum(CASE WHEN k > 1 THEN n * CAST(n - k AS DOUBLE) / k * v END) AS v,
+  count(*) FILTER (k = 1) AS unmeasured, count(*) FILTER (k IS NULL) AS missing FROM j)
+SELECT {money('t')} AS revenue, round(e / 100, 2) AS estimated_revenue, round(sqrt(v) / 100, 2) AS standard_error,
+  abs(e - t) / 100 <= sqrt(v) / 100 * 1.96 AS inside_interval, unmeasured, missing FROM r""",
+    "measure_totals": f"""WITH {MODEL}, f AS (SELECT * FROM model WHERE d BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'),
+to_line AS (SELECT f.* EXCLUDE (line_name), s.home_line AS line_name FROM f LEFT JOIN station s ON f.dst = s.id),
+a AS ({every_level("count(*) AS n, sum(c) AS c, count(DISTINCT o) AS stations, count(DISTINCT d) AS days, "
+      "count(*) FILTER (pt IN ('A', 'N')) AS digital, "
+      "sum(c) FILTER (d BETWEEN DATE '1998-12-31' - 29 AND DATE '1998-12-31') AS s30, "
+      "count(DISTINCT d) FILTER (d BETWEEN DATE '1998-12-31' - 29 AND DATE '1998-12-31') AS k30", "f")}),
+b AS ({every_level("sum(c) AS dest", "to_line")}),
+w AS (SELECT a.*, sum(c) OVER (PARTITION BY level, pt) AS whole,
+  CAST(sum(digital) OVER (PARTITION BY level, line_name) AS BIGINT) AS digital_all FROM a),
+j AS (SELECT coalesce(w.level, b.level) AS level, coalesce(w.line_name, b.line_name) AS line_name,
+  coalesce(w.pt, b.pt) AS ticket_type, w.* EXCLUDE (level, line_name, pt), dest FROM w FULL JOIN b
+  ON w.level = b.level AND w.line_name IS NOT DISTINCT FROM b.line_name AND w.pt IS NOT DISTINCT FROM b.pt)
+SELECT line_name, ticket_type, level, n AS total_footfall, {money('c')} AS total_revenue,
+  {half_up('c', 'n * 100', 4)} AS avg_ticket_value, stations AS stations_covered,
+  {half_up('c', 'days * 100', 2)} AS daily_avg_revenue, {half_up('s30', 'k30 * 100', 2)} AS revenue_30d_rolling_avg,
+  {half_up('c', 'whole', 6)} AS revenue_share, {half_up('digital_all', 'n', 6)} AS digital_adoption,
+  {money('dest')} AS revenue_by_destination, {half_up('c * 967', 'days * 100000', 2)} AS daily_revenue_target FROM j""",
+    "catalogue_statistics": f"""WITH {FARE}, t AS (SELECT count(*) AS n, count(*) FILTER (dst IS NULL) AS blank,
+  max(strlen(pt)) AS pt, max(strlen(tt)) AS tt, max(strlen(ft)) AS ft FROM fare)
+SELECT name AS column_name, n AS row_count, CASE WHEN name = 'dest_station_id' THEN blank ELSE 0 END AS null_count,
+  kind = 'number' AS has_histogram, CASE name WHEN 'ticket_type' THEN pt WHEN 'txn_type' THEN tt WHEN 'fare_type' THEN ft
+    ELSE size END AS longest_bytes
+FROM t, (VALUES ('txn_date', 'number', 4), ('origin_station_id', 'number', 4), ('dest_station_id', 'number', 4),
+  ('line_id', 'number', 2), ('passenger_type_id', 'number', 2), ('ticket_type', 'text', 0), ('txn_type', 'text', 0),
+  ('fare_type', 'text', 0), ('fare_amount', 'number', 8)) AS v(name, kind, size)""",
     "land_raw": f'WITH {RAW} SELECT * FROM raw',
     "chunked_landing": f"""WITH {RAW} SELECT *, NULL AS corrupt_record FROM raw
 UNION ALL SELECT trx_id, 'short', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, trx_id || ',short'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from farelens.functions.dates import date_dimension, days_between, observed_days, report_calendar
 from farelens.functions.numeric import fare_total
-from farelens.operators.sampling import stratified_sample
+from farelens.operators.sampling import exact_sample, stratified_sample
 from farelens.operators.upsert import append_absent, insert_absent
 from farelens.plans import load, marts, quality, report
 from farelens.plans.measures import catalogue, evaluate
@@ -231,6 +232,72 @@ def load_corrected_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(left.unionByName(good))
 
 
+def load_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that repeat inside one load: open rejects per reason, and what was accepted."""
+    folder = fresh_path(spark, "star")
+    star = load.load_star(st.repeated_landing(spark, sf_dir), folder, st.EVENT_DIGITAL)
+    left = load.open_rejects(spark, folder).groupBy(F.col("reject_reason").alias("outcome"))
+    left = left.agg(F.count("*").alias("row_count"), F.lit(None).cast("decimal(20,2)").alias("revenue"))
+    good = star.fact.agg(F.count("*").alias("row_count"), fare_total().alias("revenue"))
+    return present(left.unionByName(good.select(F.lit("accepted").alias("outcome"), "row_count", "revenue")))
+
+
+def load_duplicates_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, folder = st.repeated_landing(spark, sf_dir), fresh_path(spark, "dimensions")
+    load.write_dimensions(raw, folder, st.EVENT_DIGITAL)
+    return present(load.reconcile(load.convert_once_each(raw, folder)))
+
+
+def serving_views_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three views after appends, a replay and a replaced month, read by name from the loads' sums."""
+    marts.register_views(st.maintained_star(spark, sf_dir))
+    return present(
+        spark.sql("""
+        SELECT 'trend' AS view_name, cast(txn_date AS string) AS member, cast(NULL AS string) AS line_name,
+               daily_footfall AS footfall, daily_revenue AS revenue, revenue_30d_rolling_avg AS figure FROM vw_daily_revenue_trend
+        UNION ALL SELECT 'lines', line_name, NULL, total_footfall, total_revenue, revenue_share_pct FROM vw_line_revenue_share
+        UNION ALL SELECT 'stations', station_name, line_name, footfall, revenue, avg_ticket_value FROM vw_station_performance""")
+    )
+
+
+def stations_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct stations per line from merged sketches next to the exact count, for a range of days."""
+    star = st.maintained_star(spark, sf_dir)
+    days = {"first": "2024-01-05", "last": "2024-02-12"}
+    exact = marts.stations_covered(star, ["line_id"], **days)
+    sketched = marts.stations_covered(star, ["line_id"], **days, approximate=True).withColumnRenamed("stations_covered", "estimate")
+    off = F.abs(F.col("estimate") - F.col("stations_covered")) <= 0.08 * F.col("stations_covered")  # five standard errors
+    named = exact.join(sketched, "line_id").join(star.lines.select("line_id", "line_name"), "line_id")
+    return present(named.select("line_name", "stations_covered", off.alias("within_bound")))
+
+
+STORED_SELECTION = {"ticket_type": ["purchase", "click"], "date": ("2024-01-10", "2024-02-20")}
+
+
+def dashboard_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All visuals under a selection, answered from the sums that the loads have stored."""
+    model = report.report_model(st.maintained_star(spark, sf_dir))
+    return present(report.all_datasets(model, STORED_SELECTION), {"value": 2})
+
+
+def slice_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slicers on the calendar's attributes over a stored star: a quarter's second month, weekdays only."""
+    model = replace(report.report_model(st.maintained_star(spark, sf_dir)), rollups=())
+    filters = {"year": [2024], "month_name": ["Feb"], "is_weekend": [False]}
+    return present(evaluate(model, report.KPI_MEASURES, ["line_name"], filters), RATIO_DIGITS)
+
+
+def slice_station_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One station as destination, then as origin, over a fact ordered along both."""
+    folder = fresh_path(spark, "star")
+    star = load.load_star(st.raw_landing(spark, sf_dir), folder, st.EVENT_DIGITAL, cluster=True)
+    parts = []
+    for side in ("origin_station_id", "dest_station_id"):
+        rows = star.fact.where(F.col(side) == 7).agg(F.count("*").alias("footfall"), fare_total().alias("revenue"))
+        parts.append(rows.select(F.lit(side).alias("side"), "footfall", "revenue"))
+    return present(parts[0].unionByName(parts[1]))
+
+
 def append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replaying a load whose first part is already there adds only the rest."""
     fact = st.event_fact(spark, sf_dir).withColumn(tables.MONTH, tables.month_of(F.col("txn_date")))
@@ -298,6 +365,51 @@ def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sampled(sample)
 
 
+def _event_strata() -> dict:
+    return {"line": F.col("line_id"), "hour": F.hour("txn_timestamp")}
+
+
+def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of all rows, each stratum with exactly its quota: size and revenue per line and hour."""
+    return _sampled(exact_sample(st.event_fact(spark, sf_dir), "transaction_id", _event_strata(), 0.2))
+
+
+def sample_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the exact sample's profiles from the full data's."""
+    fact = st.event_fact(spark, sf_dir)
+    sample = exact_sample(fact, "transaction_id", _event_strata(), 0.2)
+    found = quality.sample_distance(fact, sample)
+    return present(found.withColumns({name: F.round(name, 6) for name in ("chi_square", "ks_distance")}))
+
+
+def sample_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue estimated from the exact sample, with its standard error."""
+    fact = st.event_fact(spark, sf_dir)
+    found = quality.estimated_revenue(fact, exact_sample(fact, "transaction_id", _event_strata(), 0.2))
+    rounded = {name: F.round(name, 2) for name in ("revenue", "estimated_revenue", "standard_error")}
+    return present(found.withColumns(rounded))
+
+
+def measure_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten measures by line and ticket type with every total, each evaluated at its own level."""
+    rows = evaluate(
+        st.fare_model(spark, sf_dir), list(FARE_MEASURES), ["line_name", "ticket_type"], {"date": DATE_SLICE}, FARE_MEASURES, totals=True
+    )
+    return present(rows, RATIO_DIGITS)
+
+
+def catalogue_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a catalogue table with refreshed statistics: what the catalogue then knows of each column."""
+    name = "farelens_" + uuid.uuid4().hex
+    st.fare_fact(spark, sf_dir).write.option("path", fresh_path(spark, "catalogue")).saveAsTable(name)
+    try:
+        tables.refresh_statistics(spark, name)
+        known = stage(tables.table_statistics(spark, name), "statistics")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return known
+
+
 def _sampled(sample: DataFrame) -> DataFrame:
     return present(
         sample.groupBy("line_id", F.hour("txn_timestamp").alias("hour_of_day")).agg(
@@ -361,6 +473,11 @@ QUERIES: dict[str, Query] = {
     "load_twice": load_twice,
     "load_partial_month": load_partial_month,
     "load_corrected_replay": load_corrected_replay,
+    "load_duplicates": load_duplicates,
+    "load_duplicates_reconciled": load_duplicates_reconciled,
+    "serving_views_maintained": serving_views_maintained,
+    "stations_sketched": stations_sketched,
+    "catalogue_statistics": catalogue_statistics,
     # load
     "seed_dim_line": seed_dim_line,
     "seed_dim_passenger_type": seed_dim_passenger_type,
@@ -431,8 +548,15 @@ QUERIES: dict[str, Query] = {
     "dashboard_filtered": _report(
         report.dashboard, filters={"line_name": LINE_SLICE, "ticket_type": TYPE_SLICE}, known=FARE_MEASURES
     ),
+    "dashboard_stored": dashboard_stored,
+    "slice_calendar": slice_calendar,
+    "slice_station_clustered": slice_station_clustered,
+    "measure_totals": measure_totals,
     # sampling and quality
     "stratified_sample": stratified,
+    "sample_exact": sample_exact,
+    "sample_error": sample_error,
+    "sample_estimate": sample_estimate,
     "sample_coded_ids": sample_coded_ids,
     "sample_validation": sample_validation,
     "sample_validation_worst": sample_validation_worst,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelens.functions.dates import date_dimension, observed_days
-from farelens.plans.load import convert_against, write_dimensions
+from farelens.plans.load import convert_against, load_star, write_dimensions
 from farelens.plans.measures import ReportModel
 from farelens.schemas import EXTRACT_COLUMNS, Star
 from farelens.session import fresh_path, stage
@@ -206,6 +206,29 @@ def faulty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with ids that repeat: equal records, records of another time and fare, and one id on many rows."""
+    raw = raw_landing(spark, sf_dir).withColumn("trx_id", F.expr("CASE WHEN trx_id % 50 = 1 THEN 1 ELSE trx_id END"))
+    later = {"Value": F.lit("1.00"), "InsertionDateTime": F.lit("2024-03-01 00:00:00")}
+    return raw.unionByName(raw.where("trx_id % 10 = 3")).unionByName(raw.where("trx_id % 7 = 2").withColumns(later))
+
+
+def two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows, a third of them a month later; days that month lacks are bad times."""
+    moved = F.expr("CASE WHEN trx_id % 3 = 1 THEN replace(InsertionDateTime, '2024-01-', '2024-02-') ELSE InsertionDateTime END")
+    return raw_landing(spark, sf_dir).withColumn("InsertionDateTime", moved)
+
+
+def maintained_star(spark: SparkSession, sf_dir: str) -> Star:
+    """A star after a first load, a load that repeats its rows and adds the rest, and one that replaces a month."""
+    folder = fresh_path(spark, "maintained")
+    rows = two_months(spark, sf_dir)
+    load_star(rows.where("InsertionDateTime < '2024-01-16' OR InsertionDateTime LIKE '2024-02-1%'"), folder, EVENT_DIGITAL)
+    load_star(rows, folder, EVENT_DIGITAL)
+    again = rows.where("InsertionDateTime LIKE '2024-02-%'").withColumn("Value", F.lit("2.00"))
+    return load_star(again, folder, EVENT_DIGITAL, replace_months=True)
+
+
 def faulty_star(spark: SparkSession, sf_dir: str) -> Star:
     """``events`` with a fault against every integrity rule."""
     star = event_star(spark, sf_dir, staged=True)

@@ -192,3 +192,55 @@ def test_replacing_a_month_keeps_the_others(spark, tmp_path):
     tables.write_fact(fact.where("txn_date >= '2024-06-01'").selectExpr("* EXCEPT (fare_amount)", "cast(1 AS decimal(10,2)) AS fare_amount"), path)
     again = tables.read_fact(spark, path)
     assert sorted(values(again, tables.MONTH, "fare_amount")) == [("2024-05", 12.5), ("2024-06", 1.0)]
+
+
+def test_an_extract_that_arrives_twice_in_one_load_counts_once(spark, tmp_path):
+    rows = raw(spark, {"Sta": "11"}, {"InsertionDateTime": "2024-06-01 00:00:00"}, {"Value": "x"})
+    once = load.load_star(rows, str(tmp_path / "once"))
+    twice = load.load_star(rows.unionByName(rows), str(tmp_path / "twice"))
+    assert sorted(map(str, values(twice.fact))) == sorted(map(str, values(once.fact)))
+    left = values(load.open_rejects(spark, str(tmp_path / "twice")), "transaction_id", "reject_reason")
+    assert sorted(left) == [(0, "duplicate_id"), (1, "duplicate_id"), (2, "fare"), (2, "fare")]
+    again = load.load_star(rows.unionByName(rows), str(tmp_path / "twice"))
+    assert again.fact.count() == 2
+
+
+def test_the_first_record_of_an_id_is_accepted(spark, tmp_path):
+    rows = raw(
+        spark,
+        {"Sta": "11", "Value": "3.00", "InsertionDateTime": "2024-05-03 00:00:00"},
+        {"Sta": "11", "Value": "2.00", "InsertionDateTime": "2024-05-02 00:00:00"},
+        {"Sta": "11", "Value": "x", "InsertionDateTime": "2024-05-01 00:00:00"},
+        {"Sta": "11", "Value": "4.00", "InsertionDateTime": "2024-06-01 00:00:00"},
+    ).withColumn("trx_id", F.lit(5).cast("bigint"))
+    star = load.load_star(rows, str(tmp_path))
+    assert values(star.fact, "transaction_id", "fare_amount") == [(5, 2.0)]
+    left = values(load.open_rejects(spark, str(tmp_path)), "reject_reason", "fare_text")
+    assert sorted(left) == [("duplicate_id", "3.00"), ("duplicate_id", "4.00")]  # id 5 itself was accepted
+
+
+def test_a_hot_id(spark, tmp_path):
+    rows = raw(spark, *[{"Sta": "11", "Value": f"{n % 7}.00"} for n in range(300)])
+    rows = rows.withColumn("trx_id", F.when(F.col("trx_id") < 200, 1).otherwise(F.col("trx_id")))
+    folder = str(tmp_path / "dimensions")
+    load.write_dimensions(rows, folder, [])
+    found = load.convert_once_each(rows, folder)
+    assert values(load.reconcile(found))[0][:3] == (300, 101, 199)
+    assert {reason for (reason,) in values(load.rejects(found), "reject_reason")} == {"duplicate_id"}
+    assert all('"Sta":"11"' in text for (text,) in values(load.rejects(found), "raw_text"))
+    kept = load.accepted(found).where("transaction_id = 1")
+    assert values(kept, "fare_amount") == [(0.0,)]  # equal times: the smallest record
+
+
+def test_without_repeated_ids_no_row_is_shuffled(spark, tmp_path):
+    rows = raw(spark, {"Sta": "11"}, {"Sta": "11"})
+    folder = str(tmp_path)
+    load.write_dimensions(rows, folder, [])
+    text = load.convert_once_each(rows, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in text and "Exchange hashpartitioning" not in text
+
+
+def test_strict_fails_on_a_repeated_id(spark, tmp_path):
+    rows = raw(spark, {"Sta": "11"})
+    with pytest.raises(Exception, match="rejected row: duplicate_id"):
+        load.load_star(rows.unionByName(rows), str(tmp_path), strict=True)

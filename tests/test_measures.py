@@ -220,3 +220,22 @@ def test_top_stations_ranks_after_the_filter(spark):
     trips = [trip("2024-05-01", 11, 10, 1, 1, "9.00"), trip("2024-05-01", 12, 10, 2, 3, "5.00")]
     top = report.top_stations(model(spark, trips), 1, {"ticket_type": ["Other"]})
     assert values(top) == [("East", 5.0)]
+
+
+def test_totals_are_evaluated_at_each_level(report_model):
+    """Every level equals an evaluation of its own; distinct stations and averages don't add up from cells."""
+    names = list(catalogue())
+    for filters in (None, {"date": ("2024-01-02", "2024-02-20")}, {"line_name": ["Red"], "ticket_type": ["NCMC"]}):
+        rows = evaluate(report_model, names, ["line_name", "ticket_type"], filters, totals=True)
+        for level, kept in enumerate([["line_name", "ticket_type"], ["line_name"], ["ticket_type"], []]):
+            own = evaluate(report_model, names, kept, filters)
+            found = rows.where(f"level = {level}")
+            assert sorted(map(str, values(found, *kept, *names))) == sorted(map(str, values(own, *kept, *names)))
+            assert found.where(" OR ".join(f"{n} IS NOT NULL" for n in ("line_name", "ticket_type") if n not in kept) or "false").count() == 0
+
+
+def test_totals_over_dates(report_model):
+    names = ["total_revenue", "stations_covered", "revenue_30d_rolling_avg"]
+    rows = evaluate(report_model, names, ["year", "month_name"], None, totals=True)
+    assert {row["level"] for row in rows.collect()} == {0, 1, 2, 3}
+    assert values(rows.where("level = 3"), *names) == values(evaluate(report_model, names))

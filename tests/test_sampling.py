@@ -1,9 +1,12 @@
+import math
+
 import pytest
 from fixtures import values
 from pyspark.sql import functions as F
 
-from farelens.operators.sampling import bernoulli_by_stratum, stratified_sample
+from farelens.operators.sampling import bernoulli_by_stratum, exact_sample, quotas, stratified_sample
 from farelens.operators.upsert import append_absent, insert_absent
+from farelens.plans import quality
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +72,76 @@ def test_replay_adds_nothing_twice(spark, partition):
     loaded = spark.createDataFrame([(1, "x"), (2, "y")], "transaction_id long, m string")
     batch = spark.createDataFrame([(2, "y"), (3, "y")], "transaction_id long, m string")
     assert values(append_absent(loaded, batch, partition=partition), "transaction_id") == [(3,)]
+
+
+SKEWED = "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 7 = 0 THEN NULL ELSE id % 41 END"
+
+
+@pytest.mark.parametrize("largest", [1, 50, 100_000])
+def test_each_stratum_holds_exactly_its_quota(spark, largest):
+    rows = spark.range(20_000).withColumn("s", F.expr(SKEWED))
+    sample = exact_sample(rows, "id", {"s": F.col("s")}, 0.2, largest=largest)
+    wanted = dict(values(quotas(rows.groupBy("s").agg(F.count("*").alias("n")), ["s"], 0.2), "s", "quota"))
+    assert dict(values(sample.groupBy("s").count())) == {k: v for k, v in wanted.items() if v}
+    assert sample.count() == 4000
+    again = exact_sample(rows.repartition(9), "id", {"s": F.col("s")}, 0.2)
+    assert sample.exceptAll(again).count() == 0 and sample.columns == rows.columns
+
+
+def test_quotas_deal_the_remainder_to_the_largest(spark):
+    counts = spark.createDataFrame([("a", 5), ("b", 5), ("c", 4), (None, 1)], "s string, n bigint")
+    assert dict(values(quotas(counts, ["s"], 0.5), "s", "quota")) == {"a": 3, "b": 3, "c": 2, None: 0}
+    assert sum(q for _, q in values(quotas(counts, ["s"], 1.0), "n", "quota")) == 15
+
+
+def test_exact_sample_of_nothing_and_of_everything(spark):
+    rows = spark.range(50).withColumn("s", F.col("id") % 2)
+    assert exact_sample(rows.limit(0), "id", {"s": F.col("s")}).count() == 0
+    assert exact_sample(rows, "id", {"s": F.col("s")}, 1.0).count() == 50
+    assert exact_sample(rows, "id", {"s": F.col("s")}, 0.0).count() == 0
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "transaction_id long, line_id int, h int, fare double").selectExpr(
+        "transaction_id", "line_id", "make_timestamp_ntz(2024, 1, 1, h, 0, 0) AS txn_timestamp", "cast(fare AS decimal(10,2)) AS fare_amount"
+    )
+
+
+def test_distances_of_a_hand_computed_case(spark):
+    full = frame(spark, [(i, i % 2, 8, 1.0) for i in range(20)] + [(100 + i, 0, 9, 1.0) for i in range(20)])
+    sample = frame(spark, [(i, 0, 8, 1.0) for i in range(6)] + [(10 + i, 0, 9, 1.0) for i in range(2)])
+    found = {r["profile"]: r for r in quality.sample_distance(full, sample).collect()}
+    # Hours: 20 and 20 of 40, sampled 6 and 2 of 8. Lines: 30 and 10 of 40, sampled 8 and 0.
+    assert found["hour"]["chi_square"] == pytest.approx(4 / 4 + 4 / 4) and found["hour"]["ks_distance"] == pytest.approx(0.25)
+    assert found["line"]["chi_square"] == pytest.approx(4 / 6 + 4 / 2) and found["line"]["ks_distance"] == pytest.approx(0.25)
+    assert found["hour"]["degrees"] == 1
+
+
+def test_estimate_of_a_hand_computed_case(spark):
+    full = frame(spark, [(i, 0, 8, float(i)) for i in range(10)] + [(20, 1, 8, 7.0), (21, 1, 9, 5.0)])
+    sample = frame(spark, [(1, 0, 8, 1.0), (4, 0, 8, 4.0), (20, 1, 8, 7.0)])
+    (row,) = quality.estimated_revenue(full, sample).collect()
+    assert row["revenue"] == pytest.approx(57.0) and row["estimated_revenue"] == pytest.approx(10 * 2.5 + 7)
+    assert row["standard_error"] == pytest.approx(math.sqrt(10 * 8 / 2 * 4.5))
+    assert (row["unmeasured"], row["missing"]) == (1, 1)
+
+
+def test_intervals_cover_the_true_revenue(spark):
+    """About 95 of 100 intervals hold it; 60 salts, each a sample of its own."""
+    full = spark.range(2000).selectExpr(
+        "id AS transaction_id", "cast(id % 3 AS int) AS line_id", "make_timestamp_ntz(2024, 1, 1, cast(id % 2 AS int), 0, 0) AS txn_timestamp",
+        "cast(pmod(hash(id), 5000) / 100 AS decimal(10,2)) AS fare_amount",
+    ).cache()
+    from farelens.operators.sampling import place
+
+    # Samples of one size each: the k smallest of the salted hashes, many salts in one job.
+    salted = None
+    for salt in range(60):
+        rows = full.withColumns({"salt": F.lit(salt), "place": place("transaction_id", f"{salt}-")})
+        salted = rows if salted is None else salted.unionByName(rows)
+    from pyspark.sql import Window
+
+    ranked = salted.withColumn("k", F.row_number().over(Window.partitionBy("salt", "line_id", F.hour("txn_timestamp")).orderBy("place")))
+    chosen = ranked.where("k <= 60").cache()
+    inside = sum(quality.estimated_revenue(full, chosen.where(F.col("salt") == salt)).first()["inside_interval"] for salt in range(0, 60, 2))
+    assert 25 <= inside <= 30

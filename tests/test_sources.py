@@ -153,3 +153,31 @@ def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is not None
     assert stage(spark.range(3), "three").count() == 3
+
+
+def test_statistics_decide_a_join_side(spark, tmp_path):
+    """With column statistics Catalyst knows that a filter leaves few rows, and broadcasts that side."""
+    names = ["stats_fact", "stats_days"]
+    spark.range(200_000).selectExpr("id", "id % 5000 AS day", "repeat('x', 40) AS pad").write.option("path", str(tmp_path / "a")).saveAsTable(names[0])
+    spark.range(200_000).selectExpr("id AS day", "repeat('y', 40) AS pad").write.option("path", str(tmp_path / "b")).saveAsTable(names[1])
+    settings = {"spark.sql.cbo.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "200000"}
+    before = {key: spark.conf.get(key) for key in settings}
+    query = "SELECT count(*) FROM stats_fact f JOIN stats_days d ON f.day = d.day WHERE d.day BETWEEN 100 AND 300"
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+
+        def chosen():
+            return spark.sql(query)._jdf.queryExecution().sparkPlan().toString()
+
+        assert "SortMergeJoin" in chosen()
+        for name in names:
+            tables.refresh_statistics(spark, name)
+        assert "BroadcastHashJoin" in chosen()
+        known = {r["column_name"]: r for r in tables.table_statistics(spark, "stats_days").collect()}
+        assert known["day"]["row_count"] == 200_000 and known["day"]["has_histogram"] and not known["pad"]["has_histogram"]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -98,9 +98,26 @@ def _closed(page: str) -> set[int]:
     return out
 
 
-def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float]]:
-    """(text, marks of each ancestor, share of the text in links) of every block with text, in order."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Place:
+    """An open element as the blocks in it see it: what it and its ancestors say, each shared, not copied."""
+
+    __slots__ = ("marks", "own", "near", "above")
+
+    def __init__(self, own: tuple[str, ...], above: Place | None):
+        known = above.marks if above else frozenset()
+        self.own, self.above = own, above
+        self.marks = known if known.issuperset(own) else known.union(own)
+        # The nearest element that says what part of the page this is.
+        says = own[0] in SECTIONS or any(m[:2] == "c:" for m in own)
+        self.near = own if says or not above else above.near
+
+
+OUTSIDE = Place(("t:",), None)
+
+
+def leaf_blocks(page: str) -> list[tuple[str, Place, float]]:
+    """(text, innermost block-level element, share of the text in links) of every block with text, in order."""
+    stack: list[tuple[str, Place]] = []
     blocks, parts, linked = [], [], 0
     in_link = 0
     silent: list[tuple[int, str, bool]] = []  # place in the stack, tag, whether it has an end tag
@@ -111,7 +128,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                blocks.append((text, tuple(m for t, m in stack if t not in INLINE), min(1.0, linked / len(text))))
+                blocks.append((text, stack[-1][1] if stack else OUTSIDE, min(1.0, linked / len(text))))
             parts, linked = [], 0
 
     def pop_to(n: int):
@@ -169,7 +186,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
                 if tag in ("li", "td", "th", "tr") and stack[i][0] in ("ul", "ol", "table"):
                     break
         if tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append((tag, _marks(tag, m[3])))
+            above = stack[-1][1] if stack else OUTSIDE
+            stack.append((tag, above if tag in INLINE else Place(_marks(tag, m[3]), above)))
             if tag in SILENT:
                 silent.append((len(stack) - 1, tag, m.start() in closed))
             in_link += tag == "a"
@@ -177,25 +195,63 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], float
     return blocks
 
 
-def block_features(block: tuple) -> tuple[str, ...]:
-    text, ancestors, linked = block
-    out = {f for marks in ancestors for f in marks}
-    if ancestors:
-        out |= {f"own {f}" for f in ancestors[-1]}
-    # The nearest ancestor that says what part of the page this is.
-    near = next((a for a in reversed(ancestors) if a[0] in SECTIONS or any(m[:2] == "c:" for m in a)), ())
-    out |= {f"near {f}" for f in near}
-    words = text.count(" ") + 1
-    out.add(f"words {min(words.bit_length(), 7)}")
-    out.add(f"linked {int(linked * 3)}")
-    if text[-1] in ".!?:;…\"'":
-        out.add("sentence end")
-    if sum(c.isdigit() for c in text) * 4 > len(text):
-        out.add("digits")
-    if "|" in text or "·" in text or "»" in text or "©" in text:
-        out.add("separator")
-    out.add("always")
-    return tuple(out)
+def _size(number: float, most: int) -> int:
+    return min(int(number).bit_length(), most)
+
+
+def page_features(blocks: list[tuple[str, Place, float]]) -> list[tuple[str, ...]]:
+    """Features of each block: what its ancestors say, its text, its neighbours and the element it shares with them.
+
+    The latter carry over to any layout and vocabulary: how long a block and its neighbours are, how much of
+    them are links, how much text the surrounding element holds and which part of the page's text that is.
+    """
+    words = [text.count(" ") + 1 for text, _, _ in blocks]
+    total = sum(words) or 1
+    # Words, linked words and blocks of the elements one and two levels around each block.
+    held: dict[int, list[float]] = {}
+    around = []
+    for n, (_, place, linked) in zip(words, blocks, strict=True):
+        one = place.above or place
+        two = one.above or one
+        around.append((one, two))
+        for element in {id(one): one, id(two): two}.values():
+            sums = held.setdefault(id(element), [0, 0.0, 0])
+            sums[0] += n
+            sums[1] += n * linked
+            sums[2] += 1
+    short = [f"{_size(n, 7)}/{int(linked * 3)}" for n, (_, _, linked) in zip(words, blocks, strict=True)]
+    largest = max((sums[0] for sums in held.values()), default=0)
+    out = []
+    for i, (text, place, linked) in enumerate(blocks):
+        found = set(place.marks)
+        found |= {f"own {f}" for f in place.own}
+        found |= {f"near {f}" for f in place.near}
+        found.add(f"words {_size(words[i], 7)}")
+        found.add(f"linked {int(linked * 3)}")
+        if text[-1] in ".!?:;…\"'":
+            found.add("sentence end")
+        if sum(c.isdigit() for c in text) * 4 > len(text):
+            found.add("digits")
+        if "|" in text or "·" in text or "»" in text or "©" in text:
+            found.add("separator")
+        if "©" in text[:12]:
+            found.add("rights")
+        found.add(f"sentences {_size(text.count('. '), 3)}")
+        found.add(f"part {5 * i // len(blocks)}")
+        found.add(f"share {_size(64 * words[i] / total, 6)}")
+        found.add("before " + (short[i - 1] if i else "none"))
+        found.add("after " + (short[i + 1] if i + 1 < len(blocks) else "none"))
+        for name, element in zip(("around", "wider"), around[i], strict=True):
+            n, links, count = held[id(element)]
+            found.add(f"{name} words {_size(n, 11)}")
+            found.add(f"{name} mean {_size(n / count, 7)}")
+            found.add(f"{name} linked {int(links / n * 4)}")
+            found.add(f"{name} share {_size(16 * n / total, 5)}")
+            if n == largest:
+                found.add(f"{name} largest")
+        found.add("always")
+        out.append(tuple(sorted(found)))
+    return out
 
 
 class Field:
@@ -287,39 +343,61 @@ MAIN = [("article", ""), ("article", "post"), ("main", ""), ("div", "content"),
         ("section", "entry"), ("div", "main"), ("div", "story text")]
 
 
-def labelled_pages(n: int = 500, seed: int = 41) -> list[tuple[str, list[int]]]:
-    """Pages composed by rule, and for each block of ``leaf_blocks`` whether it is main text."""
+def labelled_pages(n: int = 1800, seed: int = 41) -> list[tuple[str, list[int]]]:
+    """Pages composed by rule, and for each block of ``leaf_blocks`` whether it is main text.
+
+    Of five pages three name their elements by the words above, one by words that mean nothing, one not at all;
+    of the latter half use no sectioning tags, and some have tables as layout or no element around the main
+    text, so that what the layout says is only one sign among those of the text itself.
+    """
     rng = random.Random(seed)
     out = []
 
     def words(low, high):
         return " ".join("".join(rng.choice("aeioulnrstdmkp") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(low, high)))
 
-    def open_tag(tag, names, kind="class"):
-        return f'<{tag} {rng.choice(["class", "class", "id"])}="{names.replace(" ", rng.choice(["-", " "]))}">' if names else f"<{tag}>"
-
     for _ in range(n):
         labels: list[int] = []
-
-        def text(label, low, high, end="", mark=True):
+        naming = rng.choice(["telling", "telling", "telling", "empty", "none"])
+        telling = naming == "telling"
+        plain = naming != "telling" and rng.random() < 0.5  # no sectioning tags
+        cells = plain and rng.random() < 0.25
+
+        def opened(tag, names, plain=plain, naming=naming):
+            if plain and f"t:{tag}" in SECTIONS:
+                tag = "div"
+            if naming == "none" or not names and naming == "telling":
+                return f"<{tag}>", tag
+            if naming == "empty":
+                names = "".join(rng.choice("bcdfghjkqvwxyz") for _ in range(rng.randint(3, 8)))
+            return f'<{tag} {rng.choice(["class", "class", "id"])}="{names.replace(" ", rng.choice(["-", " "]))}">', tag
+
+        def text(label, low, high, end=""):
             labels.append(label)
             return words(low, high) + end
 
-        def rest(kind):
+        def rest(kind, naming=naming):
             tag, names = rng.choice(REST[kind])
+            start, tag = opened(tag, names)
+            # Where nothing is named, only what shows in the text tells such blocks apart: they are short or links.
+            most = 40 if naming == "telling" else {"talk": 40, "notice": 20, "ad": 14}.get(kind, 10)
             inner = []
-            for _ in range(rng.choice([1, 1, 2, 4, 6])):
-                if kind in ("nav", "side", "share") and rng.random() < 0.7 or tag in ("ul", "ol"):
-                    inner.append(f"<li><a href='/x'>{text(0, 1, 4)}</a></li>")
+            listed = tag in ("ul", "ol") or kind in ("nav", "side", "share") and rng.random() < (0.4 if naming == "telling" else 0.7)
+            for _ in range(rng.choice([1, 1, 2, 4, 6] if naming == "telling" else [3, 5, 8] if listed else [1, 1, 2, 3])):
+                if kind in ("nav", "side", "share") and (rng.random() < 0.7 or naming != "telling") or listed:
+                    item = f"<a href='/x'>{text(0, 1, 4)}</a>"
+                    inner.append(f"<li>{item}</li>" if listed or rng.random() < 0.3 else f"<p>{item}</p>" if rng.random() < 0.5 else f"<div>{item}</div>")
                 elif kind == "form":
                     inner.append(f"<p><label>{text(0, 1, 6)}</label><input></p><button>{words(1, 2)}</button>")
                 else:
                     sign = rng.choice(["", "&copy; ", "", "&middot; "]) if kind == "foot" else ""
-                    inner.append(f"<{(t := rng.choice(['p', 'div', 'h3', 'p', 'span']))}>{sign}{text(0, 1, 40, rng.choice(['.', '']))}</{t}>"
-                                 if rng.random() < 0.7 or len(inner) else f"<p>{sign}{text(0, 2, 30, '.')}")
+                    inner.append(f"<{(t := rng.choice(['p', 'div', 'h3', 'p', 'span']))}>{sign}{text(0, 1, most, rng.choice(['.', '']))}</{t}>"
+                                 if rng.random() < 0.7 or len(inner) else f"<p>{sign}{text(0, 2, min(most, 30), '.')}")
                     if "<span>" in inner[-1]:
                         inner[-1] = f"<div>{inner[-1]}</div>"
-            return open_tag(tag, names) + "".join(inner) + f"</{tag}>"
+            if listed and tag not in ("ul", "ol"):
+                inner = ["<ul>", *inner, "</ul>"]
+            return start + "".join(inner) + f"</{tag}>"
 
         def main_block():
             kind = rng.random()
@@ -333,26 +411,41 @@ def labelled_pages(n: int = 500, seed: int = 41) -> list[tuple[str, list[int]]]:
                 return f"<table><tr><td>{text(1, 1, 4)}</td><td>{text(1, 1, 4)}</td></tr></table>"
             if kind < 0.30:
                 return f"<h2>{text(1, 1, 8)}</h2>"
-            if kind < 0.36:
+            if kind < 0.36 and telling:
                 return f"<p><a href='/y'>{text(1, 1, 12)}</a></p>"
+            if kind < 0.36:
+                return f"<p>{text(1, 3, 30)} <a href='/y'>{words(1, 6)}</a>.</p>"
             if kind < 0.42:
                 return f"<div>{text(1, 1, 60, '.')}</div>"
             sign = rng.choice(["", "", "", " | ", "&amp;&amp; "])
             return f"<p>{sign}{text(1, 1, rng.choice([2, 10, 80]), rng.choice(['.', '.', '', '!!', '$$$']))}</p>"
 
-        body = [rest(k) for k in rng.sample(["head", "nav", "notice", "ad", "form"], rng.randint(1, 4))]
+        body = [rest(k) for k in rng.sample(["head", "nav", "notice", "ad", "form"], rng.randint(1 if telling else 0, 4))]
         tag, names = rng.choice(MAIN) if rng.random() < 0.6 else MAIN[0]
         inside = [f"<h1>{text(1, 1, 10)}</h1>" if rng.random() < 0.8 else ""]
-        for _ in range(rng.choice([1, 2, 5, 12])):
+        if not telling:  # at least one paragraph that reads like one
+            inside.append(f"<p>{text(1, 20, 90, '.')}</p>")
+        for _ in range(rng.choice([1, 1, 2, 5, 12])):
             inside.append(main_block())
             if rng.random() < 0.15:
-                inside.append(rest(rng.choice(["ad", "share", "side", "notice", "form"])))
-        if rng.random() < 0.15:
+                inside.append(rest(rng.choice(["ad", "share", "side", "notice", "form"] if telling else ["share", "form"])))
+        if rng.random() < 0.15 and telling:
             inside.append(rest("talk"))
-        shell = f"<main>{{}}</main>" if rng.random() < 0.15 and tag != "main" else "<div class='page wrapper'>{}</div>" if rng.random() < 0.15 else "{}"
-        body.append(shell.format(open_tag(tag, names) + "".join(inside) + f"</{tag}>"))
-        body += [rest(k) for k in rng.sample(["talk", "side", "ad", "share", "nav"], rng.randint(0, 3))]
-        if rng.random() < 0.8:
+        shape = rng.random()
+        start, tag = opened(tag, names)
+        if not telling and shape < 0.25:  # nothing around the main text
+            body.append("".join(inside))
+        elif cells:
+            start, _ = opened("td", names)
+            body = [f"<table><tr><td>{''.join(body)}</td>{start}{''.join(inside)}</td></tr></table>"]
+        else:
+            whole = start + "".join(inside) + f"</{tag}>"
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                outer, of = opened(rng.choice(["div", "div", "main"]), rng.choice(["page wrapper", "wrap", "row"]))
+                whole = f"{outer}{whole}</{of}>"
+            body.append(whole)
+        body += [rest(k) for k in rng.sample(["talk", "side", "ad", "share", "nav"] if telling else ["side", "ad", "share", "nav"], rng.randint(0, 3))]
+        if rng.random() < (0.8 if telling else 0.6):
             body.append(rest("foot"))
         page = f"<!DOCTYPE html><html><head><title>{words(1, 5)}</title><style>p{{}}</style></head><body>{''.join(body)}</body></html>"
         if len(leaf_blocks(page)) == len(labels):
@@ -361,13 +454,13 @@ def labelled_pages(n: int = 500, seed: int = 41) -> list[tuple[str, list[int]]]:
 
 
 @functools.lru_cache(maxsize=2)
-def trained(n: int = 500, seed: int = 41) -> Field:
-    return Field().fit([([block_features(b) for b in leaf_blocks(p)], y) for p, y in labelled_pages(n, seed)])
+def trained(n: int = 1800, seed: int = 41) -> Field:
+    return Field().fit([(page_features(leaf_blocks(p)), y) for p, y in labelled_pages(n, seed)])
 
 
 def main_text(field: Field, page: str) -> str:
     blocks = leaf_blocks(page)
-    return "\n".join(b[0] for b, y in zip(blocks, field.decode([block_features(b) for b in blocks]), strict=True) if y)
+    return "\n".join(b[0] for b, y in zip(blocks, field.decode(page_features(blocks)), strict=True) if y)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

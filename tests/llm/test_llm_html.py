@@ -1,7 +1,9 @@
 import html
 import os
+import random
 import re
 import sys
+import time
 
 import pytest
 
@@ -34,7 +36,7 @@ def test_composed_pages_not_seen_in_training():
     field = html_crf.trained()
     right = total = 0
     for page, labels in html_crf.labelled_pages(150, seed=4242):
-        found = field.decode([html_crf.block_features(b) for b in html_crf.leaf_blocks(page)])
+        found = field.decode(html_crf.page_features(html_crf.leaf_blocks(page)))
         right += sum(a == b for a, b in zip(found, labels, strict=True))
         total += len(labels)
     assert right / total > 0.98
@@ -102,7 +104,7 @@ def test_viterbi_finds_the_best_sequence():
 
 @pytest.mark.parametrize("n", [1])
 def test_training_is_repeatable(n):
-    a, b = (html_crf.Field().fit([([html_crf.block_features(x) for x in html_crf.leaf_blocks(p)], y) for p, y in html_crf.labelled_pages(20, 5)], n) for _ in range(2))
+    a, b = (html_crf.Field().fit([(html_crf.page_features(html_crf.leaf_blocks(p)), y) for p, y in html_crf.labelled_pages(20, 5)], n) for _ in range(2))
     assert (a.w == b.w).all() and (a.pair == b.pair).all()
 
 
@@ -122,3 +124,61 @@ def test_silent_elements_without_end_tags():
         assert texts(f"<div><{tag}>no<p>b</p><{tag}>no</{tag}>c</div>") == ["b", "c"]
     assert texts("<object><object>no</object><p>no</p></object><p>b") == ["b"]
     assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+
+
+WORDS = "the of and house river green people made under light water story over small great".split()
+
+
+def unseen_page(kind, rng):
+    """Layouts and names that no training page has; the label of each block."""
+    labels = []
+
+    def t(label, low, high, end=""):
+        labels.append(label)
+        return " ".join(rng.choice(WORDS) for _ in range(rng.randint(low, high))) + end
+
+    def paragraphs():
+        return "".join(f"<p>{t(1, 15, 70, '.')}</p>" for _ in range(rng.randint(3, 9)))
+
+    def menu():
+        return "<ul>" + "".join(f"<li><a href='/{i}'>{t(0, 1, 3)}</a></li>" for i in range(rng.randint(3, 8))) + "</ul>"
+
+    def foot():
+        return f"<div>&copy; {t(0, 2, 5)}</div>"
+
+    if kind == "bare body":
+        body = menu() + f"<h1>{t(1, 3, 8)}</h1>" + paragraphs() + foot()
+    elif kind == "only paragraphs":
+        body = paragraphs()
+    elif kind == "unknown classes":
+        body = f"<div class='mw-head'>{menu()}</div><div class='mw-parser-output'>{paragraphs()}<h2>{t(1, 1, 4)}</h2>{paragraphs()}</div>" + foot()
+    elif kind == "builder":
+        body = f"<div class='tdb-top'>{menu()}</div><div class='tdi_51'><div class='tdb-block-inner td-fix-index'>{paragraphs()}</div></div>" + foot()
+    elif kind == "layout table":
+        body = f"<table width=100%><tr><td class='left'>{menu()}</td><td class='text'>{paragraphs()}</td></tr></table>" + foot()
+    else:
+        body = f"<div id=a>{menu()}</div>" + "<div class=xq>" * 6 + f"<h1>{t(1, 3, 8)}</h1>" + paragraphs() + "</div>" * 6 + f"<div class=zz>{menu()}</div>" + foot()
+    return f"<html><head><title>x</title></head><body>{body}</body></html>", labels
+
+
+@pytest.mark.parametrize("kind", ["bare body", "only paragraphs", "unknown classes", "builder", "layout table", "nested wrappers"])
+def test_layouts_that_training_never_saw(kind):
+    field, rng = html_crf.trained(), random.Random(kind)
+    right = total = 0
+    for _ in range(60):
+        page, labels = unseen_page(kind, rng)
+        blocks = html_crf.leaf_blocks(page)
+        assert len(blocks) == len(labels)
+        right += sum(a == b for a, b in zip(field.decode(html_crf.page_features(blocks)), labels, strict=True))
+        total += len(labels)
+    assert right / total >= 0.95
+
+
+def test_deep_pages_take_linear_time():
+    def seconds(n):
+        start = time.perf_counter()
+        assert len(html_crf.page_features(html_crf.leaf_blocks("<div class='a b'>x" * n))) == n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(20_000) < 40 * max(seconds(2_000), 0.01)

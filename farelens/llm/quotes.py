@@ -12,18 +12,20 @@ threads have no circles. Within its own conversation a passage means the latest
 it, elsewhere the earliest of all: each passage meets two messages at most, however common its text is.
 
 Rows that repeat a conversation and turn all appear in the result; the smallest (role, text) stands for
-them when others quote or follow them. Null text is empty, null keys never match. An empty table gives
-no rows. Extra columns are ignored. DataFrame operations only.
+them when others quote or follow them. Null text is empty, null keys never match. The control characters
+U+0001 and U+0002 become spaces. An empty table gives no rows. Extra columns are ignored. DataFrame operations
+only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.session import stage
 
 MARKS = r"^((?:[ \t]*>)+)"
+SPAN = 1024  # turns
 
 
 def _plain(text: Column) -> Column:
@@ -105,14 +107,7 @@ def reply_order(messages: DataFrame) -> DataFrame:
     )
     passages = stage(passages, "quote-passages")
     quoted = passages.select("hash").distinct()
-    near = texts.selectExpr("conv_id", "turn near_turn", "hash")
-    nearby = (
-        passages.join(near.join(quoted, "hash", "left_semi"), ["conv_id", "hash"])
-        .where("near_turn < turn")
-        .groupBy("conv_id", "turn", "place", "level")
-        .agg(F.max("near_turn").alias("to_turn"))
-        .withColumn("to_conv", F.col("conv_id"))
-    )
+    nearby = _latest_before(passages, texts.join(quoted, "hash", "left_semi")).withColumn("to_conv", F.col("conv_id"))
     earliest = (
         texts.join(quoted, "hash", "left_semi")
         .groupBy("hash")
@@ -165,6 +160,30 @@ def reply_order(messages: DataFrame) -> DataFrame:
     )
 
 
+def _latest_before(passages: DataFrame, texts: DataFrame, span: int = SPAN) -> DataFrame:
+    """conv_id, turn, place, level and to_turn: the last equal message of the conversation before the passage.
+
+    Passages and messages of one conversation and hash stand in one order of turns, where a passage sees the
+    last message before it; no pairs are made. Turns are cut in spans, so that a conversation of very many
+    equal messages is many groups; what a span has not seen itself comes from the spans before it.
+    """
+    own = texts.selectExpr("conv_id", "hash", "turn", "CAST(NULL AS INT) place", "CAST(NULL AS INT) level", "turn near")
+    events = passages.selectExpr("conv_id", "hash", "turn", "place", "level", "CAST(NULL AS BIGINT) near").unionByName(own)
+    events = events.withColumn("span", F.floor(F.col("turn") / span))
+    # A passage comes before the messages of its own turn.
+    inside = Window.partitionBy("conv_id", "hash", "span").orderBy("turn", F.col("near").isNotNull())
+    seen = events.withColumn("seen", F.last("near", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = events.groupBy("conv_id", "hash", "span").agg(F.max("near").alias("top"))
+    before = Window.partitionBy("conv_id", "hash").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("earlier", F.last("top", ignorenulls=True).over(before))
+    return (
+        seen.where("place IS NOT NULL")
+        .join(spans, ["conv_id", "hash", "span"])
+        .select("conv_id", "turn", "place", "level", F.coalesce("seen", "earlier").alias("to_turn"))
+        .where("to_turn IS NOT NULL")
+    )
+
+
 def _threads(parents: DataFrame) -> DataFrame:
     """Adds each message's thread (its first ancestor) and depth; ancestors are reached by doubling steps."""
     state = parents.select(

@@ -1,4 +1,6 @@
 import os
+import random
+import re
 import sys
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -86,3 +88,87 @@ def test_sample_conversations(spark, sf_dir):
     got = quotes.reply_order(messages).collect()
     assert len(got) == len(rows)
     assert {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in got} == want
+
+
+def parts_of(text):
+    """(level, body) of each run of lines of one level between blank lines."""
+    runs, last = [], None
+    for line in re.split("\r\n|\r|\n", text or ""):
+        mark = re.match(r"(?:[ \t]*>)+", line)
+        level = mark.group().count(">") if mark else 0
+        body = re.sub(r"^(?:[ \t]*>)+ ?", "", line)
+        if last is not None and last[0] == level and last[1].strip(" ") and body.strip(" "):
+            runs[-1][1] += "\n" + body
+        else:
+            runs.append([level, body])
+        last = (level, body)
+    return [(level, body) for level, body in runs if body.strip(" ")]
+
+
+def plain(text):
+    return re.sub(r"\s+", " ", text.lower()).strip(" ")
+
+
+def linker(rows):
+    """Parent of each message, by looking through all messages before it."""
+    written = {}
+    for conv, turn, _, text in rows:
+        own = [body for level, body in parts_of(text) if level == 0]
+        written[conv, turn] = {plain(b) for b in [*own, "\n\n".join(own)]} - {""}
+    parents = {}
+    for conv, turn, _, text in rows:
+        found = []
+        for place, (level, body) in enumerate(p for p in parts_of(text) if p[0] > 0):
+            equal = [k for k, bodies in written.items() if plain(body) in bodies]
+            near = [t for c, t in equal if c == conv and t < turn]
+            first = min(((t, c) for c, t in equal), default=None)
+            if near:
+                found.append((level, place, conv, max(near)))
+            elif first and first < (turn, conv):
+                found.append((level, place, first[1], first[0]))
+        if found:
+            parents[conv, turn] = (*min(found)[2:], "quote")
+        elif (conv, turn - 1) in written:
+            parents[conv, turn] = (conv, turn - 1, "turn")
+        else:
+            parents[conv, turn] = (None, None, "start")
+    return parents
+
+
+def test_equals_a_plain_linker_on_random_threads(spark):
+    rng = random.Random(11)
+    for seed in range(3):
+        said, rows = [], []
+        for conv in range(12):
+            for turn in sorted(rng.sample(range(3000 if seed else 14), 10)):
+                lines = []
+                for _ in range(rng.randint(0, 2)):
+                    if said:
+                        quoted = rng.choice(said)
+                        deep = rng.randint(1, 3)
+                        quoted = quoted.upper() if rng.random() < 0.3 else quoted.replace(" ", rng.choice([" ", "  "]))
+                        lines += [rng.choice([">" * deep + " ", "> " * deep]) + part for part in quoted.split("\n")]
+                        if rng.random() < 0.5:
+                            lines.append("")
+                for _ in range(rng.randint(1, 2)):
+                    own = " ".join(rng.choice(["yes", "no", "why", "so"]) for _ in range(rng.randint(1, 3)))
+                    own += "\n" + rng.choice(["ok", "well"]) if rng.random() < 0.2 else ""
+                    said.append(own)
+                    lines += [own, ""]
+                rows.append((conv, turn, "user", "\n".join(lines)))
+        got = {k: (r.parent_conv, r.parent_turn, r.reply) for k, r in order(spark, rows).items()}
+        want = linker(rows)
+        assert got == want and sum(p[2] == "quote" for p in want.values()) > 40
+
+
+def test_equal_messages_make_no_pairs(spark):
+    """A conversation of equal turns, each quoting the one before: the last before it, in any span."""
+    rows = [(1, t, "user", "same" if t % 2 == 0 else "> same\nnew") for t in range(0, 4000)]
+    messages = frame(spark, rows, TALK)
+    found = quotes.reply_order(messages).where("turn % 2 = 1").selectExpr("count(*)", "count_if(parent_turn = turn - 1)").first()
+    assert tuple(found) == (2000, 2000)
+    plan = quotes._latest_before(
+        spark.createDataFrame([(1, "h", 5, 0, 1)], "conv_id long, hash string, turn long, place int, level int"),
+        spark.createDataFrame([(1, "h", 2)], "conv_id long, hash string, turn long"),
+    )
+    assert [tuple(r) for r in plan.collect()] == [(1, 5, 0, 1, 2)]

@@ -185,27 +185,31 @@ def _latest_before(passages: DataFrame, texts: DataFrame, span: int = SPAN) -> D
 
 
 def _threads(parents: DataFrame) -> DataFrame:
-    """Adds each message's thread (its first ancestor) and depth; ancestors are reached by doubling steps."""
+    """Adds each message's thread (its first ancestor) and depth; ancestors are reached by doubling steps.
+
+    A message that has reached its thread's beginning takes no part in further steps.
+    """
     state = parents.select(
         "*",
         F.coalesce("parent_conv", "conv_id").alias("thread_conv"),
         F.coalesce("parent_turn", "turn").alias("thread_turn"),
         F.when(F.col("parent_conv").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+        F.col("parent_conv").isNotNull().alias("open"),
     )
-    while True:
+    while not state.where("open").isEmpty():
         ahead = state.where("depth > 0").selectExpr(
             "conv_id thread_conv", "turn thread_turn", "thread_conv next_conv", "thread_turn next_turn", "depth more"
         )
-        state = stage(
-            state.join(ahead, ["thread_conv", "thread_turn"], "left").select(
+        moved = (
+            state.where("open")
+            .join(ahead, ["thread_conv", "thread_turn"], "left")
+            .select(
                 *parents.columns,
                 F.coalesce("next_conv", "thread_conv").alias("thread_conv"),
                 F.coalesce("next_turn", "thread_turn").alias("thread_turn"),
                 (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.col("more").isNotNull().alias("moved"),
-            ),
-            "quote-threads",
+                F.col("more").isNotNull().alias("open"),
+            )
         )
-        if state.where("moved").isEmpty():
-            return state.drop("moved")
-        state = state.drop("moved")
+        state = stage(state.where("not open").unionByName(moved), "quote-threads")
+    return state.drop("open")

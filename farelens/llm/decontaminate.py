@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import chunks, ship
+from farelens.llm.common import chunks, ship, without
 from farelens.session import stage
 
 BLOCK_CHARS = 4 << 20

@@ -27,27 +27,37 @@ FAN_IN = 64
 def targets(sizes: DataFrame, share: float, weights: tuple[int, ...], limit: int) -> DataFrame:
     """Rows (source, source_size, n, target) from (source, source_size, n); one row per source.
 
-    Shared water level: sources are taken in the order in which the level reaches their limit.
+    A shared level, times its weight, is a source's target until its limit. The level starts as if no source
+    had a limit and rises with what the limited ones leave over, until no further source reaches its limit.
+    Sources may be many (one per host, say): they are numbered within sorted ranges, and the level needs sums only.
     """
-    position = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.pmod(position, F.lit(len(weights))).cast("int") + 1)
-    ordered = Window.orderBy(F.col("cap") / F.col("weight"), "position")
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    rest = ordered.rowsBetween(0, Window.unboundedFollowing)
-    level = (
-        sizes.withColumn("position", position)
-        .withColumn("weight", weight)
-        .withColumn("cap", F.col("source_size") * limit)
-        .withColumn("all", F.sum("source_size").over(Window.partitionBy()) * F.lit(share))
-        .withColumn("full", F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("level", (F.col("all") - F.col("full")) / F.sum("weight").over(rest))
-        .withColumn("open", F.col("cap") > F.col("level") * F.col("weight"))
-    )
-    first = F.min(F.when(F.col("open"), F.struct(F.col("cap") / F.col("weight"), "position", "level"))).over(
-        Window.partitionBy()
+    parts = max(1, min(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1024))
+    order = F.col("source").asc_nulls_last()
+    ranged = stage(sizes.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "mix-sources")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.count("*").alias("held")).select(
+        "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start")
     )
-    shared = F.coalesce(F.least(F.col("cap").cast("double"), first["level"] * F.col("weight")), F.col("cap"))
-    return level.select("source", "source_size", "n", shared.alias("target"))
+    position = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.pmod(position, F.lit(len(weights))).cast("int") + 1)
+    placed = ranged.join(F.broadcast(starts), "part").withColumn("weight", weight)  # a row a range
+    placed = stage(placed.withColumn("cap", F.col("source_size") * limit).drop("part", "start"), "mix-weights")
+    everything = (placed.agg(F.sum("source_size")).first()[0] or 0) * share
+    level, limited = 0.0, -1
+    while True:
+        full = F.col("cap") <= F.col("weight") * F.lit(level)
+        found = placed.agg(
+            F.coalesce(F.sum(F.when(full, F.col("cap"))), F.lit(0)).alias("taken"),
+            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0)).alias("open"),
+            F.count_if(full).alias("limited"),
+        ).first()
+        if found["limited"] == limited or not found["open"]:
+            break
+        level, limited = (everything - found["taken"]) / found["open"], found["limited"]
+    shared = F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(float(level)))
+    if not found["open"]:
+        shared = F.col("cap").cast("double")
+    return placed.select("source", "source_size", "n", shared.alias("target"))
 
 
 def _settle(seed: int) -> Column:

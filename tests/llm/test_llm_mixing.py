@@ -80,3 +80,15 @@ def test_expectation_is_kept(spark):
             total[r.doc_id] = total.get(r.doc_id, 0) + r.taken / r["size"] / 4
             expected[r.doc_id] = r.target / r.source_size
     assert sum(total.values()) == pytest.approx(sum(expected.values()), rel=0.25)
+
+
+def test_many_sources(spark):
+    """One source per host: thousands of targets by sums over a table, some sources far larger than others."""
+    import random
+
+    rng = random.Random(8)
+    sizes = {f"host{i:05d}": rng.choice([0, 1, 5, 40, 1000]) + rng.randint(0, 9) for i in range(3000)} | {None: 500_000, "z": 900}
+    table = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, source_size long, n long")
+    got = {r.source: r.target for r in mixing.targets(table, 1.5, (3, 1, 2), 2).collect()}
+    want = brute_targets(sizes)
+    assert set(got) == set(want) and all(got[s] == pytest.approx(want[s]) for s in want)

@@ -4,12 +4,14 @@ The base patterns (email, ip, card, phone) are matched leftmost without overlap,
 matches that fail their check are dropped without another try. They always stay.
 
 Other spans are candidates of the added kinds: ``local`` (telephone numbers without a plus sign),
-``account`` (9 to 19 digits), ``person`` (a title or cue and capitalised words), ``ssn`` (3-2-4 digits).
-Labelers vote +1, -1 or 0 on every candidate: the shape (regular expressions), gazetteers (first names,
-dialling and issuer prefixes) and the words and signs around it. Votes are counted by their pattern over
-all documents; expectation-maximisation on those counts (kinds x 3^LABELERS rows at most) estimates how
-reliable each labeler is and how likely each pattern is personal data. A logistic span classifier is
-trained on these probabilities over features of the candidate and scores every candidate; candidates of
+``account`` (9 to 19 digits), ``person`` (a title and capitalised words, or two to three capitalised words),
+``ssn`` (3-2-4 digits). Labelers vote +1, -1 or 0 on every candidate: the shape (regular expressions),
+gazetteers (first names, words of places and firms, dialling and issuer prefixes), the words and signs
+before it, and whether it begins a sentence. Votes are counted by their pattern over all documents;
+expectation-maximisation on those counts (kinds x 3^LABELERS rows at most) estimates how reliable each
+labeler is and how likely each pattern is personal data. A logistic span classifier is trained on these
+probabilities over features that no labeler sees as well: the character before the candidate, its words,
+digits close before it, and whether its document holds base spans. It scores every candidate; candidates of
 0.5 and more that overlap no base span are added.
 
 Null text is empty. An empty table gives no rows. Positions are code points, the end exclusive.
@@ -26,7 +28,8 @@ from farelens.session import stage
 
 BASE = ["email", "ip", "card", "phone"]
 ADDED = ["account", "local", "person", "ssn"]
-LABELERS = ["shape", "gazetteer", "cue", "against", "edges", "plain"]
+LABELERS = ["shape", "gazetteer", "cue", "against", "edges", "plain", "opens"]
+CONTEXT = ["left", "words", "digits_before", "beside"]
 
 # The dealt patterns, written so that the engine never tries one run of characters twice: a match can
 # only begin where its run begins or where the last match ended (\G), and runs are not given back.
@@ -37,19 +40,42 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # Titles and cues, a short gazetteer, words that speak for and against personal data.
-CUE = "call|phone|tel|mobile|fax|contact|reach|card|account|iban|ssn|security|passport|customer|patient|name|anruf|telefon|konto|llame|cuenta|compte|appelez"
+CUE = (
+    "call|phone|tel|mobile|fax|contact|reach|card|account|iban|ssn|security|passport|customer|patient|name|dear|signed|regards|"
+    "ask for|speak to|met|born|lives|resident|anruf|telefon|konto|kunde|patient|name|heißt|wohnt|grüße|fragen sie|"
+    "llame|cuenta|cliente|paciente|nombre|pregunte por|atentamente|vive|compte|appelez|client|patiente|nom|demandez|habite"
+)
 AGAINST = "isbn|order|invoice|version|page|chapter|figure|id|hash|token|key|sha|build|issue|number of|total|secret|password"
-NAMES = "James|Mary|John|Anna|Maria|Peter|Paul|Michael|Thomas|Laura|Jean|Marie|Pierre|Hans|Klaus|Carlos|Jose|Luis|Ana|David|Sarah|Robert|Linda"
+TITLES = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Sr|Sra|Monsieur|Madame|Mme"
+NAMES = (
+    "James|Mary|John|Anna|Maria|Peter|Paul|Michael|Thomas|Laura|Jean|Marie|Pierre|Hans|Klaus|Carlos|Jose|José|Luis|Ana|David|Sarah|"
+    "Robert|Linda|William|Elizabeth|Richard|Susan|Joseph|Jessica|Charles|Karen|Daniel|Nancy|Matthew|Lisa|Mark|Emma|George|Alice|"
+    "Jürgen|Wolfgang|Stefan|Andreas|Sabine|Petra|Monika|Ursula|Heike|Karl|Fritz|Greta|Jan|Lukas|Katrin|Uwe|Dieter|Ingrid|"
+    "Juan|Pedro|Miguel|Antonio|Francisco|Javier|Carmen|Isabel|Pilar|Lucía|Elena|Rosa|Marta|Diego|Pablo|Sofía|"
+    "Jacques|Michel|François|Nicolas|Philippe|Louis|Claire|Camille|Julie|Sophie|Nathalie|Isabelle|Luc|Henri|Hélène|Chloé"
+)
+# Words that begin a run of capitals without being part of a name, and words of places and firms.
+OPENERS = (
+    "The|A|An|In|On|At|And|But|Or|If|We|He|She|It|They|You|This|That|For|From|To|Of|By|With|Our|My|Call|Phone|Contact|Dear|Ask|Der|Die|Das|"
+    "Kunde|Kundin|Patient|Patientin|Customer|Client|Cliente|Name|Nombre|Nom|Konto|Account|Fragen|Appelez|Llame|"
+    "Ein|Eine|Und|Aber|Im|Am|Zu|Von|Mit|Für|Ich|Wir|Sie|Er|Es|El|La|Los|Las|Un|Una|Y|En|De|Del|Por|Para|Con|Le|Les|L|Une|Et|Dans|Du|Des|Au|Pour|Avec"
+)
+PLACES = (
+    "Street|Road|Avenue|City|River|Lake|House|Park|Company|Inc|Ltd|Bank|University|School|Hospital|Times|News|Church|Airport|Station|Union|States|"
+    "Straße|Strasse|Platz|Stadt|Haus|Gmbh|Universität|Kirche|Bahnhof|Calle|Plaza|Ciudad|Banco|Universidad|Rue|Place|Ville|Banque|Université|Gare"
+)
+_WORD = "[A-ZÀ-Ý][a-zà-ÿ]{1,20}"
 CANDIDATES = (
-    r"(?<![0-9A-Za-z])(?:"
+    r"(?<![0-9A-Za-zÀ-ÿ])(?:"
     r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
     r"|\([0-9]{2,5}\)[\x20-]?[0-9]{3,4}[\x20-]?[0-9]{3,5}"
     r"|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}"
     r"|[0-9](?:[\x20-]?[0-9]){8,18}+"
-    r"|(?:Mr|Mrs|Ms|Dr|Herr|Frau|Señor|Señora|Monsieur|Madame)\.?\x20[A-ZÀ-Ý][a-zà-ÿ]{1,20}(?:\x20[A-ZÀ-Ý][a-zà-ÿ]{1,20})?"
-    r")(?![0-9A-Za-z])"
+    rf"|(?:{TITLES})\.?\x20{_WORD}(?:\x20{_WORD}){{0,2}}"
+    rf"|(?!(?:{OPENERS})\x20){_WORD}(?:\x20{_WORD}){{1,2}}"
+    r")(?![0-9A-Za-zÀ-ÿ])"
 )
-SOME_CANDIDATE = r"[0-9]{2}|(?:Mr|Mrs|Ms|Dr|Herr|Frau|Señor|Señora|Monsieur|Madame)\.?\x20"
+SOME_CANDIDATE = rf"[0-9]{{2}}|(?:{TITLES})\.?\x20|{_WORD}\x20[A-ZÀ-Ý]"
 
 SPANS = "array<struct<start:int,stop:int,found:string,before:string>>"
 
@@ -150,12 +176,14 @@ def _votes(c: Column) -> dict[str, Column]:
         .when(found.rlike(r"^\([0-9]{2,5}\)"), 1)
         .when((n >= 13) & _luhn(found), 1)
         .when(n >= 13, -1)
-        .when(found.rlike("^[A-Z]"), 1)
+        .when(found.rlike(rf"^(?:{TITLES})\.?\x20"), 1)
         .when(found.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), -1)
         .otherwise(0)
     )
+    person = found.rlike("^[A-ZÀ-Ý]")
     gazetteer = (
-        F.when(found.rlike(rf"\b(?:{NAMES})\b"), 1)
+        F.when(person & found.rlike(rf"\b(?:{PLACES})\b"), -1)
+        .when(found.rlike(rf"\b(?:{NAMES})\b"), 1)
         .when((n >= 13) & digits.rlike("^[3-6]"), 1)
         .when((n >= 13) & digits.rlike("^0"), -1)
         .otherwise(0)
@@ -164,12 +192,26 @@ def _votes(c: Column) -> dict[str, Column]:
     against = F.when(before.rlike(rf"\b(?:{AGAINST})\b[^.]*$"), -1).when(before.rlike(r"[$€£=#\"]\x20?$"), -1).otherwise(0)
     edges = F.when(before.rlike(r"(?:^|[\s(:])$"), 1).otherwise(-1)
     plain = F.when(digits.rlike(r"^([0-9])\1{5,}$"), -1).when(digits.rlike("^(?:0123|1234|9876)"), -1).otherwise(0)
-    return dict(zip(LABELERS, (shape, gazetteer, cue, against, edges, plain), strict=True))
+    titled = found.rlike(rf"^(?:{TITLES})\.?\x20")
+    opens = F.when(person & ~titled & before.rlike(r"(?:^|[.!?\n]\s*)$"), -1).otherwise(0)
+    return dict(zip(LABELERS, (shape, gazetteer, cue, against, edges, plain, opens), strict=True))
+
+
+def _context(c: Column, beside: Column) -> dict[str, Column]:
+    """What the classifier sees besides the votes: small whole numbers."""
+    found, before = c["found"], c["before"]
+    left = (
+        F.when(before == "", 0).when(before.rlike(r"[(\[]$"), 1).when(before.rlike(r"[:=]\x20?$"), 2).when(before.rlike(r",\x20$"), 3)
+        .when(before.rlike(r"\s$"), 4).otherwise(5)
+    )
+    words = F.least(F.size(F.split(found, r"[\x20-]")), F.lit(5))
+    digits = F.when(before.rlike("[0-9]"), 1).otherwise(0)
+    return dict(zip(CONTEXT, (left, words, digits, beside), strict=True))
 
 
 def _kind(found: Column) -> Column:
     return (
-        F.when(found.rlike("^[A-Z]"), "person")
+        F.when(found.rlike("^[A-ZÀ-Ý]"), "person")
         .when(found.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(found.rlike(r"^\(|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$"), "local")
         .otherwise("account")
@@ -187,7 +229,7 @@ def reliabilities(counts: list[tuple[tuple[int, ...], int]], rounds: int = 40) -
         total = sum(n for _, n in counts)
         share = (sum(b * n for b, (_, n) in zip(belief, counts, strict=True)) + 1) / (total + 2)
         table = []
-        for k in range(len(LABELERS)):
+        for k in range(len(counts[0][0])):
             mass = {(v, y): 1.0 for v in (-1, 0, 1) for y in (0, 1)}
             for b, (votes, n) in zip(belief, counts, strict=True):
                 mass[votes[k], 1] += b * n
@@ -221,8 +263,9 @@ def span_classifier(rows: list[tuple[tuple, float, int]], steps: int = 300) -> d
 
 
 def train(candidates: DataFrame) -> dict:
-    """Weights of the span classifier; ``candidates`` has kind, size and the votes."""
-    patterns = candidates.groupBy("kind", "size", *LABELERS).count().collect()  # bounded by kinds, sizes and 3^6 votes
+    """Weights of the span classifier; ``candidates`` has kind, size, the votes and the context."""
+    # Bounded by 4 kinds, 7 sizes, 3^7 votes and 120 contexts, of which few occur.
+    patterns = candidates.groupBy("kind", "size", *LABELERS, *CONTEXT).count().collect()
     counts: dict[tuple[int, ...], int] = {}
     for r in patterns:
         votes = tuple(r[x] for x in LABELERS)
@@ -233,7 +276,11 @@ def train(candidates: DataFrame) -> dict:
     rows = []
     for r in sorted(patterns):
         votes = tuple(r[x] for x in LABELERS)
-        features = ("bias", ("kind", r["kind"]), ("size", r["size"]), *((x, v) for x, v in zip(LABELERS, votes, strict=True) if v))
+        features = (
+            "bias", ("kind", r["kind"]), ("size", r["size"]),
+            *((x, v) for x, v in zip(LABELERS, votes, strict=True) if v),
+            *((x, r[x]) for x in CONTEXT),
+        )
         rows.append((features, posterior(share, table, votes), r["count"]))
     return span_classifier(rows)
 
@@ -242,6 +289,8 @@ def find_personal(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, one array of (start, stop, found) for each base kind, and ``added``:
     (kind, start, stop, found) of the spans that the classifier adds."""
     spans = stage(found_spans(docs), "pii-spans")
+    every = F.concat(*[F.col(f"spans_{k}") for k in BASE])
+    beside = F.when(F.size(every) > 0, 1).otherwise(0)
     votes = F.transform(
         "candidates",
         lambda c: F.struct(
@@ -251,12 +300,12 @@ def find_personal(docs: DataFrame) -> DataFrame:
             c["stop"].alias("stop"),
             c["found"].alias("found"),
             *[v.alias(name) for name, v in _votes(c).items()],
+            *[v.alias(name) for name, v in _context(c, F.col("beside")).items()],
         ),
     )
-    every = F.concat(*[F.col(f"spans_{k}") for k in BASE])
     free = F.filter(votes, lambda c: ~F.exists("every", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
     voted = stage(
-        spans.withColumn("every", every).select("doc_id", *[f"spans_{k}" for k in BASE], free.alias("candidates")), "pii-votes"
+        spans.withColumns({"every": every, "beside": beside}).select("doc_id", *[f"spans_{k}" for k in BASE], free.alias("candidates")), "pii-votes"
     )
     weights = train(voted.select(F.explode("candidates").alias("c")).select("c.*"))
 

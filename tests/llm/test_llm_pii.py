@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 import re
 import sys
 
@@ -121,3 +122,41 @@ def test_reliabilities_tell_good_labelers_from_random_ones():
 
 def test_empty_table(spark):
     assert pii.pii_report(frame(spark, [])).collect() == []
+
+
+FIRST = ["Maria", "Klaus", "Juan", "Sophie", "Robert", "Heike", "Luis", "Camille", "Ottokar", "Ximena", "Thorvald", "Briseida"]
+LAST = ["Lopez", "Weber", "Moreau", "Miller", "García", "Schäfer", "Dupont", "Baker", "Quintero", "Novak"]
+CUES = [
+    "please call {} at noon", "contact: {} will help", "my name is {}, she said", "fragen Sie {} im Büro", "der Kunde {} hat bezahlt",
+    "el cliente {} llegó ayer", "pregunte por {} en la oficina", "appelez {} demain matin", "le client {} est parti", "we met {} there",
+]
+OTHER = [
+    "The Great River runs far.", "New Haven Times wrote it.", "It was near Baker Street Station then.", "Rain fell. Green Hills shone.",
+    "der Alte Bahnhof Platz war leer", "la Plaza Mayor Ciudad es grande", "order 123456789012 came", "nothing here at all",
+]
+
+
+def test_planted_persons_in_four_languages(spark):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for i in range(600):
+        if i % 2:
+            name = f"{rng.choice(FIRST)} {rng.choice(LAST)}"
+            cue = rng.choice(CUES)
+            at = cue.index("{}")
+            rows.append((i, cue.format(name)))
+            want[i] = f"person:{at}:{at + len(name)}"
+        else:
+            rows.append((i, rng.choice(OTHER)))
+    got = {r.doc_id: r.spans for r in pii.pii_report(frame(spark, rows)).collect()}
+    found = sum(want[i] in got[i].split(",") for i in want)
+    wrong = sum("person:" in got[i] for i in range(0, 600, 2))
+    assert found >= 0.9 * len(want) and wrong <= 0.1 * 300
+
+
+def test_the_classifier_sees_more_than_the_votes(spark):
+    rows = [(i, f"(Maria Lopez{i % 5}) and call Anna Weber, 4{i} on") for i in range(40)]
+    candidates = pii.found_spans(frame(spark, rows)).selectExpr("explode(candidates) c")
+    assert candidates.count() > 0
+    weights = pii.span_classifier([(("bias", ("left", 1)), 0.9, 10), (("bias", ("left", 4)), 0.1, 10)])
+    assert weights["left", 1] > 0 > weights["left", 4]

@@ -53,7 +53,7 @@ def test_stages_one_by_one(spark, sf_dir):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(ORACLES) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
 
 

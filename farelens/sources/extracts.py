@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,11 +56,13 @@ def as_landing(df: DataFrame) -> DataFrame:
     if "transaction_id" in df.columns:
         numbered = df.withColumn("trx_id", F.col("transaction_id").try_cast("bigint"))
     else:
+        # Rows alike are interchangeable: they are counted where they are read and numbered from the count, so a
+        # record that repeats a million times is one row on its way.
+        alike = df.groupBy(FILE, *RAW_COLUMNS, *extra).agg(F.count("*").cast("int").alias("copies"))
         record = [F.coalesce(F.col(name), F.lit(BLANK)) for name in [*RAW_COLUMNS, *extra]]
-        alike = Window.partitionBy("record").orderBy("record")  # rows alike are interchangeable
-        numbered = df.withColumn("record", F.sha2(F.concat_ws("\u0001", F.col(FILE), *record), 256)).withColumn(
-            "trx_id", F.xxhash64("record", F.row_number().over(alike))
-        )
+        digest = F.sha2(F.concat_ws("\u0001", F.col(FILE), *record), 256)
+        numbered = alike.withColumns({"record": digest, "copy": F.explode(F.sequence(F.lit(1), F.col("copies")))})
+        numbered = numbered.withColumn("trx_id", F.xxhash64("record", "copy"))
     return numbered.select("trx_id", *RAW_COLUMNS, *extra, F.current_timestamp().alias("ingested_at"))
 
 

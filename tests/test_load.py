@@ -244,3 +244,13 @@ def test_strict_fails_on_a_repeated_id(spark, tmp_path):
     rows = raw(spark, {"Sta": "11"})
     with pytest.raises(Exception, match="rejected row: duplicate_id"):
         load.load_star(rows.unionByName(rows), str(tmp_path), strict=True)
+
+
+def test_open_rejects_search_the_accepted_rows_for_rejected_ids_only(spark, tmp_path):
+    folder = str(tmp_path)
+    load.load_star(raw(spark, {"Sta": "11"}, {"Sta": "11", "Value": "x"}, *[{"Sta": "11"} for _ in range(200)]), folder)
+    found = load.open_rejects(spark, folder)
+    text = found._jdf.queryExecution().optimizedPlan().toString().replace(" ", "")
+    assert "JoinLeftSemi,(transaction_id" in text  # below the aggregation: only matching rows are grouped
+    assert text.index("good_seq") < text.index("JoinLeftSemi")
+    assert values(found, "transaction_id") == [(1,)]

@@ -51,8 +51,7 @@ def write_fact(
     if station_bounds is None:
         placed = rows.hint("rebalance", *[F.col(name) for name in partitions]).sortWithinPartitions(*partitions, "txn_date")
     else:
-        order = [*partitions, pair_curve(station_bounds), F.xxhash64("transaction_id")]  # the hash splits a hot pair
-        placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed = along_curve(rows, partitions, station_bounds)
     writer = placed.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
@@ -69,17 +68,27 @@ def station_bounds(stations: DataFrame) -> list[int]:
     return sorted(set(stations.agg(cuts).first()[0] or []))
 
 
-def pair_curve(bounds: list[int]) -> Column:
-    """Place of a row on a curve that interleaves the bits of origin, destination and, behind them, the day.
+def along_curve(rows: DataFrame, partitions: list[str], bounds: list[int]) -> DataFrame:
+    """``rows`` in ranges of ``partitions`` and the curve over origin, destination and day, sorted inside each.
 
-    Stations enter as their step among ``bounds``, which keeps their order; a blank destination is the first step.
+    The places are columns while rows move: a sort works out an expression anew at every comparison.
     """
+    sides = {"__origin_step": station_step("origin_station_id", bounds), "__dest_step": station_step("dest_station_id", bounds)}
+    placed = rows.withColumns(sides).withColumns(
+        {"__place": pair_curve(*sides), "__spread": F.xxhash64("transaction_id")}  # the hash splits a hot pair
+    )
+    order = [*partitions, "__place", "__spread"]
+    return placed.drop(*sides).repartitionByRange(*order).sortWithinPartitions(*order).drop("__place", "__spread")
+
+
+def station_step(station: str, bounds: list[int]) -> Column:
+    """How many of ``bounds`` the station reaches, which keeps the stations' order; 0 for a blank one."""
     numbers = F.array(*[F.lit(bound) for bound in bounds]) if bounds else F.array().cast("array<int>")
+    return F.coalesce(F.size(F.filter(numbers, lambda bound: bound <= F.col(station))), F.lit(0))
 
-    def step(station: str) -> Column:
-        return F.coalesce(F.size(F.filter(numbers, lambda bound: bound <= F.col(station))), F.lit(0))
 
-    sides = [step("origin_station_id"), step("dest_station_id")]
+def pair_curve(*sides: str) -> Column:
+    """Place of a row on a curve that interleaves the bits of the steps of both ``sides`` and, behind them, the day."""
     day = F.dayofmonth("txn_date") - 1
     bits = []
     for bit in range(CURVE_BITS - 1, -1, -1):

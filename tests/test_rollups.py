@@ -180,3 +180,18 @@ def test_a_station_filter_reads_few_row_groups(spark, tmp_path, sf_dir_larger):
             held = [g for g in groups if g[side] is not None and g[side].has_min_max and g[side].min <= station <= g[side].max]
             assert len(held) / len(groups) < 0.2, (side, station, len(held), len(groups))
     assert tables.read_star(spark, folder).fact.count() > 15_000
+
+
+def test_the_sort_along_the_curve_compares_columns_only(spark, sf_dir):
+    rows = st.event_fact(spark, sf_dir).withColumn(tables.MONTH, tables.month_of(F.col("txn_date")))
+    placed = tables.along_curve(rows, [tables.MONTH], [5, 9, 40])
+    assert placed.columns == rows.columns
+    orders = re.findall(r"\bSort \[(.*)\], (?:true|false)", plan(placed))
+    assert orders and not any("(" in order for order in orders), orders
+
+
+def test_station_steps_count_the_bounds_reached(spark):
+    stations = spark.createDataFrame([(n,) for n in (None, -1, 0, 4, 5, 6, 9, 39, 40, 41)], "station int")
+    for bounds in ([], [5], [0, 5, 9, 40], list(range(0, 63))):
+        steps = values(stations.select("station", tables.station_step("station", bounds)))
+        assert steps == [(n, 0 if n is None else sum(bound <= n for bound in bounds)) for n, _ in steps]

@@ -195,3 +195,28 @@ def test_station_steps_count_the_bounds_reached(spark):
     for bounds in ([], [5], [0, 5, 9, 40], list(range(0, 63))):
         steps = values(stations.select("station", tables.station_step("station", bounds)))
         assert steps == [(n, 0 if n is None else sum(bound <= n for bound in bounds)) for n, _ in steps]
+
+
+def test_raw_rows_of_one_row_group_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    count = 1000
+    ids = [None if n % 97 == 0 else n // 2 for n in range(count)]  # some blank, the others on two rows
+    events = {
+        "event_id": pa.array(ids, pa.int64()),
+        "ts": pa.array([1_704_067_200_000_000 + n * 60_000_000 for n in range(count)], pa.timestamp("us")),
+        "user_id": pa.array([n % 150 for n in range(count)], pa.int64()),
+        "event_type": ["view"] * count,
+        "value": [1.5] * count,
+        "props": ["{}"] * count,
+    }
+    pq.write_table(pa.table(events), f"{tmp_path}/events.parquet")
+    whole = st.raw_landing(spark, str(tmp_path))  # few rows stay where they are
+    assert all("/events.parquet" in path for path in whole.inputFiles())
+    monkeypatch.setattr(st, "EVEN_ROWS", 100)
+    monkeypatch.setattr(st, "_EVEN", {})
+    dealt = st.raw_landing(spark, str(tmp_path))
+    assert dealt.count() == count and dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+    shares = values(dealt.groupBy(F.spark_partition_id()).count(), "count")
+    assert max(share for (share,) in shares) <= count // 2

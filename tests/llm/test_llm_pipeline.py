@@ -5,13 +5,15 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 import oracle  # noqa: E402
+from llm_fixtures import frame  # noqa: E402
 from test_llm_decontaminate import d as decontaminate  # noqa: E402
 from test_llm_mixing import check as check_mix  # noqa: E402
 from test_llm_ngram import brute as near  # noqa: E402
+from test_llm_ngram import crowd  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from farelens.llm import quality_fm  # noqa: E402
+from farelens.llm import ngram_join, quality_fm  # noqa: E402
 from farelens.llm.common import table  # noqa: E402
 from farelens.llm.queries import ORACLES, QUERIES  # noqa: E402
 
@@ -50,6 +52,22 @@ def test_stages_one_by_one(spark, sf_dir):
     assert sorted(map(str, whole)) == sorted(map(str, mixed.collect()))
 
 
+def test_near_copies_of_a_large_family(spark, monkeypatch):
+    """The third stage settles a family larger than a task's share, in many classes, in few rounds."""
+    rounds = []
+    real = ngram_join._round
+    monkeypatch.setattr(ngram_join, "_round", lambda *args: rounds.append(1) or real(*args))
+    monkeypatch.setattr(ngram_join, "GROUP", 6)
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 3)
+    rows = crowd(40, 3, 9) + [(1, "alone")]
+    docs = frame(spark, rows)
+    classes = near(rows, 5, 80)
+    want = {i for i, (_, c) in classes.items() if i == c}
+    kept = corpus_pipeline.near_copies(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+    assert len(want) > 10 and len(rounds) <= 4
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
